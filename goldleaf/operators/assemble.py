@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -15,14 +16,26 @@ from goldleaf.plans.agents import AgentSpec, EnrichSpec
 from goldleaf.schemas import CALL_LOG, UNKNOWN_MODEL
 
 
+def parser(agents: list[AgentSpec]) -> Callable[[DataFrame], DataFrame]:
+    """Function that adds a struct column per agent (null on other rows and for answers that
+    are not accepted) and `ok`.
+
+    Parsing and validation are separate projections, so that the check does not evaluate the
+    parse again. The expressions are made once, for use on every round.
+    """
+    parsed = {a.name: F.when(F.col("agent") == a.name, a.parse(F.col("_answer"))) for a in agents}
+    accepted = {a.name: F.when(a.validate(F.col(a.name)), F.col(a.name)) for a in agents}
+    good = reduce(or_, [F.col(a.name).isNotNull() for a in agents], F.lit(False))
+
+    def parse(responses: DataFrame) -> DataFrame:
+        objects = with_object(responses, "raw", "_answer")
+        return objects.withColumns(parsed).drop("_answer").withColumns(accepted).withColumn("ok", good)
+
+    return parse
+
+
 def parse(responses: DataFrame, agents: list[AgentSpec]) -> DataFrame:
-    """Add one struct column per agent (null on other rows and on bad answers) and `ok`."""
-    out = with_object(responses, "raw", "_answer")
-    out = out.withColumns(
-        {a.name: F.when(F.col("agent") == a.name, a.parse(F.col("_answer"))) for a in agents}
-    )
-    good = reduce(or_, [F.col(a.name).isNotNull() for a in agents])
-    return out.withColumn("ok", good).drop("_answer")
+    return parser(agents)(responses)
 
 
 def _again(max_retries: dict[str, int]) -> Column:

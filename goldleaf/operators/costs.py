@@ -101,7 +101,7 @@ def run_summary(calls: DataFrame, run_id: str, records: int, batches: int) -> Da
             F.collect_list(
                 F.struct(
                     "agent",
-                    F.struct("calls", F.col("total_tokens").alias("tokens"), F.col("cost_usd").cast("double")),
+                    F.struct("calls", F.col("total_tokens").alias("tokens"), F.col("cost_usd").cast("double").alias("cost_usd")),
                 )
             )
         ).alias("cost_by_agent"),

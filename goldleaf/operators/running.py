@@ -36,13 +36,14 @@ def running_totals(
         df.repartitionByRange(n, *keys, *order).withColumn(SLICE, F.spark_partition_id()), "ranged"
     )
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    per_slice = saved.groupBy(SLICE, *keys).agg(*[F.sum(source).alias(name) for name, source in totals.items()])
+    # Sums of sums keep the type of the sums, so that decimals lose no places.
+    kinds = {name: per_slice.schema[name].dataType for name in totals}
     carry = (
-        saved.groupBy(SLICE, *keys)
-        .agg(*[F.sum(source).alias(name) for name, source in totals.items()])
-        .select(
+        per_slice.select(
             F.col(SLICE).alias("_c_slice"),
             *[F.col(k).alias(f"_c_{k}") for k in keys],
-            *[F.sum(name).over(before).alias(f"_c_{name}") for name in totals],
+            *[F.sum(name).over(before).cast(kinds[name]).alias(f"_c_{name}") for name in totals],
             F.row_number().over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_c_nth"),
         )
         # Only the first key of a slice can have rows in an earlier one: at most one row per
@@ -57,7 +58,10 @@ def running_totals(
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys], F.col(SLICE) == F.col("_c_slice"))
     joined = local.join(F.broadcast(carry), same, "left")
     return joined.withColumns(
-        {name: F.col(name) + F.coalesce(F.col(f"_c_{name}"), F.lit(0)) for name in totals}
+        {
+            name: F.coalesce(F.col(name) + F.col(f"_c_{name}"), F.col(name)).cast(kinds[name])
+            for name in totals
+        }
     ).select(*df.columns, *totals)
 
 

@@ -30,8 +30,8 @@ class AgentConfig:
 class AgentSpec:
     """One agent.
 
-    `parse` turns the answer's VARIANT object into a struct and gives null for an answer
-    that does not validate. `fields` maps output columns to expressions over that struct
+    `parse` turns the answer's VARIANT object into a struct, null for none; `validate` tells
+    from the struct whether the answer is accepted. `fields` maps output columns to expressions over that struct
     (null for a record whose attempts all failed). `fills` are further template markers,
     replaced after the text.
     """
@@ -40,6 +40,7 @@ class AgentSpec:
     log_name: str
     system: str
     parse: Callable[[Column], Column]
+    validate: Callable[[Column], Column]
     fields: dict[str, Callable[[Column], Column]]
     fills: tuple[tuple[str, str], ...] = ()
     config: AgentConfig = AgentConfig()
@@ -59,6 +60,7 @@ def sentiment_agent(config: AgentConfig = AgentConfig()) -> AgentSpec:
         log_name="SentimentAgent",
         system="You judge the sentiment of product reviews. Reply with valid JSON and nothing else.",
         parse=answers.sentiment,
+        validate=answers.sentiment_valid,
         fields={"sentiment": _member("sentiment"), "sentiment_confidence": _member("confidence")},
         config=config,
     )
@@ -71,6 +73,7 @@ def category_agent(config: AgentConfig = AgentConfig()) -> AgentSpec:
         system="You sort products into a fixed list. Reply with a JSON object holding "
         "'category' and 'subcategory', without comments or markup.",
         parse=answers.category,
+        validate=answers.category_valid,
         fields={"category": _member("category"), "subcategory": _member("subcategory")},
         fills=(("{{valid_categories}}", "\n".join(f"- {c}" for c in sorted(CATEGORIES))),),
         config=config,
@@ -84,6 +87,7 @@ def entity_agent(config: AgentConfig = AgentConfig()) -> AgentSpec:
         system="You find names in texts. Reply with a JSON object whose keys 'brands', "
         "'locations' and 'persons' each hold a list of strings, empty if there are none.",
         parse=answers.entity,
+        validate=answers.entity_valid,
         fields={
             "entities_brands": _list_member("brands"),
             "entities_locations": _list_member("locations"),

@@ -21,7 +21,7 @@ from goldleaf.operators.respond import Responder, respond
 from goldleaf.operators.unique import one_per
 from goldleaf.plans.agents import AgentSpec, EnrichSpec, default_agents
 from goldleaf.schemas import RESPONSE
-from goldleaf.session import scratch, shared_dir
+from goldleaf.session import local_rows, scratch, shared_dir
 from goldleaf.sources.calllog import append_calls
 from goldleaf.sources.gold import GoldTable
 from goldleaf.sources.silver import BROADCAST_IDS
@@ -59,7 +59,8 @@ class Rounds:
         self.folder = folder
         self.agents = agents
         self.limits = {a.name: a.config.max_retries for a in agents}
-        self.schema = assemble.parse(spark.createDataFrame([], RESPONSE), agents).schema
+        self.parse = assemble.parser(agents)
+        self.schema = self.parse(spark.createDataFrame([], RESPONSE)).schema
 
     def _done(self) -> set[int]:
         try:
@@ -87,9 +88,9 @@ class Rounds:
         for attempt in range(1, max(self.limits.values(), default=0) + 1):
             path = f"{self.folder}/round-{attempt}"
             if attempt not in done:
-                answers = assemble.parse(respond(to_prompts(todo), responder), self.agents)
+                answers = self.parse(respond(to_prompts(todo), responder))
                 answers.write.mode("overwrite").parquet(path)
-                mark = self.spark.createDataFrame([(attempt,)], "attempt int").coalesce(1)
+                mark = local_rows(self.spark, [{"attempt": attempt}], "attempt:int")
                 mark.write.mode("overwrite").json(f"{self.folder}/done/{attempt}")
             failed = assemble.failed_pairs(self.spark.read.schema(self.schema).parquet(path), self.limits)
             n = failed.count()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
@@ -59,3 +60,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few rows of bookkeeping as a one-partition frame, without a job to distribute them."""
+    return spark.sql(
+        f"SELECT inline(from_json(:rows, 'array<struct<{schema}>>'))", args={"rows": json.dumps(rows)}
+    )

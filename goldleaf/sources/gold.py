@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from goldleaf.operators.unique import one_per
 from goldleaf.schemas import ENTITY_COLUMNS, GOLD
+from goldleaf.session import local_rows
 
 MANIFEST = T.StructType(
     [
@@ -83,10 +84,10 @@ class GoldTable:
         return (top, rows.where(F.col("version") == top).collect()) if top else (0, [])
 
     def _commit(self, version: int, entries: list[tuple[int, str, int]]) -> None:
-        rows = [(b, f, n, version) for b, f, n in entries]
-        lines = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
+        rows = [{"bucket": b, "folder": f, "row_count": n} for b, f, n in entries]
+        lines = local_rows(self.spark, rows, "bucket:int,folder:string,row_count:bigint")
         # "errorifexists": of two writers with the same base, the second one fails.
-        lines.drop("version").write.mode("errorifexists").json(f"{self.path}/manifest/version={version}")
+        lines.write.mode("errorifexists").json(f"{self.path}/manifest/version={version}")
 
     def _load(self, entries: list) -> DataFrame:
         if not entries:

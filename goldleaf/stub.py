@@ -6,11 +6,9 @@ with the ways a model goes wrong. Timings with this stub say nothing of model la
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from goldleaf.operators.respond import NO_TEXT, Responder
-from goldleaf.schemas import RESPONSE
 
 # Answer templates per agent and case number; other cases give the "plain" one.
 # %L label, %C confidence, %K category, %k its lower case, %S subcategory,
@@ -72,76 +70,73 @@ TOPICS = [
 FATAL_EVERY = 97
 
 
-def digest(agent: Column, record_id: Column, attempt: Column) -> Column:
-    return F.md5(F.concat_ws(":", agent, record_id, attempt.cast("string")))
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def part(hashed: Column, position: int, modulus: int) -> Column:
+def _part(position: int, modulus: int, hashed: str = "_hash") -> str:
     """Four hex digits from `position` (from 1), modulo."""
-    return (F.conv(F.substring(hashed, position, 4), 16, 10).cast("int") % modulus).cast("int")
-
-
-def _fill(template: Column, hashed: Column) -> Column:
-    pick = lambda names, at: F.element_at(
-        F.array(*[F.lit(n) for n in names]), part(hashed, at, len(names)) + 1
-    )
-    thousandths = part(hashed, 9, 1001)
-    confidence = F.when(thousandths == 1000, "1.0").otherwise(
-        F.concat(F.lit("0."), F.lpad(thousandths.cast("string"), 3, "0"))
-    )
-    topic = pick(TOPICS, 5)
-    numbered = lambda name, at, n: F.concat(F.lit(name), part(hashed, at, n).cast("string"))
-    values = [
-        ("%L", pick(LABELS, 5)),
-        ("%U", F.upper(pick(LABELS, 5))),
-        ("%C", confidence),
-        ("%K", topic),
-        ("%k", F.lower(topic)),
-        ("%S", numbered("Kind ", 13, 7)),
-        ("%B", numbered("Brand ", 13, 41)),
-        ("%D", numbered("Brand ", 17, 41)),
-        ("%P", numbered("Place ", 21, 29)),
-        ("%N", numbered("Person ", 25, 53)),
-    ]
-    for marker, value in values:
-        template = F.replace(template, F.lit(marker), value)
+    return f"(cast(conv(substring({hashed}, {position}, 4), 16, 10) as int) % {modulus})"
+
+
+def _pick(values: list[str], position: int) -> str:
+    listed = ", ".join(_text(v) for v in values)
+    return f"element_at(array({listed}), {_part(position, len(values))} + 1)"
+
+
+def _answer() -> str:
+    whens = []
+    for agent, cases in CASES.items():
+        whens += [f"WHEN agent = '{agent}' AND _case = {n} THEN {_text(text)}" for n, text in cases.items()]
+        whens.append(f"WHEN agent = '{agent}' THEN {_text(PLAIN[agent])}")
+    return "CASE " + " ".join(whens) + " END"
+
+
+def _values() -> dict[str, str]:
+    share = _part(9, 1001)
+    topic = _pick(TOPICS, 5)
+    return {
+        "%L": _pick(LABELS, 5),
+        "%U": f"upper({_pick(LABELS, 5)})",
+        "%C": f"if({share} = 1000, '1.0', concat('0.', lpad({share}, 3, '0')))",
+        "%K": topic,
+        "%k": f"lower({topic})",
+        "%S": f"concat('Kind ', {_part(13, 7)})",
+        "%B": f"concat('Brand ', {_part(13, 41)})",
+        "%D": f"concat('Brand ', {_part(17, 41)})",
+        "%P": f"concat('Place ', {_part(21, 29)})",
+        "%N": f"concat('Person ', {_part(25, 53)})",
+    }
+
+
+def _filled(template: str) -> str:
+    for marker, value in _values().items():
+        template = f"replace({template}, '{marker}', {value})"
     return template
 
 
-def answer(agent: Column, hashed: Column) -> Column:
-    case = part(hashed, 1, CASE_COUNT)
-    template = F
-    for name, cases in CASES.items():
-        for number, text in cases.items():
-            template = template.when((agent == name) & (case == number), F.lit(text))
-        template = template.when(agent == name, F.lit(PLAIN[name]))
-    return _fill(template, hashed)
-
-
-def token_count(hashed: Column) -> Column:
-    return part(hashed, 29, 300) + 40
-
-
-def is_fatal(record_id: Column) -> Column:
-    return part(F.md5(F.concat_ws(":", F.lit("fatal"), record_id)), 1, FATAL_EVERY) == 0
-
-
 def stub_responder(called_at: str = "2024-06-02 06:00:00") -> Responder:
     """Column-only responder: deterministic, so evaluating it twice does no harm."""
+    fatal = _part(1, FATAL_EVERY, "md5(concat('fatal:', record_id))") + " = 0"
 
     def respond(prompts: DataFrame) -> DataFrame:
-        hashed = F.col("_hash")
-        asked = F.col("prompt").isNotNull()
-        fatal = asked & F.coalesce(is_fatal(F.col("record_id")), F.lit(False))
         return (
-            prompts.withColumn("_hash", digest(F.col("agent"), F.col("record_id"), F.col("attempt")))
-            .withColumn("raw", F.when(asked & ~fatal, answer(F.col("agent"), hashed)))
-            .withColumn("tokens", F.when(asked & ~fatal, token_count(hashed)).otherwise(0))
-            .withColumn("latency_ms", F.lit(0.0))
-            .withColumn("error", F.when(~asked, NO_TEXT).when(fatal, "record given up"))
-            .withColumn("fatal", fatal)
-            .withColumn("called_at", F.lit(called_at).cast("timestamp"))
-            .select(RESPONSE.names)
+            prompts.selectExpr(
+                "record_id", "agent", "attempt", "model", "prompt IS NOT NULL AS _asked",
+                "md5(concat_ws(':', agent, record_id, attempt)) AS _hash",
+            )
+            .selectExpr("*", f"_asked AND coalesce({fatal}, false) AS fatal", f"{_part(1, CASE_COUNT)} AS _case")
+            .selectExpr("*", f"{_answer()} AS _template")
+            .selectExpr(
+                "record_id", "agent", "attempt", "model",
+                f"CASE WHEN _asked AND NOT fatal THEN {_filled('_template')} END AS raw",
+                f"CASE WHEN _asked AND NOT fatal THEN {_part(29, 300)} + 40 ELSE 0 END AS tokens",
+                "0D AS latency_ms",
+                f"CASE WHEN NOT _asked THEN {_text(NO_TEXT)} WHEN fatal THEN 'record given up' END AS error",
+                "fatal",
+                f"TIMESTAMP '{called_at}' AS called_at",
+            )
         )
 
     return respond
