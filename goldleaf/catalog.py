@@ -24,7 +24,7 @@ from goldleaf.operators.prompts import explode_agents, render
 from goldleaf.operators.respond import pandas_responder, respond
 from goldleaf.plans import analysis
 from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, entity_agent, sentiment_agent
-from goldleaf.plans.enrich import RunConfig, answer_records, run
+from goldleaf.plans.enrich import Records, RunConfig, answer_records, enriched, run
 from goldleaf.schemas import ENTITY_COLUMNS
 from goldleaf.session import scratch
 from goldleaf.sources.calllog import read_calls
@@ -235,13 +235,12 @@ def _flat(rows: DataFrame) -> DataFrame:
 def enrich_wide(spark, sf_dir):
     """Pending documents through all agents with retries, before they are stored."""
     config = RunConfig(agents=agents(), spec=SPEC)
-    source = silver(spark, sf_dir)
-    rounds, _ = answer_records(
-        source, stored_ids(spark, sf_dir), stub_responder(), config, scratch(spark, "wide")
+    records = Records(silver(spark, sf_dir), SPEC)
+    rounds, ids, n = answer_records(
+        records, stored_ids(spark, sf_dir), stub_responder(), config, scratch(spark, "wide")
     )
-    answers = assemble.wide(rounds.settled(), config.agents)
-    rows = assemble.merge(source, answers, config.agents, SPEC, F.lit(AS_OF).cast("timestamp"), how="inner")
-    return _flat(rows).withColumn("failed_agents", F.to_json("failed_agents"))
+    rows = enriched(records, rounds, ids, n, config, F.lit(AS_OF).cast("timestamp"))
+    return _flat(rows).withColumns({"failed_agents": F.to_json("failed_agents"), "doc_id": F.col("doc_id").cast("bigint")})
 
 
 def gold_table(spark, sf_dir):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Python's str.strip() removes.
@@ -32,30 +34,38 @@ def non_blank(text: Column) -> Column:
     return text.isNotNull() & (F.trim(text) != "")
 
 
-def with_object(df: DataFrame, raw: str, out: str) -> DataFrame:
-    """Add `out`: VARIANT of an answer that is one JSON object and nothing else, else null.
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value worked out once, however often it is named.
 
-    The parser stops at the end of the first value, so text after it would pass.
-    Inside a list, with a hash of the text as second element, it cannot.
-    The steps are columns of their own so that each is evaluated once.
+    Columns would not do: a filter pushed below them puts the whole expression in every place.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def json_object(raw: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(object)` for an answer, where the object is the VARIANT of a text that is one JSON
+    object and nothing else, or null.
+
+    The parser stops at the end of the first value, so text after it would pass. Inside a
+    list, with a hash of the text as second element, it cannot.
     """
-    clean, pair = f"_{out}_clean", f"_{out}_pair"
-    seal = F.xxhash64(clean)
-    body = F.try_variant_get(F.col(pair), "$[0]", "variant")
-    whole = (
-        (F.try_variant_get(F.col(pair), "$[1]", "bigint") == seal)
-        & F.try_variant_get(F.col(pair), "$[2]", "variant").isNull()
-        & F.schema_of_variant(body).startswith("OBJECT")
-    )
-    return (
-        df.withColumn(clean, strip_fences(F.col(raw)))
-        .withColumn(
-            pair,
-            F.try_parse_json(F.concat(F.lit("["), clean, F.lit(","), seal.cast("string"), F.lit("]"))),
-        )
-        .withColumn(out, F.when(whole, body))
-        .drop(clean, pair)
-    )
+
+    def sealed(clean: Column) -> Column:
+        seal = F.xxhash64(clean)
+        pair = F.try_parse_json(F.concat(F.lit("["), clean, F.lit(","), seal.cast("string"), F.lit("]")))
+
+        def whole(both: Column) -> Column:
+            body = F.try_variant_get(both, "$[0]", "variant")
+            return F.when(
+                (F.try_variant_get(both, "$[1]", "bigint") == seal)
+                & F.try_variant_get(both, "$[2]", "variant").isNull()
+                & F.schema_of_variant(body).startswith("OBJECT"),
+                body,
+            )
+
+        return let(pair, whole)
+
+    return let(let(strip_fences(raw), sealed), use)
 
 
 def field(obj: Column, name: str) -> Column:
@@ -65,23 +75,29 @@ def field(obj: Column, name: str) -> Column:
 
 def field_text(obj: Column, name: str) -> Column:
     """The field as text: '' when missing, 'None' for a JSON null."""
-    value = field(obj, name)
-    return (
-        F.when(value.isNull(), F.lit(""))
-        .when(F.is_variant_null(value), F.lit("None"))
-        .otherwise(F.try_variant_get(obj, f"$.{name}", "string"))
-    )
+
+    def shown(value: Column) -> Column:
+        text = F.try_variant_get(value, "$", "string")
+        return (
+            F.when(value.isNull(), F.lit(""))
+            .when(F.is_variant_null(value), F.lit("None"))
+            .when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text))
+            .otherwise(text)
+        )
+
+    return let(field(obj, name), shown)
 
 
 def field_number(obj: Column, name: str) -> Column:
     """The field as double: 0.0 when missing, null when it is no number."""
-    value = field(obj, name)
-    text = strip(F.try_variant_get(obj, f"$.{name}", "string"))
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull(), F.lit(0.0))
-        .when((kind != "STRING") | text.rlike(NUMBER), F.try_variant_get(obj, f"$.{name}", "double"))
-    )
+
+    def number(value: Column) -> Column:
+        text = strip(F.try_variant_get(value, "$", "string"))
+        return F.when(value.isNull(), F.lit(0.0)).when(
+            (F.schema_of_variant(value) != "STRING") | text.rlike(NUMBER), F.try_variant_get(value, "$", "double")
+        )
+
+    return let(field(obj, name), number)
 
 
 def field_strings(obj: Column, name: str) -> Column:
@@ -93,18 +109,19 @@ def field_strings(obj: Column, name: str) -> Column:
 
     def element(item: Column) -> Column:
         kind = F.schema_of_variant(item)
-        shown = strip(F.try_variant_get(item, "$", "string"))
-        hollow = (
-            shown.isNull()
-            | shown.isin("false", "[]", "{}")
-            | F.coalesce(F.try_variant_get(item, "$", "double") == 0, F.lit(False))
-        )
-        return (
-            F.when(kind == "STRING", shown)
-            .when(hollow, None)
-            .when(kind == "BOOLEAN", F.lit("True"))
-            .otherwise(shown)
-        )
+
+        def kept(shown: Column) -> Column:
+            hollow = shown.isin("false", "[]", "{}") | F.coalesce(
+                F.try_variant_get(item, "$", "double") == 0, F.lit(False)
+            )
+            return (
+                F.when((kind == "STRING") | shown.isNull(), shown)
+                .when(hollow, None)
+                .when(kind == "BOOLEAN", F.lit("True"))
+                .otherwise(shown)
+            )
+
+        return let(strip(F.try_variant_get(item, "$", "string")), kept)
 
     texts = F.filter(F.transform(items, element), lambda x: x.isNotNull() & (x != ""))
     return F.coalesce(F.array_distinct(texts), F.array().cast("array<string>"))

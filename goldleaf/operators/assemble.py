@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.functions import cost as fc
-from goldleaf.functions.text import with_object
+from goldleaf.functions.text import json_object, let
 from goldleaf.operators.respond import NO_TEXT
 from goldleaf.plans.agents import AgentSpec, EnrichSpec
 from goldleaf.schemas import CALL_LOG, UNKNOWN_MODEL
@@ -18,20 +18,20 @@ from goldleaf.schemas import CALL_LOG, UNKNOWN_MODEL
 
 def parser(agents: list[AgentSpec]) -> Callable[[DataFrame], DataFrame]:
     """Function that adds a struct column per agent (null on other rows and for answers that
-    are not accepted) and `ok`.
-
-    Parsing and validation are separate projections, so that the check does not evaluate the
-    parse again. The expressions are made once, for use on every round.
+    are not accepted) and `ok`. The expressions are made once, for use on every round.
     """
-    parsed = {a.name: F.when(F.col("agent") == a.name, a.parse(F.col("_answer"))) for a in agents}
-    accepted = {a.name: F.when(a.validate(F.col(a.name)), F.col(a.name)) for a in agents}
-    good = reduce(or_, [F.col(a.name).isNotNull() for a in agents], F.lit(False))
 
-    def parse(responses: DataFrame) -> DataFrame:
-        objects = with_object(responses, "raw", "_answer")
-        return objects.withColumns(parsed).drop("_answer").withColumns(accepted).withColumn("ok", good)
+    def accepted(agent: AgentSpec) -> Column:
+        def checked(parsed: Column) -> Column:
+            return F.when(agent.validate(parsed), parsed)
+
+        answer = json_object(F.col("raw"), lambda obj: let(agent.parse(obj), checked))
+        return F.when(F.col("agent") == agent.name, answer)
+
+    structs = {a.name: accepted(a) for a in agents}
+    good = reduce(or_, [F.col(a.name).isNotNull() for a in agents], F.lit(False))
+    return lambda responses: responses.withColumns(structs).withColumn("ok", good)
 
-    return parse
 
 
 def parse(responses: DataFrame, agents: list[AgentSpec]) -> DataFrame:
@@ -134,16 +134,15 @@ def merge(
     agents: list[AgentSpec],
     spec: EnrichSpec = EnrichSpec(),
     as_of: Column | None = None,
-    how: str = "left",
 ) -> DataFrame:
     """Records with the answers' fields; a record given up gets null fields and the error flag.
 
-    With `how="left"` every record stays, answered or not. `failed_agents` names agents that used up their
+    Every record stays, answered or not. `failed_agents` names agents that used up their
     attempts; the error flag does not cover those.
     """
     lost = F.coalesce(F.col("given_up"), F.lit(False))
     keys = answers.withColumnRenamed("record_id", "_record_id")
-    joined = records.join(keys, F.col(spec.id_col).cast("string") == F.col("_record_id"), how)
+    joined = records.join(keys, F.col(spec.id_col).cast("string") == F.col("_record_id"), "left")
     fields = {}
     for a in agents:
         for name, expr in a.fields.items():

@@ -47,11 +47,42 @@ class RunConfig:
     as_of: str | None = None
 
 
+class Records:
+    """The input's records with a text, looked up by id."""
+
+    def __init__(self, silver: DataFrame, spec: EnrichSpec, only: Column | None = None) -> None:
+        self.spec = spec
+        self.columns = silver.columns
+        # A null key could not be stored, so it ends the run before any call is made.
+        key = F.coalesce(F.col(spec.id_col).cast("string"), F.raise_error(F.lit(f"{spec.id_col} is null")))
+        kept = silver.where(non_blank(F.col(spec.text_col))).withColumn(spec.id_col, key)
+        self.all = kept if only is None else kept.where(only)
+
+    def ids(self) -> DataFrame:
+        """Ids as `record_id`; not distinct when the input's are not."""
+        return self.all.select(F.col(self.spec.id_col).alias("record_id"))
+
+    def pick(self, wanted: DataFrame, few: bool, by: list[str] = ()) -> DataFrame:
+        """One record per id for the ids in `wanted`, with its columns.
+
+        A few ids are broadcast, and the texts of all other records never move. Else copies
+        of an id are reduced first, before the shuffle, and the join with the ids reuses its
+        partitioning.
+        """
+        id_col = self.spec.id_col
+        same = F.col(id_col) == F.col("record_id")
+        if few:
+            hit = self.all.join(F.broadcast(wanted), same)
+            return hit if self.spec.unique_ids else one_per(hit, [id_col, *by], tie=self.columns)
+        single = self.all if self.spec.unique_ids else one_per(self.all, [id_col])
+        return single.join(wanted, same)
+
+
 class Rounds:
-    """Saved answers of one wave: attempt k asks only what attempt k-1 left open.
+    """Saved ids and answers of one wave: attempt k asks only what attempt k-1 left open.
 
-    Every round is written before anything else reads it, with its parse. A round that is
-    marked done is not asked again when the run is repeated under its id.
+    Each table is written before anything else reads it, answers together with their parse.
+    One that is marked done is not made again when the run is repeated under its id.
     """
 
     def __init__(self, spark: SparkSession, folder: str, agents: list[AgentSpec]) -> None:
@@ -61,15 +92,31 @@ class Rounds:
         self.limits = {a.name: a.config.max_retries for a in agents}
         self.parse = assemble.parser(agents)
         self.schema = self.parse(spark.createDataFrame([], RESPONSE)).schema
+        self.done = self._marks()
+        self.fresh = not self.done
 
-    def _done(self) -> set[int]:
+    def _marks(self) -> set[int]:
         try:
-            marks = self.spark.read.schema("attempt int").json(f"{self.folder}/done/*")
+            marks = self.spark.read.schema("step int").json(f"{self.folder}/done/*")
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
             return set()
-        return {row.attempt for row in marks.collect()}
+        return {row.step for row in marks.collect()}
+
+    def _save(self, df: DataFrame, step: int, path: str) -> None:
+        df.write.mode("overwrite").parquet(path)
+        mark = local_rows(self.spark, [{"step": step}], "step:int")
+        mark.write.mode("overwrite").json(f"{self.folder}/done/{step}")
+        self.done.add(step)
+
+    def ids(self, pending: Callable[[], DataFrame]) -> tuple[DataFrame, int]:
+        """The wave's ids, fixed once, and their number."""
+        path = f"{self.folder}/ids"
+        if 0 not in self.done:
+            self._save(pending(), 0, path)
+        saved = self.spark.read.schema("record_id string").parquet(path)
+        return saved, saved.count()
 
     def ask(
         self,
@@ -77,88 +124,75 @@ class Rounds:
         again: Callable[[DataFrame, bool], DataFrame],
         to_prompts: Callable[[DataFrame], DataFrame],
         responder: Responder,
-    ) -> bool:
-        """Ask round by round; tells whether all of it was new, none taken from an earlier try.
+    ) -> None:
+        """Ask round by round.
 
         `again` gives the pairs of the next round from the failed ones, and is told whether
         those are few enough to broadcast.
         """
-        done = self._done()
         todo = first
         for attempt in range(1, max(self.limits.values(), default=0) + 1):
             path = f"{self.folder}/round-{attempt}"
-            if attempt not in done:
-                answers = self.parse(respond(to_prompts(todo), responder))
-                answers.write.mode("overwrite").parquet(path)
-                mark = local_rows(self.spark, [{"attempt": attempt}], "attempt:int")
-                mark.write.mode("overwrite").json(f"{self.folder}/done/{attempt}")
-            failed = assemble.failed_pairs(self.spark.read.schema(self.schema).parquet(path), self.limits)
-            n = failed.count()
-            if n == 0:
-                break
-            todo = again(failed, n <= BROADCAST_IDS)
-        return not done
-
-    def all(self) -> DataFrame:
-        paths = [f"{self.folder}/round-{k}" for k in sorted(self._done())]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+            if attempt not in self.done:
+                self._save(self.parse(respond(to_prompts(todo), responder)), attempt, path)
+            if attempt < max(self.limits.values()):
+                saved = self.spark.read.schema(self.schema).parquet(path)
+                failed = assemble.failed_pairs(saved, self.limits)
+                n = failed.count()
+                if n == 0:
+                    break
+                todo = again(failed, n <= BROADCAST_IDS)
 
     def settled(self) -> DataFrame:
         """The row that counts for each (record, agent): a filter, as each pair has just one."""
-        return assemble.settled(self.all(), self.limits)
-
-
-def _keyed(silver: DataFrame, config: RunConfig, only: Column | None) -> DataFrame:
-    """Records with a text, the key set; a null key could not be stored, so it ends the run."""
-    spec = config.spec
-    key = F.coalesce(F.col(spec.id_col).cast("string"), F.raise_error(F.lit(f"{spec.id_col} is null")))
-    kept = silver.where(non_blank(F.col(spec.text_col))).withColumn(spec.id_col, key)
-    return kept if only is None else kept.where(only)
-
-
-def _single(df: DataFrame, config: RunConfig) -> DataFrame:
-    return df if config.spec.unique_ids else one_per(df, [config.spec.id_col])
+        paths = [f"{self.folder}/round-{k}" for k in sorted(self.done) if k > 0]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return assemble.settled(self.spark.read.schema(self.schema).parquet(*paths), self.limits)
 
 
 def answer_records(
-    silver: DataFrame,
-    gold_ids: DataFrame | None,
-    responder: Responder,
-    config: RunConfig,
-    folder: str,
-    only: Column | None = None,
-) -> tuple[Rounds, bool]:
-    """Ask all agents about all pending records, with retries; the answers stay in `folder`."""
-    spec, spark = config.spec, silver.sparkSession
-    id_col, text_col = spec.id_col, spec.text_col
+    records: Records, gold_ids: DataFrame | None, responder: Responder, config: RunConfig, folder: str
+) -> tuple[Rounds, DataFrame, int]:
+    """Ask all agents about all pending records, with retries; the answers stay in `folder`.
+
+    Gives the saved rounds, and the ids asked about with their number.
+    """
+    spec, spark = config.spec, records.all.sparkSession
     templates = read_templates(spark, config.agents, config.template_dir)
-    keyed = _keyed(silver, config, only)
-    # One row per id comes first: copies of a hot id then meet before the shuffle, and the
-    # join with the output reuses the partitioning.
-    pending = not_in(_single(keyed, config), gold_ids, id_col).select(id_col, text_col)
-    if config.call_partitions:
-        pending = pending.repartition(config.call_partitions, id_col)
+    rounds = Rounds(spark, folder, config.agents)
 
-    def again(failed: DataFrame, few: bool) -> DataFrame:
-        # Failed ids are pending ones, so the output need not be looked at again.
-        if not few:
-            hit = _single(keyed, config).join(failed, F.col(id_col) == F.col("record_id"))
-        else:
-            hit = keyed.join(F.broadcast(failed), F.col(id_col) == F.col("record_id"))
-            if not spec.unique_ids:
-                hit = one_per(hit, [id_col, "agent"], tie=silver.columns)
-        return hit.select(id_col, text_col, "agent", "attempt")
+    def pending() -> DataFrame:
+        ids = records.ids() if spec.unique_ids else records.ids().distinct()
+        stored = gold_ids.select(F.col(gold_ids.columns[0]).cast("string").alias("record_id")) if gold_ids is not None else None
+        return not_in(ids, stored, "record_id")
 
-    rounds = Rounds(spark, folder, config.agents)
-    fresh = rounds.ask(
-        explode_agents(pending, config.agents),
-        again,
+    ids, n = rounds.ids(pending)
+    if n == 0:
+        return rounds, ids, 0
+    texts = records.pick(ids, n <= BROADCAST_IDS).select(spec.id_col, spec.text_col)
+    if config.call_partitions:
+        texts = texts.repartition(config.call_partitions, spec.id_col)
+    rounds.ask(
+        explode_agents(texts, config.agents),
+        lambda failed, few: records.pick(failed, few, ["agent"]).select(
+            spec.id_col, spec.text_col, "agent", "attempt"
+        ),
         lambda pairs: render(pairs, config.agents, templates, spec),
         responder,
     )
-    return rounds, fresh
+    return rounds, ids, n
+
+
+def enriched(
+    records: Records, rounds: Rounds, ids: DataFrame, n: int, config: RunConfig, as_of: Column | None = None
+) -> DataFrame:
+    """The asked records with what was answered about them."""
+    rows = records.pick(ids, n <= BROADCAST_IDS).drop("record_id")
+    if not config.agents:
+        return rows.withColumn("enriched_at", F.current_timestamp() if as_of is None else as_of)
+    answers = assemble.wide(rounds.settled(), config.agents)
+    return assemble.merge(rows, answers, config.agents, config.spec, as_of)
 
 
 def run(
@@ -171,34 +205,28 @@ def run(
 ) -> DataFrame:
     """Enrich all pending records into the output table; one row of totals.
 
-    Repeating a run under its id takes up the saved answers where it ended. Records that
-    came in since then wait for the next run.
+    Repeating a run under its id takes up the saved ids and answers where it ended. Records
+    that came in since then wait for the next run.
     """
     run_id = run_id or uuid.uuid4().hex[:8]
     spec = config.spec
     as_of = F.lit(config.as_of).cast("timestamp") if config.as_of else None
     stored, batches, logs, spent = 0, 0, [], 0
     for number in range(config.waves):
-        only = wave(spec.id_col, config.waves) == number if config.waves > 1 else None
+        records = Records(silver, spec, wave(spec.id_col, config.waves) == number if config.waves > 1 else None)
         version = gold.version()
-        ids = gold.ids().withColumnRenamed(gold.id_col, spec.id_col) if version else None
         folder = f"{shared_dir(spark)}/runs/{run_id}/wave-{number}"
-        rounds, fresh = answer_records(silver, ids, responder, config, folder, only)
-        settled = rounds.settled()
-        records = _single(_keyed(silver, config, only), config)
-        if config.agents:
-            merged = assemble.merge(
-                records, assemble.wide(settled, config.agents), config.agents, spec, as_of, how="inner"
-            )
-        else:
-            merged = not_in(records, ids, spec.id_col).withColumn("enriched_at", as_of or F.current_timestamp())
-        rows = merged.withColumnsRenamed({spec.id_col: gold.id_col, spec.text_col: "review_text"})
-        n = gold.upsert(rows, unique=True, absent_at=version if fresh else None)
-        stored, batches = stored + n, batches + (n > 0)
-        calls = assemble.call_log(settled, config.agents, run_id)
-        if config.log_path and n:
-            append_calls(calls, config.log_path, run_id, number)
+        rounds, ids, n = answer_records(records, gold.ids() if version else None, responder, config, folder)
+        calls = assemble.call_log(rounds.settled(), config.agents, run_id)
         logs.append(calls)
+        if n == 0:
+            continue
+        rows = enriched(records, rounds, ids, n, config, as_of)
+        rows = rows.withColumnsRenamed({spec.id_col: gold.id_col, spec.text_col: "review_text"})
+        stored += gold.upsert(rows, unique=True, absent_at=version if rounds.fresh else None)
+        batches += 1
+        if config.log_path:
+            append_calls(calls, config.log_path, run_id, number)
         if config.budget_usd:
             spent += calls.agg(F.sum("cost_usd")).first()[0] or 0
             if spent > config.budget_usd:

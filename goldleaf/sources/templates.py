@@ -28,9 +28,8 @@ def read_templates(
     else:
         names = [a.name for a in agents]
         rows = (
-            spark.read.option("wholetext", True)
-            .option("pathGlobFilter", "*.txt")
-            .text(folder)
+            spark.read.option("pathGlobFilter", "*.txt")
+            .text(folder, wholetext=True)
             .select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.txt$", 1).alias("agent"), "value")
             .where(F.col("agent").isin(names))
             .collect()

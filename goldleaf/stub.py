@@ -75,7 +75,7 @@ def _text(value: str) -> str:
     return f"'{escaped}'"
 
 
-def _part(position: int, modulus: int, hashed: str = "_hash") -> str:
+def _part(position: int, modulus: int, hashed: str = "h") -> str:
     """Four hex digits from `position` (from 1), modulo."""
     return f"(cast(conv(substring({hashed}, {position}, 4), 16, 10) as int) % {modulus})"
 
@@ -85,12 +85,13 @@ def _pick(values: list[str], position: int) -> str:
     return f"element_at(array({listed}), {_part(position, len(values))} + 1)"
 
 
-def _answer() -> str:
-    whens = []
+def _template() -> str:
+    """The answer's template, looked up by agent and case number."""
+    tables = []
     for agent, cases in CASES.items():
-        whens += [f"WHEN agent = '{agent}' AND _case = {n} THEN {_text(text)}" for n, text in cases.items()]
-        whens.append(f"WHEN agent = '{agent}' THEN {_text(PLAIN[agent])}")
-    return "CASE " + " ".join(whens) + " END"
+        rows = ", ".join(_text(cases.get(n, PLAIN[agent])) for n in range(CASE_COUNT))
+        tables.append(f"WHEN agent = '{agent}' THEN element_at(array({rows}), {_part(1, CASE_COUNT)} + 1)")
+    return "CASE " + " ".join(tables) + " END"
 
 
 def _values() -> dict[str, str]:
@@ -110,33 +111,35 @@ def _values() -> dict[str, str]:
     }
 
 
-def _filled(template: str) -> str:
+def _answer() -> str:
+    text = _template()
     for marker, value in _values().items():
-        template = f"replace({template}, '{marker}', {value})"
-    return template
+        text = f"replace({text}, '{marker}', {value})"
+    return text
 
 
 def stub_responder(called_at: str = "2024-06-02 06:00:00") -> Responder:
     """Column-only responder: deterministic, so evaluating it twice does no harm."""
     fatal = _part(1, FATAL_EVERY, "md5(concat('fatal:', record_id))") + " = 0"
+    # The lambda gives the hash a name, so that it is worked out once per row.
+    said = (
+        "transform(array(md5(concat_ws(':', agent, record_id, attempt))), h -> "
+        f"named_struct('raw', {_answer()}, 'tokens', {_part(29, 300)} + 40))[0]"
+    )
 
     def respond(prompts: DataFrame) -> DataFrame:
-        return (
-            prompts.selectExpr(
-                "record_id", "agent", "attempt", "model", "prompt IS NOT NULL AS _asked",
-                "md5(concat_ws(':', agent, record_id, attempt)) AS _hash",
-            )
-            .selectExpr("*", f"_asked AND coalesce({fatal}, false) AS fatal", f"{_part(1, CASE_COUNT)} AS _case")
-            .selectExpr("*", f"{_answer()} AS _template")
-            .selectExpr(
-                "record_id", "agent", "attempt", "model",
-                f"CASE WHEN _asked AND NOT fatal THEN {_filled('_template')} END AS raw",
-                f"CASE WHEN _asked AND NOT fatal THEN {_part(29, 300)} + 40 ELSE 0 END AS tokens",
-                "0D AS latency_ms",
-                f"CASE WHEN NOT _asked THEN {_text(NO_TEXT)} WHEN fatal THEN 'record given up' END AS error",
-                "fatal",
-                f"TIMESTAMP '{called_at}' AS called_at",
-            )
+        return prompts.selectExpr(
+            "record_id", "agent", "attempt", "model", "prompt IS NOT NULL AS _asked",
+            f"prompt IS NOT NULL AND coalesce({fatal}, false) AS fatal",
+            f"CASE WHEN prompt IS NOT NULL AND NOT coalesce({fatal}, false) THEN {said} END AS _said",
+        ).selectExpr(
+            "record_id", "agent", "attempt", "model",
+            "_said.raw AS raw",
+            "coalesce(_said.tokens, 0) AS tokens",
+            "0D AS latency_ms",
+            f"CASE WHEN NOT _asked THEN {_text(NO_TEXT)} WHEN fatal THEN 'record given up' END AS error",
+            "fatal",
+            f"TIMESTAMP '{called_at}' AS called_at",
         )
 
     return respond
