@@ -55,13 +55,8 @@ def json_object(raw: Column, use: Callable[[Column], Column]) -> Column:
         pair = F.try_parse_json(F.concat(F.lit("["), clean, F.lit(","), seal.cast("string"), F.lit("]")))
 
         def whole(both: Column) -> Column:
-            body = F.try_variant_get(both, "$[0]", "variant")
-            return F.when(
-                (F.try_variant_get(both, "$[1]", "bigint") == seal)
-                & F.try_variant_get(both, "$[2]", "variant").isNull()
-                & F.schema_of_variant(body).startswith("OBJECT"),
-                body,
-            )
+            sealed_by = F.try_variant_get(both, "$[1]", "bigint") == seal
+            return F.when(sealed_by & clean.startswith("{"), F.try_variant_get(both, "$[0]", "variant"))
 
         return let(pair, whole)
 
