@@ -57,23 +57,10 @@ def current(
     window_seconds: int = WINDOW_SECONDS,
     as_of: str | None = None,
 ) -> DataFrame:
-    """Requests and tokens per key in the window that ends now.
-
-    Without `as_of` now is the latest call: one value, so the join below adds one row.
-    """
-    if as_of is None:
-        now = calls.agg(F.max("timestamp").alias("_now"))
-    else:
-        now = calls.sparkSession.range(1).select(F.lit(as_of).cast("timestamp").alias("_now"))
-    inside = F.col("timestamp").between(
-        F.col("_now") - F.make_dt_interval(secs=F.lit(window_seconds)), F.col("_now")
-    )
-    return (
-        calls.select(key, "timestamp", tokens)
-        .crossJoin(F.broadcast(now))
-        .groupBy(key)
-        .agg(
-            F.count_if(inside).alias("current_rpm"),
-            F.coalesce(F.sum(F.when(inside, F.col(tokens))), F.lit(0)).alias("current_tpm"),
-        )
+    """Requests and tokens per key in the window that ends now: at `as_of`, or the latest call."""
+    now = F.lit(as_of).cast("timestamp") if as_of else calls.select(F.max("timestamp")).scalar()
+    inside = F.col("timestamp").between(now - F.make_dt_interval(secs=F.lit(window_seconds)), now)
+    return calls.groupBy(key).agg(
+        F.count_if(inside).alias("current_rpm"),
+        F.coalesce(F.sum(F.when(inside, F.col(tokens))), F.lit(0)).alias("current_tpm"),
     )

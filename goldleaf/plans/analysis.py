@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldleaf.operators.percentiles import percentiles, value_counts
@@ -43,10 +43,8 @@ def counts(gold: DataFrame, column: str) -> DataFrame:
 def shares(gold: DataFrame, column: str) -> DataFrame:
     """Share of each value among non-null rows, to 4 places."""
     per_value = counts(gold, column)
-    # One row.
-    total = per_value.agg(F.sum("n").alias("_total"))
-    share = F.round(F.col("n") / F.col("_total"), 4)
-    return per_value.crossJoin(F.broadcast(total)).select(column, share.alias("share"))
+    total = per_value.select(F.sum("n")).scalar()
+    return per_value.select(column, F.round(F.col("n") / total, 4).alias("share"))
 
 
 def top(per_value: DataFrame, column: str, k: int) -> DataFrame:
@@ -252,33 +250,26 @@ def mean_confidence(gold: DataFrame) -> DataFrame:
     return gold.agg(F.avg("sentiment_confidence").alias("avg_sentiment_confidence"))
 
 
-def _as_map(pairs: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """A handful of rows (a fixed domain, or a top-k) as one map."""
-    return pairs.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias(name))
+def _as_map(pairs: DataFrame, key: str, value: str) -> Column:
+    """A handful of rows (a fixed domain, or a top-k) as one map value."""
+    return pairs.select(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))).scalar()
 
 
 def report(gold: DataFrame, k: int = 5) -> DataFrame:
     """All headline figures in one row."""
-    base = gold.agg(
+    names = mentions(gold.select(*ENTITY_COLUMNS)).groupBy("type").agg(F.count("*").alias("n"))
+
+    def unique(kind: str) -> Column:
+        return F.coalesce(names.where(F.col("type") == kind).select(F.max("n")).scalar(), F.lit(0))
+
+    return gold.agg(
         F.count("*").alias("total_records"),
         F.avg(F.col("enrichment_error").cast("int")).alias("enrichment_error_rate"),
         F.avg("sentiment_confidence").alias("avg_sentiment_confidence"),
+    ).select(
+        "*",
+        _as_map(shares(gold, "sentiment"), "sentiment", "share").alias("sentiment_distribution"),
+        _as_map(top_categories(gold, k), "category", "n").alias("top_categories"),
+        unique("brands").alias("unique_brands"),
+        unique("locations").alias("unique_locations"),
     )
-    kinds = (
-        mentions(gold.select(*ENTITY_COLUMNS))
-        .groupBy("type")
-        .agg(F.count("*").alias("n"))
-        .agg(
-            *[
-                F.coalesce(F.max(F.when(F.col("type") == t, F.col("n"))), F.lit(0)).alias(f"unique_{t}")
-                for t in ("brands", "locations")
-            ]
-        )
-    )
-    parts = [
-        _as_map(shares(gold, "sentiment"), "sentiment", "share", "sentiment_distribution"),
-        _as_map(top_categories(gold, k), "category", "n", "top_categories"),
-        kinds,
-    ]
-    # Every part is one row.
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts, base)

@@ -34,7 +34,8 @@ class RunConfig:
 
     `waves` splits the records by a hash of their id; the output is written after each wave,
     so a run that dies loses at most one. `call_partitions` sets how many tasks call the
-    model, where the input's own partitions are too few or a provider limit caps them.
+    model in each round, where those of the input, or the few that adaptive execution makes of
+    a small retry, are too few, or where a provider limit caps them.
     """
 
     agents: list[AgentSpec] = field(default_factory=default_agents)
@@ -170,14 +171,18 @@ def answer_records(
     ids, n = rounds.ids(pending)
     if n == 0:
         return rounds, ids, 0
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df.repartition(config.call_partitions, *df.columns[:1]) if config.call_partitions else df
+
+    def again(failed: DataFrame, few: bool) -> DataFrame:
+        columns = [spec.id_col, spec.text_col, "agent", "attempt"]
+        return spread(records.pick(failed, few, ["agent"]).select(columns))
+
     texts = records.pick(ids, n <= BROADCAST_IDS).select(spec.id_col, spec.text_col)
-    if config.call_partitions:
-        texts = texts.repartition(config.call_partitions, spec.id_col)
     rounds.ask(
-        explode_agents(texts, config.agents),
-        lambda failed, few: records.pick(failed, few, ["agent"]).select(
-            spec.id_col, spec.text_col, "agent", "attempt"
-        ),
+        explode_agents(spread(texts), config.agents),
+        again,
         lambda pairs: render(pairs, config.agents, templates, spec),
         responder,
     )
