@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.operators.running import running_totals
+from goldleaf.operators.running import ranged, totals_over
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -23,8 +23,9 @@ def percentiles(counts: DataFrame, keys: list[str], value: str, probs: dict[str,
     holds every distinct value of a group in one task; here running counts tell which two
     values matter, and only those are brought together.
     """
-    upto = running_totals(counts, keys, [value], {"upto": "n"})
-    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_size")).select(
+    saved = ranged(counts, keys, [value])
+    upto = totals_over(saved, keys, [value], {"upto": "n"})
+    sizes = saved.groupBy(*keys).agg(F.sum("n").alias("_size")).select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], "_size"
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys], F.lit(True))

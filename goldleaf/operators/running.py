@@ -23,6 +23,15 @@ def _slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def ranged(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None) -> DataFrame:
+    """The rows range-partitioned on keys and order, with their slice number, as a written table.
+
+    Written, because another evaluation could draw other range bounds.
+    """
+    parts = df.repartitionByRange(slices or _slices(df), *keys, *order)
+    return written(parts.withColumn(SLICE, F.spark_partition_id()), "ranged")
+
+
 def running_totals(
     df: DataFrame, keys: list[str], order: list[str], totals: dict[str, str], slices: int | None = None
 ) -> DataFrame:
@@ -30,11 +39,14 @@ def running_totals(
 
     `totals` maps new columns to summed ones. The order has to settle every tie that matters.
     """
-    n = slices or _slices(df)
-    # Written, because another evaluation could draw other range bounds.
-    saved = written(
-        df.repartitionByRange(n, *keys, *order).withColumn(SLICE, F.spark_partition_id()), "ranged"
-    )
+    return totals_over(ranged(df, keys, order, slices), keys, order, totals, slices)
+
+
+def totals_over(
+    saved: DataFrame, keys: list[str], order: list[str], totals: dict[str, str], slices: int | None = None
+) -> DataFrame:
+    """`running_totals` of a table from `ranged`."""
+    n = slices or _slices(saved)
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     per_slice = saved.groupBy(SLICE, *keys).agg(*[F.sum(source).alias(name) for name, source in totals.items()])
     # Sums of sums keep the type of the sums, so that decimals lose no places.
@@ -62,7 +74,7 @@ def running_totals(
             name: F.coalesce(F.col(name) + F.col(f"_c_{name}"), F.col(name)).cast(kinds[name])
             for name in totals
         }
-    ).select(*df.columns, *totals)
+    ).select(*[c for c in saved.columns if c != SLICE], *totals)
 
 
 def row_numbers(df: DataFrame, order: list[str], name: str, slices: int | None = None) -> DataFrame:

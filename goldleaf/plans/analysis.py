@@ -1,7 +1,8 @@
 """Analysis of the output table: one lazy frame per figure or table.
 
 Columns are pruned to what each needs, counts are reduced before any shuffle, and top-k
-lists never sort more than k rows per task.
+lists never sort more than k rows per task. Where counts are used twice they are written in
+between, so that the output table itself is read once.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.operators.percentiles import percentiles, value_counts
 from goldleaf.schemas import CONFIDENCE_THRESHOLD, ENTITY_COLUMNS, SENTIMENTS
+from goldleaf.session import written
 
 ENRICHED = ["sentiment", "sentiment_confidence", "category", "subcategory", *ENTITY_COLUMNS]
 BINS = 20
@@ -42,7 +44,7 @@ def counts(gold: DataFrame, column: str) -> DataFrame:
 
 def shares(gold: DataFrame, column: str) -> DataFrame:
     """Share of each value among non-null rows, to 4 places."""
-    per_value = counts(gold, column)
+    per_value = written(counts(gold, column), "counts")
     total = per_value.select(F.sum("n")).scalar()
     return per_value.select(column, F.round(F.col("n") / total, 4).alias("share"))
 
@@ -56,14 +58,18 @@ def top_categories(gold: DataFrame, k: int = 15) -> DataFrame:
     return top(counts(gold, "category"), "category", k)
 
 
+def _pairs(gold: DataFrame, column: str) -> DataFrame:
+    """Rows per category and another column's value."""
+    known = gold.where(F.col("category").isNotNull())
+    return written(known.groupBy("category", column).agg(F.count("*").alias("n")), "pairs")
+
+
 def category_sentiment(gold: DataFrame, k: int = 8) -> DataFrame:
     """Sentiment counts and percentages within each of the k top categories.
 
     A sentiment that never occurs still gets its column.
     """
-    per_pair = gold.where(F.col("category").isNotNull()).groupBy("category", "sentiment").agg(
-        F.count("*").alias("n")
-    )
+    per_pair = _pairs(gold, "sentiment")
     # Sizes count rows without a sentiment too; the percentages do not.
     best = per_pair.groupBy("category").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "category").limit(k)
     table = (
@@ -82,9 +88,7 @@ def category_sentiment(gold: DataFrame, k: int = 8) -> DataFrame:
 
 def top_subcategories(gold: DataFrame, k: int = 10) -> DataFrame:
     """The k most frequent subcategories within the most frequent category."""
-    per_pair = gold.where(F.col("category").isNotNull()).groupBy("category", "subcategory").agg(
-        F.count("*").alias("n")
-    )
+    per_pair = _pairs(gold, "subcategory")
     first = per_pair.groupBy("category").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "category").limit(1)
     within = per_pair.where(F.col("subcategory").isNotNull()).join(
         F.broadcast(first.select("category")), "category", "left_semi"
@@ -108,7 +112,7 @@ def confidence_histogram(gold: DataFrame, bins: int = BINS) -> DataFrame:
     A value is put by the bin edges themselves, which for values on an edge is not always
     what the scaled position says.
     """
-    per_value = value_counts(_scored(gold), ["sentiment"], "sentiment_confidence")
+    per_value = written(value_counts(_scored(gold), ["sentiment"], "sentiment_confidence"), "counts")
     low, high = F.min("sentiment_confidence"), F.max("sentiment_confidence")
     # Sentiments are a fixed domain of three.
     ranges = (
@@ -153,7 +157,7 @@ def box_stats(df: DataFrame, key: str, value: str) -> DataFrame:
 
     Works on the counts of distinct values, with the few quartile rows joined to them.
     """
-    per_value = value_counts(df, [key], value)
+    per_value = written(value_counts(df, [key], value), "counts")
     box = percentiles(per_value, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
@@ -257,10 +261,8 @@ def _as_map(pairs: DataFrame, key: str, value: str) -> Column:
 
 def report(gold: DataFrame, k: int = 5) -> DataFrame:
     """All headline figures in one row."""
-    names = mentions(gold.select(*ENTITY_COLUMNS)).groupBy("type").agg(F.count("*").alias("n"))
-
-    def unique(kind: str) -> Column:
-        return F.coalesce(names.where(F.col("type") == kind).select(F.max("n")).scalar(), F.lit(0))
+    names = mentions(gold).groupBy("type").agg(F.count("*").alias("n"))
+    unique = _as_map(names, "type", "n")
 
     return gold.agg(
         F.count("*").alias("total_records"),
@@ -270,6 +272,8 @@ def report(gold: DataFrame, k: int = 5) -> DataFrame:
         "*",
         _as_map(shares(gold, "sentiment"), "sentiment", "share").alias("sentiment_distribution"),
         _as_map(top_categories(gold, k), "category", "n").alias("top_categories"),
-        unique("brands").alias("unique_brands"),
-        unique("locations").alias("unique_locations"),
+        *[
+            F.coalesce(F.element_at(unique, kind), F.lit(0)).alias(f"unique_{kind}")
+            for kind in ("brands", "locations")
+        ],
     )
