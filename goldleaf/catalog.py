@@ -24,7 +24,7 @@ from goldleaf.operators.prompts import explode_agents, render
 from goldleaf.operators.respond import pandas_responder, respond
 from goldleaf.plans import analysis
 from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, entity_agent, sentiment_agent
-from goldleaf.plans.enrich import Records, RunConfig, answer_records, enriched, run
+from goldleaf.plans.enrich import Records, RunConfig, answer_records, enriched, run, saved_answers
 from goldleaf.schemas import ENTITY_COLUMNS
 from goldleaf.session import scratch
 from goldleaf.sources.calllog import read_calls
@@ -120,7 +120,10 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         if key not in _gold_paths:
             path = scratch(spark, "gold")
             config = RunConfig(agents=agents(), spec=SPEC, as_of=AS_OF, log_path=f"{path}-log")
-            run(spark, silver(spark, sf_dir), GoldTable(spark, path, buckets=BUCKETS), stub_responder(), config)
+            run(
+                spark, silver(spark, sf_dir), GoldTable(spark, path, buckets=BUCKETS), stub_responder(), config,
+                run_id=path.rsplit("/", 1)[-1],
+            )
             _gold_paths[key] = path
     return GoldTable(spark, _gold_paths[key], buckets=BUCKETS).read()
 
@@ -259,6 +262,14 @@ def run_calls(spark, sf_dir):
     )
 
 
+def call_metrics(spark, sf_dir):
+    """Calls per agent and attempt of the run behind `gold`, failed ones included."""
+    gold(spark, sf_dir)
+    run_id = _gold_paths[(spark.sparkContext.applicationId, sf_dir)].rsplit("/", 1)[-1]
+    answers = saved_answers(spark, run_id, RunConfig(agents=agents()))
+    return assemble.metrics(answers).drop("avg_latency_ms")
+
+
 def run_summary(spark, sf_dir):
     """Totals of a run over the pending documents, with a row per agent."""
     source = silver(spark, sf_dir).join(stored_ids(spark, sf_dir), "doc_id", "left_anti")
@@ -506,7 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         pending_fetch, pending_without_gold, pending_topk, pending_count, pending_turns, prompt_render, model_call,
         sentiment_parse, category_parse, entity_parse, first_valid_attempt, enrich_wide, gold_table,
-        null_enrichment, run_calls, run_summary, gold_upsert, batch_assign, call_log, cost_rollup, cost_totals,
+        null_enrichment, run_calls, call_metrics, run_summary, gold_upsert, batch_assign, call_log, cost_rollup, cost_totals,
         cost_by_agent, cost_by_model, run_cost_summary, unpriced_models, agent_breakdown, cumulative_cost,
         budget_crossing, usage_window, current_usage, token_boxplot, gold_overview, null_rates, sentiment_counts,
         sentiment_share, top_categories, category_sentiment_pct, top_subcategories, median_confidence,

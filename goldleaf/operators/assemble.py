@@ -33,7 +33,6 @@ def parser(agents: list[AgentSpec]) -> Callable[[DataFrame], DataFrame]:
     return lambda responses: responses.withColumns(structs).withColumn("ok", good)
 
 
-
 def parse(responses: DataFrame, agents: list[AgentSpec]) -> DataFrame:
     return parser(agents)(responses)
 
@@ -60,6 +59,17 @@ def settled(parsed: DataFrame, max_retries: dict[str, int]) -> DataFrame:
     return parsed.where(~_again(max_retries))
 
 
+def metrics(parsed: DataFrame) -> DataFrame:
+    """Calls, accepted answers, errors, tokens and latency per agent, model and attempt."""
+    return parsed.groupBy("agent", "model", "attempt").agg(
+        F.count("*").alias("calls"),
+        F.count_if("ok").alias("accepted"),
+        F.count("error").alias("errors"),
+        F.sum("tokens").alias("tokens"),
+        F.avg("latency_ms").alias("avg_latency_ms"),
+    )
+
+
 def first_valid(parsed: DataFrame) -> DataFrame:
     """One row per (record, agent): the earliest good attempt, else the last bad one.
 

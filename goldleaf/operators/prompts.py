@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.plans.agents import AgentSpec, EnrichSpec
+from goldleaf.schemas import PROMPT
 
 TEXT_MARKER = "{{review_text}}"
 
@@ -46,6 +47,9 @@ def render(
         "agent",
         "attempt",
         by_agent(lambda a: F.lit(a.config.model)).alias("model"),
+        by_agent(lambda a: F.lit(a.config.temperature)).alias("temperature"),
+        by_agent(lambda a: F.lit(a.config.max_tokens)).alias("max_tokens"),
+        by_agent(lambda a: F.lit(a.config.timeout_seconds)).alias("timeout_seconds"),
         by_agent(lambda a: F.lit(a.system)).alias("system"),
         F.when(text != "", prompt).alias("prompt"),
-    )
+    ).select(PROMPT.names)

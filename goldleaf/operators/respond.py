@@ -44,8 +44,8 @@ def _answer(call: Callable[..., tuple[str, int]], row) -> tuple:
 def pandas_responder(open_client: Callable[[], Callable[..., tuple[str, int]]]) -> Responder:
     """Responder from a client factory.
 
-    `open_client()` runs once per partition and gives a function from a prompt row (with
-    `record_id, agent, attempt, model, system, prompt`) to answer text and token count. An
+    `open_client()` runs once per partition and gives a function from a prompt row (with the
+    fields of `PROMPT`, so the agent's settings too) to answer text and token count. An
     exception it raises becomes the row's `error`; no row ever fails the task.
     """
 

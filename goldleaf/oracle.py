@@ -284,6 +284,11 @@ ORACLE: dict[str, str] = {
     "run_summary": f"""{gold(WAITING)} SELECT (SELECT count(*) FROM gold) AS records_processed, 1::BIGINT AS batches_processed,
         (SELECT sum(cost8)::BIGINT {MONEY} FROM run_log) AS total_cost_usd, (SELECT sum(total_tokens)::BIGINT FROM run_log) AS total_tokens,
         agent, count(*) AS calls, sum(total_tokens)::BIGINT AS tokens, sum(cost8)::BIGINT {MONEY} AS cost_usd FROM run_log GROUP BY agent""",
+    "call_metrics": f"""{GOLD}, ordered AS (
+            SELECT *, coalesce(bool_or(ok OR fatal) OVER (PARTITION BY record_id, agent ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS over
+            FROM parsed)
+        SELECT agent, model, attempt::INTEGER AS attempt, count(*) AS calls, count(*) FILTER (WHERE ok) AS accepted,
+            count(*) FILTER (WHERE fatal) AS errors, sum(tokens)::BIGINT AS tokens FROM ordered WHERE NOT over GROUP BY agent, model, attempt""",
     "gold_upsert": """WITH docs AS (SELECT doc_id::VARCHAR AS review_id, source AS product_id, text AS review_text,
             strftime(DATE '2024-06-01' + (doc_id % 30)::INTEGER, '%Y-%m-%d') AS date, l.quality
             FROM documents LEFT JOIN labels l USING (doc_id))

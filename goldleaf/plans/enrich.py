@@ -46,6 +46,9 @@ class RunConfig:
     template_dir: str | None = None
     budget_usd: float | None = None
     as_of: str | None = None
+    # Called with the back-off in seconds between two rounds; a round of a large run takes
+    # longer than any back-off, so there is none by default.
+    pause: Callable[[float], None] | None = None
 
 
 class Records:
@@ -125,6 +128,7 @@ class Rounds:
         again: Callable[[DataFrame, bool], DataFrame],
         to_prompts: Callable[[DataFrame], DataFrame],
         responder: Responder,
+        pause: Callable[[float], None] | None = None,
     ) -> None:
         """Ask round by round.
 
@@ -142,14 +146,30 @@ class Rounds:
                 n = failed.count()
                 if n == 0:
                     break
+                if pause and attempt + 1 not in self.done:
+                    pause(max(a.config.retry_backoff_base for a in self.agents) ** (attempt - 1))
                 todo = again(failed, n <= BROADCAST_IDS)
 
-    def settled(self) -> DataFrame:
-        """The row that counts for each (record, agent): a filter, as each pair has just one."""
+    def answers(self) -> DataFrame:
+        """All answers, with every attempt."""
         paths = [f"{self.folder}/round-{k}" for k in sorted(self.done) if k > 0]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return assemble.settled(self.spark.read.schema(self.schema).parquet(*paths), self.limits)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def settled(self) -> DataFrame:
+        """The row that counts for each (record, agent): a filter, as each pair has just one."""
+        return assemble.settled(self.answers(), self.limits)
+
+
+def _folder(spark: SparkSession, run_id: str, number: int) -> str:
+    return f"{shared_dir(spark)}/runs/{run_id}/wave-{number}"
+
+
+def saved_answers(spark: SparkSession, run_id: str, config: RunConfig = RunConfig()) -> DataFrame:
+    """All answers of a run, with every attempt, as they were saved."""
+    waves = [Rounds(spark, _folder(spark, run_id, n), config.agents).answers() for n in range(config.waves)]
+    return reduce(DataFrame.unionByName, waves)
 
 
 def answer_records(
@@ -185,6 +205,7 @@ def answer_records(
         again,
         lambda pairs: render(pairs, config.agents, templates, spec),
         responder,
+        config.pause,
     )
     return rounds, ids, n
 
@@ -220,7 +241,7 @@ def run(
     for number in range(config.waves):
         records = Records(silver, spec, wave(spec.id_col, config.waves) == number if config.waves > 1 else None)
         version = gold.version()
-        folder = f"{shared_dir(spark)}/runs/{run_id}/wave-{number}"
+        folder = _folder(spark, run_id, number)
         rounds, ids, n = answer_records(records, gold.ids() if version else None, responder, config, folder)
         calls = assemble.call_log(rounds.settled(), config.agents, run_id)
         logs.append(calls)

@@ -97,6 +97,9 @@ PROMPT = T.StructType(
         T.StructField("agent", T.StringType()),
         T.StructField("attempt", T.IntegerType()),
         T.StructField("model", T.StringType()),
+        T.StructField("temperature", T.DoubleType()),
+        T.StructField("max_tokens", T.IntegerType()),
+        T.StructField("timeout_seconds", T.IntegerType()),
         T.StructField("system", T.StringType()),
         T.StructField("prompt", T.StringType()),
     ]

@@ -26,6 +26,8 @@ def build(app: str = "goldleaf", master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         # A model call costs money: a second copy of a slow task would pay it twice.
         "spark.speculation": "false",
+        # A repeated key in a model's answer: the last one counts.
+        "spark.sql.variant.allowDuplicateKeys": "true",
         **conf,
     }
     for key, value in settings.items():

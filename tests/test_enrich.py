@@ -9,7 +9,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from goldleaf.operators.assemble import choose_model, first_valid, parse
+from goldleaf.operators.assemble import choose_model, first_valid, metrics, parse
 from goldleaf.operators.batches import wave
 from goldleaf.operators.pending import count_pending, fetch_pending
 from goldleaf.operators.prompts import explode_agents, render
@@ -17,7 +17,7 @@ from goldleaf.operators.respond import RecordError, pandas_responder
 from goldleaf.plans.agents import (
     AgentConfig, AgentSpec, EnrichSpec, default_agents, enabled, entity_agent, sentiment_agent,
 )
-from goldleaf.plans.enrich import RunConfig, enrich_with, run
+from goldleaf.plans.enrich import RunConfig, enrich_with, run, saved_answers
 from goldleaf.schemas import GOLD, RESPONSE, SILVER
 from goldleaf.session import scratch, shared_dir
 from goldleaf.sources.calllog import read_calls
@@ -166,6 +166,28 @@ def test_run_and_rerun(spark, silver, script):
     assert read_calls(spark, log).count() == 11 and table.count() == 4
 
 
+def test_back_off_between_rounds(spark, silver, script):
+    waits = []
+    config = RunConfig(agents=[sentiment_agent()], pause=waits.append)
+    run(spark, silver, gold_table(spark), pandas_responder(script({"sentiment": "x"})), config, "waits")
+    assert waits == [1.0, 2.0]
+    seen = {r.attempt: (r.calls, r.accepted, r.tokens) for r in metrics(saved_answers(spark, "waits", config)).collect()}
+    assert seen == {k: (4, 0, 400) for k in (1, 2, 3)}
+
+
+def test_settings_reach_the_client(spark, silver):
+    def client():
+        def call(row):
+            ok = (row.temperature, row.max_tokens, row.timeout_seconds, row.model) == (0.5, 9, 7, "m")
+            return '{"sentiment": "%s", "confidence": 1}' % ("positive" if ok and row.system else "?"), 1
+
+        return call
+
+    agent = sentiment_agent(AgentConfig("m", temperature=0.5, max_tokens=9, timeout_seconds=7))
+    out = enrich_with(silver.where("review_id = 'r1'"), agent, pandas_responder(client))
+    assert out.first().sentiment == "positive"
+
+
 def test_retries_stop_at_the_limit(spark, silver, script):
     agent = sentiment_agent(AgentConfig(max_retries=2))
     late = {"sentiment": ["x", "y", GOOD["sentiment"]]}
