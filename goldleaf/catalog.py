@@ -21,7 +21,7 @@ from goldleaf.operators import assemble, costs, usage
 from goldleaf.operators.batches import numbered_batches
 from goldleaf.operators.pending import count_pending, fetch_pending
 from goldleaf.operators.prompts import explode_agents, render
-from goldleaf.operators.respond import pandas_responder, respond
+from goldleaf.operators.respond import dealt_out, pandas_responder, respond
 from goldleaf.plans import analysis
 from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, entity_agent, sentiment_agent
 from goldleaf.plans.enrich import Records, RunConfig, answer_records, enriched, run, saved_answers
@@ -136,7 +136,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stub_answers(spark: SparkSession, sf_dir: str, asked: list, attempts: int = 1) -> DataFrame:
     """Parsed answers about all documents."""
-    pairs = explode_agents(silver(spark, sf_dir), asked).withColumn(
+    pairs = explode_agents(dealt_out(silver(spark, sf_dir), "doc_id"), asked).withColumn(
         "attempt", F.explode(F.sequence(F.lit(1), F.lit(attempts)))
     )
     prompts = render(pairs, asked, read_templates(spark, asked), SPEC)
@@ -187,7 +187,7 @@ def prompt_render(spark, sf_dir):
 def model_call(spark, sf_dir):
     """Every prompt through the Python stage; the answer tells the length it has seen."""
     asked = agents()
-    records = silver(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    records = dealt_out(silver(spark, sf_dir), "doc_id")
     prompts = render(explode_agents(records, asked), asked, read_templates(spark, asked), SPEC)
     return respond(prompts, pandas_responder(stub_client)).select("record_id", "agent", "attempt", "model", "raw", "tokens")
 

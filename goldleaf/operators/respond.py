@@ -62,6 +62,15 @@ def pandas_responder(open_client: Callable[[], Callable[..., tuple[str, int]]])
     return lambda prompts: prompts.mapInPandas(respond, RESPONSE)
 
 
+def dealt_out(records: DataFrame, key: str) -> DataFrame:
+    """A small input, read in fewer partitions than there are cores, spread over all of them.
+
+    One with partitions enough stays as it was read.
+    """
+    cores = records.sparkSession.sparkContext.defaultParallelism
+    return records.repartition(cores, key) if records.rdd.getNumPartitions() < cores else records
+
+
 def respond(prompts: DataFrame, responder: Responder) -> DataFrame:
     """Responses to all prompts, one per row.
 

@@ -49,6 +49,8 @@ class RunConfig:
     # Called with the back-off in seconds between two rounds; a round of a large run takes
     # longer than any back-off, so there is none by default.
     pause: Callable[[float], None] | None = None
+    # Where ids and answers are saved; by default in the session's shared folder.
+    answers_dir: str | None = None
 
 
 class Records:
@@ -86,7 +88,7 @@ class Rounds:
     """Saved ids and answers of one wave: attempt k asks only what attempt k-1 left open.
 
     Each table is written before anything else reads it, answers together with their parse.
-    One that is marked done is not made again when the run is repeated under its id.
+    One that is marked done is not made again when a run that died is repeated.
     """
 
     def __init__(self, spark: SparkSession, folder: str, agents: list[AgentSpec]) -> None:
@@ -162,14 +164,24 @@ class Rounds:
         return assemble.settled(self.answers(), self.limits)
 
 
-def _folder(spark: SparkSession, run_id: str, number: int) -> str:
-    return f"{shared_dir(spark)}/runs/{run_id}/wave-{number}"
+def _root(spark: SparkSession, config: RunConfig) -> str:
+    return (config.answers_dir or f"{shared_dir(spark)}/runs").rstrip("/")
+
+
+def _passes(spark: SparkSession, base: str) -> int:
+    """How often a wave has been carried through under its run id."""
+    try:
+        return spark.read.schema("pass int").json(f"{base}/complete/*").count()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
 
 
 def saved_answers(spark: SparkSession, run_id: str, config: RunConfig = RunConfig()) -> DataFrame:
     """All answers of a run, with every attempt, as they were saved."""
-    waves = [Rounds(spark, _folder(spark, run_id, n), config.agents).answers() for n in range(config.waves)]
-    return reduce(DataFrame.unionByName, waves)
+    schema = assemble.parse(spark.createDataFrame([], RESPONSE), config.agents).schema
+    return spark.read.schema(schema).parquet(f"{_root(spark, config)}/{run_id}/wave-*/pass-*/round-*")
 
 
 def answer_records(
@@ -231,8 +243,8 @@ def run(
 ) -> DataFrame:
     """Enrich all pending records into the output table; one row of totals.
 
-    Repeating a run under its id takes up the saved ids and answers where it ended. Records
-    that came in since then wait for the next run.
+    A run that died takes up its saved ids and answers when it is repeated under its id; one
+    that was carried through looks for pending records anew.
     """
     run_id = run_id or uuid.uuid4().hex[:8]
     spec = config.spec
@@ -241,18 +253,21 @@ def run(
     for number in range(config.waves):
         records = Records(silver, spec, wave(spec.id_col, config.waves) == number if config.waves > 1 else None)
         version = gold.version()
-        folder = _folder(spark, run_id, number)
-        rounds, ids, n = answer_records(records, gold.ids() if version else None, responder, config, folder)
+        base = f"{_root(spark, config)}/{run_id}/wave-{number}"
+        turn = _passes(spark, base)
+        rounds, ids, n = answer_records(
+            records, gold.ids() if version else None, responder, config, f"{base}/pass-{turn}"
+        )
         calls = assemble.call_log(rounds.settled(), config.agents, run_id)
         logs.append(calls)
-        if n == 0:
-            continue
-        rows = enriched(records, rounds, ids, n, config, as_of)
-        rows = rows.withColumnsRenamed({spec.id_col: gold.id_col, spec.text_col: "review_text"})
-        stored += gold.upsert(rows, unique=True, absent_at=version if rounds.fresh else None)
-        batches += 1
-        if config.log_path:
-            append_calls(calls, config.log_path, run_id, number)
+        if n > 0:
+            rows = enriched(records, rounds, ids, n, config, as_of)
+            rows = rows.withColumnsRenamed({spec.id_col: gold.id_col, spec.text_col: "review_text"})
+            stored += gold.upsert(rows, unique=True, absent_at=version if rounds.fresh else None)
+            batches += 1
+            if config.log_path:
+                append_calls(calls, config.log_path, run_id, f"{number}-{turn}")
+        local_rows(spark, [{"pass": turn}], "pass:int").write.mode("overwrite").json(f"{base}/complete/{turn}")
         if config.budget_usd:
             spent += calls.agg(F.sum("cost_usd")).first()[0] or 0
             if spent > config.budget_usd:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from goldleaf.schemas import CALL_LOG
 
 
-def append_calls(calls: DataFrame, path: str, batch_id: str, wave: int = 0) -> None:
+def append_calls(calls: DataFrame, path: str, batch_id: str, wave: str = "0") -> None:
     """Add the calls of one wave of a run.
 
     The wave owns its folder, so repeating it adds nothing twice.

@@ -3,7 +3,8 @@
 Every upsert writes a folder of its own and then a new list of which folders make up each
 bucket. Readers follow the newest list, so they see all of an upsert or nothing of it, and a
 job that dies half way leaves no trace. Rows with new keys are added beside the files that
-are there; only buckets holding a key that is being replaced are rewritten.
+are there; only buckets holding a key that is being replaced are rewritten. One job may write
+at a time; folders no list names any more can be deleted.
 
 The bucket is Spark's own hash of the key modulo the bucket count. A frame already
 partitioned by the key needs no further shuffle to be written.
@@ -28,6 +29,7 @@ MANIFEST = T.StructType(
         T.StructField("bucket", T.IntegerType()),
         T.StructField("folder", T.StringType()),
         T.StructField("row_count", T.LongType()),
+        T.StructField("buckets", T.IntegerType()),
         T.StructField("version", T.LongType()),
     ]
 )
@@ -81,12 +83,17 @@ class GoldTable:
                 raise
             return 0, []
         top = rows.agg(F.max("version")).first()[0]
-        return (top, rows.where(F.col("version") == top).collect()) if top else (0, [])
+        if not top:
+            return 0, []
+        entries = rows.where(F.col("version") == top).collect()
+        # A table keeps the bucket count it was made with.
+        self.buckets = entries[0].buckets
+        return top, entries
 
     def _commit(self, version: int, entries: list[tuple[int, str, int]]) -> None:
-        rows = [{"bucket": b, "folder": f, "row_count": n} for b, f, n in entries]
-        lines = local_rows(self.spark, rows, "bucket:int,folder:string,row_count:bigint")
-        # "errorifexists": of two writers with the same base, the second one fails.
+        rows = [{"bucket": b, "folder": f, "row_count": n, "buckets": self.buckets} for b, f, n in entries]
+        lines = local_rows(self.spark, rows, "bucket:int,folder:string,row_count:bigint,buckets:int")
+        # "errorifexists": a writer that worked from an outdated version fails.
         lines.write.mode("errorifexists").json(f"{self.path}/manifest/version={version}")
 
     def _load(self, entries: list) -> DataFrame:

@@ -34,10 +34,11 @@ def enrich_stream(
 ) -> StreamingQuery:
     """Enrich and upsert every micro-batch.
 
-    The batch number is part of the run id. A batch repeated after a crash takes up its saved
-    answers and replaces its own rows and log lines, so nothing is paid or stored twice.
+    The batch number is part of the run id, and answers are saved beside the checkpoint. A
+    batch repeated after a crash takes up its saved answers and replaces its own rows and log
+    lines, so nothing is paid or stored twice.
     """
-    config = replace(config, waves=1)
+    config = replace(config, waves=1, answers_dir=f"{checkpoint.rstrip('/')}/answers")
 
     def one_batch(batch: DataFrame, number: int) -> None:
         run(batch.sparkSession, batch, gold, responder, config, run_id=f"{name}-{number}")

@@ -166,6 +166,28 @@ def test_run_and_rerun(spark, silver, script):
     assert read_calls(spark, log).count() == 11 and table.count() == 4
 
 
+def test_a_run_that_died_is_taken_up(spark, silver, script):
+    """Answers paid for before the crash are used, nobody is asked again, then new rows are."""
+
+    class Breaking(GoldTable):
+        def upsert(self, *args, **kw):
+            raise OSError("disk full")
+
+    path, log = scratch(spark, "gold"), scratch(spark, "log")
+    config = RunConfig(log_path=log)
+    with pytest.raises(OSError):
+        run(spark, silver, Breaking(spark, path), pandas_responder(script(GOOD)), config, "died")
+    table = GoldTable(spark, path)
+    assert table.count() == 0 and read_calls(spark, log).count() == 0
+    late = silver.unionByName(spark.createDataFrame([("r9", "p", "new", DAY)], SILVER))
+    silent = pandas_responder(script({}))
+    assert run(spark, late, table, silent, config, "died").first().records_processed == 4
+    assert {r.sentiment for r in table.read().collect()} == {"positive"} and "r9" not in by_id(table)
+    # Carried through by now: the same id looks anew.
+    assert run(spark, late, table, pandas_responder(script(GOOD)), config, "died").first().records_processed == 1
+    assert by_id(table)["r9"].sentiment == "positive" and read_calls(spark, log).count() == 15
+
+
 def test_back_off_between_rounds(spark, silver, script):
     waits = []
     config = RunConfig(agents=[sentiment_agent()], pause=waits.append)
@@ -195,7 +217,7 @@ def test_retries_stop_at_the_limit(spark, silver, script):
     run(spark, silver, table, pandas_responder(script(late)), RunConfig(agents=[agent]), "short")
     assert all(r.sentiment is None for r in table.read().collect())
     # The saved answers hold both tries of every record.
-    saved = spark.read.parquet(f"{shared_dir(spark)}/runs/short/wave-0/round-*")
+    saved = spark.read.parquet(f"{shared_dir(spark)}/runs/short/wave-0/pass-0/round-*")
     assert sorted(r.attempt for r in saved.collect()) == [1] * 4 + [2] * 4
 
 

@@ -108,6 +108,13 @@ def test_upsert_one(spark, table):
     assert row.sentiment == "negative" and row.entities_brands == [] and row.date == dt.date(2024, 6, 1)
 
 
+def test_bucket_count_is_kept(spark, table):
+    table.upsert(rows(spark, [f"r{i}" for i in range(20)], "a"))
+    other = GoldTable(spark, table.path, buckets=7)
+    assert other.upsert(rows(spark, ["r1", "new"], "b")) == 2
+    assert other.buckets == 4 and other.count() == 21 == other.read().count() and marks(other)["r1"] == "b"
+
+
 def test_compact(spark, table):
     for i in range(4):
         table.upsert(rows(spark, [f"r{i}-{j}" for j in range(12)], "x"))
