@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from goldleaf.llm import quality
+from goldleaf.llm import quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classified(documents(spark, sf_dir), ["doc_id"])
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -24,5 +31,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_simhash": op6_simhash,
     "op9_quality": op9_quality,
 }
