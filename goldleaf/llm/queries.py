@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import quality, simhash
+from goldleaf.llm import quality, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(documents(spark, sf_dir), ["doc_id"]).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256", "longest"
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classified(documents(spark, sf_dir), ["doc_id"])
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -31,6 +37,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substrings": op2_substrings,
     "op6_simhash": op6_simhash,
     "op9_quality": op9_quality,
 }
