@@ -120,12 +120,12 @@ class Texts:
         return self.data[self.at[i] : self.at[i + 1]].tobytes().split()
 
 
-def sliced(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, Texts]]:
+def sliced(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """The batch in slices of some megabytes of text, at least one row each."""
     data, at = text_bytes(batch.column(batch.schema.get_field_index(column)))
     row = 0
     while row < batch.num_rows:
-        upto = int(np.searchsorted(at, at[row] + SLICE_BYTES, side="right")) - 1
+        upto = int(np.searchsorted(at, at[row] + limit, side="right")) - 1
         upto = min(max(upto, row + 1), batch.num_rows)
         yield batch.slice(row, upto - row), Texts(data[at[row] : at[upto]], at[row : upto + 1] - at[row])
         row = upto
