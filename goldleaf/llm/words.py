@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _R = 0x9E3779B97F4A7C15 | 1
 _G = 0xD6E8FEB86659FD93 | 5
 
@@ -26,7 +26,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers, modulo 2**64, of an odd base and of its inverse."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = 1 << max(n - 1, 1 << 16).bit_length()
         made = []
         for x in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, x, dtype=np.uint64)
