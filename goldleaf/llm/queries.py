@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import arrowfiles, packing, quality, simhash, substrings
+from goldleaf.llm import arrowfiles, packing, quality, simhash, substrings, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(documents(spark, sf_dir), ["doc_id"]).select(
         "doc_id", "n_words", "n_removed", "kept_sha256", "longest"
@@ -52,6 +56,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_substrings": op2_substrings,
     "op4_packing": op4_packing,
     "op6_simhash": op6_simhash,
