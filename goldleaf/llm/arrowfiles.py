@@ -35,7 +35,7 @@ from goldleaf.session import scratch, written
 LENGTH = 2048
 BATCH = 64
 END = 0
-SLICE = 12 << 20
+SLICE = 4 << 20
 INDEX = "doc_id long, n_tokens long, place long, part int, file string"
 
 

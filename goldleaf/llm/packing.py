@@ -32,7 +32,7 @@ END = 1
 #: Rows packed together.
 GROUP = 20_000
 #: Bytes of text tokenized at a time.
-SLICE = 12 << 20
+SLICE = 4 << 20
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

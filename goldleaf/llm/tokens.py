@@ -19,7 +19,7 @@ import pyarrow as pa
 from goldleaf.llm.words import Texts
 
 #: Pieces a worker remembers; beyond that it starts anew. Affects speed only.
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 #: Pieces given to the tokenizer in one string.
 JOINED = 256
 
