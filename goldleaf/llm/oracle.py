@@ -1,3 +1,50 @@
 """DuckDB SQL of the operators that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+NEIGHBOURS = """
+WITH v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), d AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM d
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+MIXING = f"""
+WITH d AS (SELECT doc_id, source, len({WORDS}) AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight, row_number() OVER (ORDER BY source IS NULL, source) AS nth FROM s),
+o AS (
+    SELECT *, source_size * 3 AS cap, source_size * 3 / weight AS level,
+           sum(source_size * 3) OVER u::BIGINT AS used, sum(weight) OVER u::BIGINT AS heavy
+    FROM w WINDOW u AS (ORDER BY source_size * 3 / weight, nth ROWS UNBOUNDED PRECEDING)
+),
+b AS (SELECT sum(source_size)::BIGINT AS budget, sum(weight)::BIGINT AS all_weights FROM w),
+l AS (
+    SELECT max((budget - used + cap) / (all_weights - heavy + weight)) AS top FROM o, b
+    WHERE (budget - used + cap) / (all_weights - heavy + weight) <= level
+),
+t AS (SELECT source, source_size, weight, least(cap::DOUBLE, weight * coalesce(top, 0)) AS target FROM o, l),
+e AS (
+    SELECT d.*, source_size, weight, epoch, target - epoch * source_size AS lacking, md5(doc_id || ':' || epoch) AS k
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, range(3) r(epoch) WHERE size > 0
+),
+q AS (SELECT *, lacking > 0 AND lacking < source_size AND size * 50 > lacking AS late FROM e),
+f AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY epoch, late, k ROWS UNBOUNDED PRECEDING)::BIGINT / weight AS finish FROM q),
+p AS (SELECT *, sum(size) OVER (ORDER BY finish, source IS NULL, source, epoch, late, k ROWS UNBOUNDED PRECEDING)::BIGINT AS spent FROM f),
+n AS (SELECT doc_id, count(*) AS copies FROM p, b WHERE 2 * spent - size <= 2 * budget GROUP BY doc_id)
+SELECT d.doc_id, size::BIGINT AS size, source_size, target, coalesce(copies, 0) * size AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_neighbours": NEIGHBOURS,
+    "op5_mixing": MIXING,
+}

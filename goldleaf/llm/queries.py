@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import arrowfiles, packing, quality, simhash, substrings, vptree
+from goldleaf.llm import arrowfiles, mixing, packing, quality, simhash, substrings, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), ["doc_id"], vocabulary("word_bpe_49k.json"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir), ["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classified(documents(spark, sf_dir), ["doc_id"])
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_substrings": op2_substrings,
     "op4_packing": op4_packing,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op9_quality": op9_quality,
     "op10_arrow": op10_arrow,
