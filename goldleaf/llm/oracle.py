@@ -9,8 +9,8 @@ WITH v AS (
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
       AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), d AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
-    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])), lambda a, b: a + b)) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
 ), r AS (
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM d
 )
