@@ -6,7 +6,7 @@ the source's weight. All documents are range-sorted by finish time and taken unt
 A queue that is read to its end starts anew in another order, `EPOCHS` times at most; once it is
 empty the others share what it leaves, which is what the fair queue does by itself. In the round in
 which a source meets its target, documents of more than 1 / `COARSE` of what it still lacks go to the
-end of its queue, where they cannot make it miss the target by much.
+end of its queue, shorter ones first, where they cannot make it miss the target by much.
 
 The budget is the size of all documents, a document's size is its number of words. Running sums,
 both within the sources and over all, come from range-partitioned slices with a carry per slice, so that
@@ -72,7 +72,7 @@ def queued(rows: DataFrame, sources: DataFrame) -> DataFrame:
     late = (lacking > 0) & (lacking < F.col("source_size")) & (F.col("size") * COARSE > lacking)
     shuffled = F.md5(F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("")), F.lit(":"), F.col("_epoch").cast("string")))
     keyed = epochs.select(
-        "_row", "_id", "_x", "size", "weight", "_epoch", late.alias("_late"), shuffled.alias("_key"),
+        "_row", "_id", "_x", "size", "weight", "_epoch", F.when(late, F.col("size")).otherwise(0).alias("_late"), shuffled.alias("_key"),
         F.coalesce("source", F.lit("")).alias("_slot"), F.col("source").isNull().alias("_null"),
     )
     order = ["_epoch", "_late", "_key", "_x", "_row"]

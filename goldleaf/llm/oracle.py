@@ -36,7 +36,7 @@ e AS (
     SELECT d.*, source_size, weight, epoch, target - epoch * source_size AS lacking, md5(doc_id || ':' || epoch) AS k
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, range(3) r(epoch) WHERE size > 0
 ),
-q AS (SELECT *, lacking > 0 AND lacking < source_size AND size * 50 > lacking AS late FROM e),
+q AS (SELECT *, CASE WHEN lacking > 0 AND lacking < source_size AND size * 50 > lacking THEN size ELSE 0 END AS late FROM e),
 f AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY epoch, late, k ROWS UNBOUNDED PRECEDING)::BIGINT / weight AS finish FROM q),
 p AS (SELECT *, sum(size) OVER (ORDER BY finish, source IS NULL, source, epoch, late, k ROWS UNBOUNDED PRECEDING)::BIGINT AS spent FROM f),
 n AS (SELECT doc_id, count(*) AS copies FROM p, b WHERE 2 * spent - size <= 2 * budget GROUP BY doc_id)
