@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import arrowfiles, mixing, packing, quality, simhash, substrings, vptree
+from goldleaf.llm import arrowfiles, mixing, packing, quality, simhash, substrings, toxicity, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(documents(spark, sf_dir), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
 def op10_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrowfiles.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_arrow": op10_arrow,
 }
