@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import arrowfiles, mixing, packing, quality, simhash, substrings, toxicity, vptree
+from goldleaf.llm import arrowfiles, mixing, packing, pii, quality, simhash, substrings, toxicity, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spotted(documents(spark, sf_dir), ["doc_id"])
+    return found.select(
+        "doc_id", *[pii.counted(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.written_out(F.col("base")), 256).alias("base_sha256"), pii.written_out(F.col("spans")).alias("spans"),
+    )
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file; the same on every machine of the cluster."""
     import public_tokenizers
@@ -66,6 +74,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_substrings": op2_substrings,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
