@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import arrowfiles, mixing, packing, pii, quality, simhash, substrings, toxicity, vptree
+from goldleaf.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, substrings, toxicity, vptree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.labelled(documents(spark, sf_dir), ["doc_id"])
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents(spark, sf_dir), table(spark, sf_dir, "labels"), ["doc_id"])
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_licenses": op7_licenses,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_arrow": op10_arrow,
