@@ -21,10 +21,10 @@ from goldleaf.operators import assemble, costs, usage
 from goldleaf.operators.batches import numbered_batches
 from goldleaf.operators.pending import count_pending, fetch_pending
 from goldleaf.operators.prompts import explode_agents, render
-from goldleaf.operators.respond import dealt_out, pandas_responder, respond
+from goldleaf.operators.respond import pandas_responder, respond, spread
 from goldleaf.plans import analysis
 from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, entity_agent, sentiment_agent
-from goldleaf.plans.enrich import Records, RunConfig, answer_records, enriched, run, saved_answers
+from goldleaf.plans.enrich import RunConfig, enrich_frame, run, saved_answers
 from goldleaf.schemas import ENTITY_COLUMNS
 from goldleaf.session import scratch
 from goldleaf.sources.calllog import read_calls
@@ -46,6 +46,9 @@ BUDGET_USD = 0.5
 WINDOW = 6 * 3600
 RPM, TPM = 20, 5_000
 BUCKETS = 8
+#: The stub answers at once, so its calls need few tasks and no waiting.
+CALLS_PER_TASK = 4000
+RUN = RunConfig(spec=SPEC, pause=None, calls_per_task=CALLS_PER_TASK)
 
 
 # Inputs -----------------------------------------------------------------------
@@ -119,7 +122,7 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _gold_lock:
         if key not in _gold_paths:
             path = scratch(spark, "gold")
-            config = RunConfig(agents=agents(), spec=SPEC, as_of=AS_OF, log_path=f"{path}-log")
+            config = replace(RUN, agents=agents(), as_of=AS_OF, log_path=f"{path}-log")
             run(
                 spark, silver(spark, sf_dir), GoldTable(spark, path, buckets=BUCKETS), stub_responder(), config,
                 run_id=path.rsplit("/", 1)[-1],
@@ -136,9 +139,9 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stub_answers(spark: SparkSession, sf_dir: str, asked: list, attempts: int = 1) -> DataFrame:
     """Parsed answers about all documents."""
-    pairs = explode_agents(dealt_out(silver(spark, sf_dir), "doc_id"), asked).withColumn(
-        "attempt", F.explode(F.sequence(F.lit(1), F.lit(attempts)))
-    )
+    records = silver(spark, sf_dir)
+    pairs = explode_agents(records, asked).withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(attempts))))
+    pairs = spread(pairs, records.count() * len(asked) * attempts, ["doc_id"], CALLS_PER_TASK)
     prompts = render(pairs, asked, read_templates(spark, asked), SPEC)
     return assemble.parse(respond(prompts, stub_responder()), asked)
 
@@ -187,8 +190,9 @@ def prompt_render(spark, sf_dir):
 def model_call(spark, sf_dir):
     """Every prompt through the Python stage; the answer tells the length it has seen."""
     asked = agents()
-    records = dealt_out(silver(spark, sf_dir), "doc_id")
-    prompts = render(explode_agents(records, asked), asked, read_templates(spark, asked), SPEC)
+    records = silver(spark, sf_dir)
+    pairs = spread(explode_agents(records, asked), records.count() * len(asked), ["doc_id"], CALLS_PER_TASK)
+    prompts = render(pairs, asked, read_templates(spark, asked), SPEC)
     return respond(prompts, pandas_responder(stub_client)).select("record_id", "agent", "attempt", "model", "raw", "tokens")
 
 
@@ -237,12 +241,10 @@ def _flat(rows: DataFrame) -> DataFrame:
 
 def enrich_wide(spark, sf_dir):
     """Pending documents through all agents with retries, before they are stored."""
-    config = RunConfig(agents=agents(), spec=SPEC)
-    records = Records(silver(spark, sf_dir), SPEC)
-    rounds, ids, n = answer_records(
-        records, stored_ids(spark, sf_dir), stub_responder(), config, scratch(spark, "wide")
+    config = replace(RUN, agents=agents())
+    rows = enrich_frame(
+        silver(spark, sf_dir), stored_ids(spark, sf_dir), stub_responder(), config, F.lit(AS_OF).cast("timestamp")
     )
-    rows = enriched(records, rounds, ids, n, config, F.lit(AS_OF).cast("timestamp"))
     return _flat(rows).withColumns({"failed_agents": F.to_json("failed_agents"), "doc_id": F.col("doc_id").cast("bigint")})
 
 
@@ -273,7 +275,7 @@ def call_metrics(spark, sf_dir):
 def run_summary(spark, sf_dir):
     """Totals of a run over the pending documents, with a row per agent."""
     source = silver(spark, sf_dir).join(stored_ids(spark, sf_dir), "doc_id", "left_anti")
-    config = RunConfig(agents=agents(), spec=replace(SPEC, unique_ids=True), as_of=AS_OF)
+    config = replace(RUN, agents=agents(), spec=replace(SPEC, unique_ids=True), as_of=AS_OF)
     table_ = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
     done = run(spark, source, table_, stub_responder(), config, run_id=None)
     return done.select(
@@ -496,7 +498,7 @@ def stream_enrich(spark, sf_dir):
     source = _as_silver(read_files(spark, sf_dir, schema, "documents.parquet"))
     target = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
     place = scratch(spark, "stream")
-    config = RunConfig(agents=agents(), spec=SPEC, as_of=AS_OF)
+    config = replace(RUN, agents=agents(), as_of=AS_OF)
     enrich_stream(source, target, stub_responder(), place, config, name=place.rsplit("/", 1)[-1]).awaitTermination()
     return _flat(target.read())
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 import warnings
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,14 +19,13 @@ from goldleaf.operators import assemble, costs
 from goldleaf.operators.batches import wave
 from goldleaf.operators.pending import not_in
 from goldleaf.operators.prompts import explode_agents, render
-from goldleaf.operators.respond import Responder, respond
+from goldleaf.operators.respond import CALLS_PER_TASK, Responder, respond, spread
 from goldleaf.operators.unique import one_per
 from goldleaf.plans.agents import AgentSpec, EnrichSpec, default_agents
 from goldleaf.schemas import RESPONSE
-from goldleaf.session import local_rows, scratch, shared_dir
+from goldleaf.session import local_rows, scratch, shared_dir, written
 from goldleaf.sources.calllog import append_calls
 from goldleaf.sources.gold import GoldTable
-from goldleaf.sources.silver import BROADCAST_IDS
 from goldleaf.sources.templates import read_templates
 
 
@@ -33,71 +34,32 @@ class RunConfig:
     """Settings of a run.
 
     `waves` splits the records by a hash of their id; the output is written after each wave,
-    so a run that dies loses at most one. `call_partitions` sets how many tasks call the
-    model in each round, where those of the input, or the few that adaptive execution makes of
-    a small retry, are too few, or where a provider limit caps them.
+    so a run that dies loses at most one. Calls are dealt to tasks of about `calls_per_task`, in
+    every round; a task that fails repeats its calls.
     """
 
     agents: list[AgentSpec] = field(default_factory=default_agents)
     spec: EnrichSpec = EnrichSpec()
     waves: int = 1
-    call_partitions: int | None = None
+    calls_per_task: int = CALLS_PER_TASK
     log_path: str | None = None
     template_dir: str | None = None
+    # Compared with what has been spent after every round; a warning, not a stop.
     budget_usd: float | None = None
     as_of: str | None = None
-    # Called with the back-off in seconds between two rounds; a round of a large run takes
-    # longer than any back-off, so there is none by default.
-    pause: Callable[[float], None] | None = None
-    # Where ids and answers are saved; by default in the session's shared folder.
+    # Called with the back-off in seconds before each round of retries; None to go on at once.
+    pause: Callable[[float], None] | None = time.sleep
+    # Where records and answers are saved; by default in the session's shared folder.
     answers_dir: str | None = None
 
 
-class Records:
-    """The input's records with a text, looked up by id."""
+class Saved:
+    """Tables under one folder, each written once and marked done, so that a run that died and is
+    repeated takes them up."""
 
-    def __init__(self, silver: DataFrame, spec: EnrichSpec, only: Column | None = None) -> None:
-        self.spec = spec
-        self.columns = silver.columns
-        # A null key could not be stored, so it ends the run before any call is made.
-        key = F.coalesce(F.col(spec.id_col).cast("string"), F.raise_error(F.lit(f"{spec.id_col} is null")))
-        kept = silver.where(non_blank(F.col(spec.text_col))).withColumn(spec.id_col, key)
-        self.all = kept if only is None else kept.where(only)
-
-    def ids(self) -> DataFrame:
-        """Ids as `record_id`; not distinct when the input's are not."""
-        return self.all.select(F.col(self.spec.id_col).alias("record_id"))
-
-    def pick(self, wanted: DataFrame, few: bool, by: list[str] = ()) -> DataFrame:
-        """One record per id for the ids in `wanted`, with its columns.
-
-        A few ids are broadcast, and the texts of all other records never move. Else copies
-        of an id are reduced first, before the shuffle, and the join with the ids reuses its
-        partitioning.
-        """
-        id_col = self.spec.id_col
-        same = F.col(id_col) == F.col("record_id")
-        if few:
-            hit = self.all.join(F.broadcast(wanted), same)
-            return hit if self.spec.unique_ids else one_per(hit, [id_col, *by], tie=self.columns)
-        single = self.all if self.spec.unique_ids else one_per(self.all, [id_col])
-        return single.join(wanted, same)
-
-
-class Rounds:
-    """Saved ids and answers of one wave: attempt k asks only what attempt k-1 left open.
-
-    Each table is written before anything else reads it, answers together with their parse.
-    One that is marked done is not made again when a run that died is repeated.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str, agents: list[AgentSpec]) -> None:
+    def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
-        self.agents = agents
-        self.limits = {a.name: a.config.max_retries for a in agents}
-        self.parse = assemble.parser(agents)
-        self.schema = self.parse(spark.createDataFrame([], RESPONSE)).schema
         self.done = self._marks()
         self.fresh = not self.done
 
@@ -110,47 +72,103 @@ class Rounds:
             return set()
         return {row.step for row in marks.collect()}
 
-    def _save(self, df: DataFrame, step: int, path: str) -> None:
-        df.write.mode("overwrite").parquet(path)
-        mark = local_rows(self.spark, [{"step": step}], "step:int")
-        mark.write.mode("overwrite").json(f"{self.folder}/done/{step}")
+    def mark(self, step: int) -> None:
+        local_rows(self.spark, [{"step": step}], "step:int").write.mode("overwrite").json(f"{self.folder}/done/{step}")
         self.done.add(step)
 
-    def ids(self, pending: Callable[[], DataFrame]) -> tuple[DataFrame, int]:
-        """The wave's ids, fixed once, and their number."""
-        path = f"{self.folder}/ids"
+    def save(self, df: DataFrame, step: int, path: str, by: list[str] = ()) -> None:
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        self.mark(step)
+
+
+WAVE = "_wave"
+
+
+class Staged(Saved):
+    """The pending records of a run, each once, written with the number of their wave.
+
+    Everything later, prompts, retries and the merge, reads this table, so the text that is stored is
+    the one that was asked about. The input is read twice at most, however many waves there are:
+    once for its keys, once for the rows that are pending.
+    """
+
+    def __init__(self, silver: DataFrame, gold_ids: DataFrame | None, config: RunConfig, folder: str) -> None:
+        super().__init__(silver.sparkSession, folder)
+        spec, path = config.spec, f"{folder}/records"
+        # A null key could not be stored, so it ends the run before any call is made.
+        key = F.coalesce(F.col(spec.id_col).cast("string"), F.raise_error(F.lit(f"{spec.id_col} is null")))
+        kept = silver.where(non_blank(F.col(spec.text_col))).withColumn(spec.id_col, key)
         if 0 not in self.done:
-            self._save(pending(), 0, path)
-        saved = self.spark.read.schema("record_id string").parquet(path)
-        return saved, saved.count()
+            rows = kept
+            if gold_ids is not None:
+                # Keys first: only rows that are pending are joined or reduced with their texts, and adaptive
+                # execution broadcasts their keys where those are few.
+                stored = gold_ids.select(F.col(gold_ids.columns[0]).cast("string").alias(spec.id_col))
+                wanted = not_in(kept.select(spec.id_col), stored, spec.id_col)
+                rows = kept.join(wanted if spec.unique_ids else wanted.distinct(), spec.id_col, "left_semi")
+            if not spec.unique_ids:
+                rows = one_per(rows, [spec.id_col])
+            self.save(rows.withColumn(WAVE, wave(spec.id_col, config.waves)), 0, path, [WAVE])
+        self.schema = kept.withColumn(WAVE, F.lit(0)).schema
+        self.rows = self.spark.read.schema(self.schema).parquet(path)
+        # One row per wave.
+        self.counts = {r[WAVE]: r["count"] for r in self.rows.groupBy(WAVE).count().collect()}
+
+    def wave(self, number: int) -> DataFrame:
+        return self.rows.where(F.col(WAVE) == number).drop(WAVE)
+
+
+class Rounds(Saved):
+    """Saved answers of one wave: attempt k asks only what attempt k-1 left open.
+
+    Each table is written before anything else reads it, answers together with their parse.
+    """
+
+    STORED = -1
+
+    def __init__(self, spark: SparkSession, folder: str, agents: list[AgentSpec]) -> None:
+        super().__init__(spark, folder)
+        self.agents = agents
+        self.limits = {a.name: a.config.max_retries for a in agents}
+        self.parse = assemble.parser(agents)
+        self.schema = self.parse(spark.createDataFrame([], RESPONSE)).schema
 
     def ask(
         self,
-        first: DataFrame,
-        again: Callable[[DataFrame, bool], DataFrame],
-        to_prompts: Callable[[DataFrame], DataFrame],
+        texts: DataFrame,
+        count: int,
+        config: RunConfig,
         responder: Responder,
-        pause: Callable[[float], None] | None = None,
+        spent: Callable[[DataFrame], None] | None = None,
     ) -> None:
-        """Ask round by round.
+        """Ask about texts (key and text column, a row per record) round by round.
 
-        `again` gives the pairs of the next round from the failed ones, and is told whether
-        those are few enough to broadcast.
+        `spent` is given the settled rows of every round.
         """
-        todo = first
-        for attempt in range(1, max(self.limits.values(), default=0) + 1):
+        spec = config.spec
+        templates = read_templates(self.spark, self.agents, config.template_dir)
+        texts = texts.select(spec.id_col, spec.text_col)
+        todo, n = explode_agents(texts, self.agents), count * len(self.agents)
+        last = max(self.limits.values(), default=0)
+        for attempt in range(1, last + 1):
             path = f"{self.folder}/round-{attempt}"
             if attempt not in self.done:
-                self._save(self.parse(respond(to_prompts(todo), responder)), attempt, path)
-            if attempt < max(self.limits.values()):
-                saved = self.spark.read.schema(self.schema).parquet(path)
+                dealt = spread(todo, n, [spec.id_col, "agent"], config.calls_per_task)
+                prompts = render(dealt, self.agents, templates, spec)
+                self.save(self.parse(respond(prompts, responder)), attempt, path)
+            saved = self.spark.read.schema(self.schema).parquet(path)
+            if spent:
+                spent(assemble.settled(saved, self.limits))
+            if attempt < last:
                 failed = assemble.failed_pairs(saved, self.limits)
                 n = failed.count()
                 if n == 0:
                     break
-                if pause and attempt + 1 not in self.done:
-                    pause(max(a.config.retry_backoff_base for a in self.agents) ** (attempt - 1))
-                todo = again(failed, n <= BROADCAST_IDS)
+                if config.pause and attempt + 1 not in self.done:
+                    config.pause(max(a.config.retry_backoff_base for a in self.agents) ** (attempt - 1))
+                # No hint: adaptive execution broadcasts the pairs where they are few.
+                same = F.col(spec.id_col).cast("string") == F.col("record_id")
+                todo = texts.join(failed, same).select(spec.id_col, spec.text_col, "agent", "attempt")
 
     def answers(self) -> DataFrame:
         """All answers, with every attempt."""
@@ -169,7 +187,7 @@ def _root(spark: SparkSession, config: RunConfig) -> str:
 
 
 def _passes(spark: SparkSession, base: str) -> int:
-    """How often a wave has been carried through under its run id."""
+    """How often a run has been carried through under its id."""
     try:
         return spark.read.schema("pass int").json(f"{base}/complete/*").count()
     except AnalysisException as exc:
@@ -181,58 +199,28 @@ def _passes(spark: SparkSession, base: str) -> int:
 def saved_answers(spark: SparkSession, run_id: str, config: RunConfig = RunConfig()) -> DataFrame:
     """All answers of a run, with every attempt, as they were saved."""
     schema = assemble.parse(spark.createDataFrame([], RESPONSE), config.agents).schema
-    return spark.read.schema(schema).parquet(f"{_root(spark, config)}/{run_id}/wave-*/pass-*/round-*")
-
+    return spark.read.schema(schema).parquet(f"{_root(spark, config)}/{run_id}/pass-*/wave-*/round-*")
 
-def answer_records(
-    records: Records, gold_ids: DataFrame | None, responder: Responder, config: RunConfig, folder: str
-) -> tuple[Rounds, DataFrame, int]:
-    """Ask all agents about all pending records, with retries; the answers stay in `folder`.
 
-    Gives the saved rounds, and the ids asked about with their number.
-    """
-    spec, spark = config.spec, records.all.sparkSession
-    templates = read_templates(spark, config.agents, config.template_dir)
-    rounds = Rounds(spark, folder, config.agents)
-
-    def pending() -> DataFrame:
-        ids = records.ids() if spec.unique_ids else records.ids().distinct()
-        stored = gold_ids.select(F.col(gold_ids.columns[0]).cast("string").alias("record_id")) if gold_ids is not None else None
-        return not_in(ids, stored, "record_id")
-
-    ids, n = rounds.ids(pending)
-    if n == 0:
-        return rounds, ids, 0
-
-    def spread(df: DataFrame) -> DataFrame:
-        return df.repartition(config.call_partitions, *df.columns[:1]) if config.call_partitions else df
-
-    def again(failed: DataFrame, few: bool) -> DataFrame:
-        columns = [spec.id_col, spec.text_col, "agent", "attempt"]
-        return spread(records.pick(failed, few, ["agent"]).select(columns))
-
-    texts = records.pick(ids, n <= BROADCAST_IDS).select(spec.id_col, spec.text_col)
-    rounds.ask(
-        explode_agents(spread(texts), config.agents),
-        again,
-        lambda pairs: render(pairs, config.agents, templates, spec),
-        responder,
-        config.pause,
-    )
-    return rounds, ids, n
-
-
-def enriched(
-    records: Records, rounds: Rounds, ids: DataFrame, n: int, config: RunConfig, as_of: Column | None = None
-) -> DataFrame:
+def enriched(rows: DataFrame, rounds: Rounds, config: RunConfig, as_of: Column | None = None) -> DataFrame:
     """The asked records with what was answered about them."""
-    rows = records.pick(ids, n <= BROADCAST_IDS).drop("record_id")
     if not config.agents:
         return rows.withColumn("enriched_at", F.current_timestamp() if as_of is None else as_of)
     answers = assemble.wide(rounds.settled(), config.agents)
     return assemble.merge(rows, answers, config.agents, config.spec, as_of)
 
 
+def enrich_frame(
+    silver: DataFrame, gold_ids: DataFrame | None, responder: Responder, config: RunConfig, as_of: Column | None = None
+) -> DataFrame:
+    """The pending records with their answers, not stored anywhere but in the scratch folder."""
+    folder = scratch(silver.sparkSession, "enriched")
+    staged = Staged(silver, gold_ids, replace(config, waves=1), folder)
+    rounds = Rounds(staged.spark, f"{folder}/wave-0", config.agents)
+    rounds.ask(staged.wave(0), staged.counts.get(0, 0), config, responder)
+    return enriched(staged.wave(0), rounds, config, as_of)
+
+
 def run(
     spark: SparkSession,
     silver: DataFrame,
@@ -243,35 +231,47 @@ def run(
 ) -> DataFrame:
     """Enrich all pending records into the output table; one row of totals.
 
-    A run that died takes up its saved ids and answers when it is repeated under its id; one
+    A run that died takes up its saved records and answers when it is repeated under its id; one
     that was carried through looks for pending records anew.
     """
     run_id = run_id or uuid.uuid4().hex[:8]
     spec = config.spec
     as_of = F.lit(config.as_of).cast("timestamp") if config.as_of else None
-    stored, batches, logs, spent = 0, 0, [], 0
+    home = f"{_root(spark, config)}/{run_id}"
+    turn = _passes(spark, home)
+    base = f"{home}/pass-{turn}"
+    version = gold.version()
+    staged = Staged(silver, gold.ids() if version else None, config, base)
+    stored, batches, logs, total = 0, 0, [], Decimal(0)
+
+    def spent(settled: DataFrame) -> None:
+        nonlocal total
+        total += assemble.call_log(settled, config.agents, run_id).agg(F.sum("cost_usd")).first()[0] or 0
+        if total > Decimal(str(config.budget_usd)):
+            warnings.warn(f"run {run_id}: cost ${total:.4f} exceeds budget ${config.budget_usd:.4f}")
+
     for number in range(config.waves):
-        records = Records(silver, spec, wave(spec.id_col, config.waves) == number if config.waves > 1 else None)
-        version = gold.version()
-        base = f"{_root(spark, config)}/{run_id}/wave-{number}"
-        turn = _passes(spark, base)
-        rounds, ids, n = answer_records(
-            records, gold.ids() if version else None, responder, config, f"{base}/pass-{turn}"
-        )
+        n = staged.counts.get(number, 0)
+        rounds = Rounds(spark, f"{base}/wave-{number}", config.agents)
+        if n:
+            rounds.ask(staged.wave(number), n, config, responder, spent if config.budget_usd else None)
         calls = assemble.call_log(rounds.settled(), config.agents, run_id)
         logs.append(calls)
-        if n > 0:
-            rows = enriched(records, rounds, ids, n, config, as_of)
-            rows = rows.withColumnsRenamed({spec.id_col: gold.id_col, spec.text_col: "review_text"})
-            stored += gold.upsert(rows, unique=True, absent_at=version if rounds.fresh else None)
-            batches += 1
-            if config.log_path:
-                append_calls(calls, config.log_path, run_id, f"{number}-{turn}")
-        local_rows(spark, [{"pass": turn}], "pass:int").write.mode("overwrite").json(f"{base}/complete/{turn}")
-        if config.budget_usd:
-            spent += calls.agg(F.sum("cost_usd")).first()[0] or 0
-            if spent > config.budget_usd:
-                warnings.warn(f"run {run_id}: cost ${spent:.4f} exceeds budget ${config.budget_usd:.4f}")
+        if not n:
+            continue
+        batches += 1
+        if Rounds.STORED in rounds.done:
+            stored += n
+            continue
+        rows = enriched(staged.wave(number), rounds, config, as_of)
+        rows = rows.withColumnsRenamed({spec.id_col: gold.id_col, spec.text_col: "review_text"})
+        # Waves share no id, so those written by this run need not be compared.
+        stored += gold.upsert(rows, unique=True, absent_at=version if staged.fresh else None)
+        version = version + 1 if gold.version() == version + 1 else None
+        if config.log_path:
+            append_calls(calls, config.log_path, run_id, f"{number}-{turn}")
+        rounds.mark(Rounds.STORED)
+    local_rows(spark, [{"pass": turn}], "pass:int").write.mode("overwrite").json(f"{home}/complete/{turn}")
     return costs.run_summary(reduce(DataFrame.unionByName, logs), run_id, stored, batches)
 
 
@@ -281,22 +281,14 @@ def enrich_with(
     responder: Responder,
     spec: EnrichSpec = EnrichSpec(),
     template_dir: str | None = None,
+    config: RunConfig = RunConfig(),
 ) -> DataFrame:
     """Records with one agent's fields, tokens and model; every record and column stays."""
-    spark = records.sparkSession
-    templates = read_templates(spark, [agent], template_dir)
+    config = replace(config, agents=[agent], spec=spec, template_dir=template_dir)
     keyed = records.withColumn("_key", F.col(spec.id_col).cast("string"))
-    pairs = one_per(keyed.select(spec.id_col, spec.text_col), [spec.id_col])
-
-    def again(failed: DataFrame, few: bool) -> DataFrame:
-        same = F.col(spec.id_col).cast("string") == F.col("record_id")
-        hit = pairs.join(F.broadcast(failed) if few else failed, same)
-        return hit.select(spec.id_col, spec.text_col, "agent", "attempt")
-
-    rounds = Rounds(spark, scratch(spark, f"enrich-{agent.name}"), [agent])
-    rounds.ask(
-        explode_agents(pairs, [agent]), again, lambda p: render(p, [agent], templates, spec), responder
-    )
+    rounds = Rounds(records.sparkSession, scratch(records.sparkSession, f"enrich-{agent.name}"), [agent])
+    pairs = written(one_per(keyed.select(spec.id_col, spec.text_col), [spec.id_col]), "asked")
+    rounds.ask(pairs, pairs.count(), config, responder)
     answers = rounds.settled().select(
         F.col("record_id").alias("_key"),
         F.col(agent.name).alias("_parsed"),

@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 from goldleaf.schemas import SILVER
 
-# An id list up to this length is broadcast; a longer one is joined by shuffle.
-BROADCAST_IDS = 100_000
-
 
 def read_table(spark: SparkSession, ref: str) -> DataFrame:
     """A catalog table by name, or a parquet folder by path."""
@@ -34,8 +31,8 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType = SIL
 def fetch_by_ids(silver: DataFrame, ids: Sequence | DataFrame, id_col: str = "review_id") -> DataFrame:
     """The records with these ids, ordered by id; none for an empty list.
 
-    Ids are data, never part of a query text. A frame of ids is not hinted, as its size is
-    not known here: adaptive execution broadcasts it if it turns out small.
+    Ids are data, never part of a query text. No join is hinted: adaptive execution broadcasts
+    ids that turn out small.
     """
     if isinstance(ids, DataFrame):
         wanted = ids.select(id_col)
@@ -44,6 +41,4 @@ def fetch_by_ids(silver: DataFrame, ids: Sequence | DataFrame, id_col: str = "re
         wanted = silver.sparkSession.createDataFrame(
             [(i,) for i in ids], T.StructType([T.StructField(id_col, kind)])
         )
-        if len(ids) <= BROADCAST_IDS:
-            wanted = F.broadcast(wanted)
     return silver.join(wanted, id_col, "left_semi").orderBy(id_col)

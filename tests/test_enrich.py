@@ -217,7 +217,7 @@ def test_retries_stop_at_the_limit(spark, silver, script):
     run(spark, silver, table, pandas_responder(script(late)), RunConfig(agents=[agent]), "short")
     assert all(r.sentiment is None for r in table.read().collect())
     # The saved answers hold both tries of every record.
-    saved = spark.read.parquet(f"{shared_dir(spark)}/runs/short/wave-0/pass-0/round-*")
+    saved = spark.read.parquet(f"{shared_dir(spark)}/runs/short/pass-0/wave-0/round-*")
     assert sorted(r.attempt for r in saved.collect()) == [1] * 4 + [2] * 4
 
 
@@ -250,26 +250,16 @@ def test_waves_cover_all_records_once(spark, silver, script):
 
 
 def test_copies_of_an_id(spark, script):
-    """A hot id with many texts gives one row, for both ways of picking records."""
+    """A hot id with many texts gives one row."""
     many = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), "id")).alias("review_id"),
         F.lit("p").alias("product_id"),
         F.concat(F.lit("text "), "id").alias("review_text"),
         F.lit(DAY).alias("date"),
     )
-    from goldleaf.plans import enrich
-
-    tables = []
-    for limit in (enrich.BROADCAST_IDS, 0):
-        old, enrich.BROADCAST_IDS = enrich.BROADCAST_IDS, limit
-        try:
-            table = gold_table(spark)
-            run(spark, many, table, stub_responder(), RunConfig(as_of="2024-06-02 06:00:00"))
-        finally:
-            enrich.BROADCAST_IDS = old
-        assert table.count() == 2001
-        tables.append(sorted(map(str, table.read().collect())))
-    assert tables[0] == tables[1]
+    table = gold_table(spark)
+    run(spark, many, table, stub_responder(), RunConfig(as_of="2024-06-02 06:00:00", pause=None))
+    assert table.count() == 2001
 
 
 def test_null_id_ends_the_run(spark, script):
@@ -286,7 +276,7 @@ def test_budget_warning(spark, silver, script):
 def test_other_column_names(spark, script):
     rows = spark.createDataFrame([(7, "hello")], "doc bigint, body string")
     table = gold_table(spark)
-    config = RunConfig(spec=EnrichSpec("doc", "body", unique_ids=True), call_partitions=2)
+    config = RunConfig(spec=EnrichSpec("doc", "body", unique_ids=True), calls_per_task=2)
     run(spark, rows, table, pandas_responder(script(GOOD)), config)
     assert by_id(table)["7"].review_text == "hello"
 
