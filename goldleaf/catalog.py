@@ -25,11 +25,12 @@ from goldleaf.operators.respond import pandas_responder, respond, spread
 from goldleaf.plans import analysis
 from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, entity_agent, sentiment_agent
 from goldleaf.plans.enrich import RunConfig, enrich_frame, run, saved_answers
-from goldleaf.schemas import ENTITY_COLUMNS
+from goldleaf.schemas import ENTITY_COLUMNS, PRICES, SILVER
 from goldleaf.session import scratch
 from goldleaf.sources.calllog import read_calls
 from goldleaf.sources.gold import GoldTable, with_json_lists
-from goldleaf.sources.silver import fetch_by_ids
+from goldleaf.sources.report import write_report
+from goldleaf.sources.silver import fetch_by_ids, read_json_records
 from goldleaf.sources.templates import read_templates
 from goldleaf.streaming.enrich_stream import enrich_stream, read_files
 from goldleaf.streaming.usage_stream import usage_windows, write_usage
@@ -38,9 +39,7 @@ from goldleaf.stub import stub_client, stub_responder
 SPEC = EnrichSpec("doc_id", "text")
 AS_OF = "2024-06-02 06:00:00"
 MODELS = {"sentiment": "gpt-4o", "category": "gpt-4o-mini", "entity": "house-model"}
-LOG_MODELS = [
-    "gpt-4o", "gpt-4o-mini", "gpt-4-turbo", "gpt-3.5-turbo", "gemini-1.5-pro", "gemini-1.5-flash", "house-model",
-]
+LOG_MODELS = [model for model, *_ in PRICES] + ["house-model"]
 BATCH_SIZE = 50
 BUDGET_USD = 0.5
 WINDOW = 6 * 3600
@@ -176,6 +175,35 @@ def pending_turns(spark, sf_dir):
     return fetch_pending(every, every.where(F.col("role") == "user").select("turn_id"), spec)
 
 
+def _dirty(spark, sf_dir):
+    """Documents of which two in five have no text, one only blanks, and one only other white space."""
+    docs, n = table(spark, sf_dir, "documents"), F.col("doc_id") % 5
+    text = F.when(n == 0, None).when(n == 1, "").when(n == 2, "   ").when(n == 3, " \t\n ").otherwise(F.col("text"))
+    return docs.withColumn("text", text)
+
+
+def pending_dirty(spark, sf_dir):
+    return fetch_pending(_dirty(spark, sf_dir), None, SPEC).select("doc_id", "n_chars")
+
+
+def prompt_dirty(spark, sf_dir):
+    """Prompts of all documents, blank ones too: none where there is no text at all."""
+    asked = agents()
+    prompts = render(explode_agents(_dirty(spark, sf_dir), asked), asked, read_templates(spark, asked), SPEC)
+    return prompts.select("record_id", "agent", F.col("prompt").isNull().alias("no_prompt"))
+
+
+def json_records(spark, sf_dir):
+    """Documents written as files of one JSON list each, and read back."""
+    path = scratch(spark, "json")
+    rows = silver(spark, sf_dir).withColumnsRenamed({"doc_id": "review_id", "text": "review_text"})
+    listed = rows.withColumn("batch", F.floor(F.col("review_id") / BATCH_SIZE)).groupBy("batch").agg(
+        F.to_json(F.collect_list(F.struct(F.col("review_id").cast("string").alias("review_id"), "product_id", "review_text", "date"))).alias("value")
+    )
+    listed.write.partitionBy("batch").text(path)
+    return read_json_records(spark, path).select(SILVER.names).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
 def fetch_ids(spark, sf_dir):
     ids = table(spark, sf_dir, "labels").where(F.col("toxic") == 1)
     return fetch_by_ids(table(spark, sf_dir, "documents"), ids, "doc_id")
@@ -312,6 +340,41 @@ def gold_upsert(spark, sf_dir):
     )
 
 
+def upsert_agent_rows(spark, sf_dir):
+    """Records as single agents leave them: tokens and model per agent, some of them missing."""
+    n = F.col("doc_id")
+    rows = silver(spark, sf_dir).select(
+        n.cast("string").alias("review_id"),
+        F.when(n % 3 != 0, n % 7).cast("int").alias("sentiment_tokens_used"),
+        F.when(n % 4 != 0, n % 5).cast("int").alias("category_tokens_used"),
+        F.when(n % 2 == 0, "m-sentiment").when(n % 3 == 0, "").alias("sentiment_model"),
+        F.when(n % 5 == 0, "m-category").alias("category_model"),
+    )
+    target = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
+    target.upsert(rows.where(n % 2 == 0), unique=True)
+    odd = rows.where(n % 2 != 0).withColumn("model_used", F.when(F.col("review_id").cast("bigint") % 3 == 1, "given"))
+    target.upsert(odd, unique=True)
+    return target.read().select("review_id", "tokens_used", "model_used")
+
+
+def upsert_single(spark, sf_dir):
+    """One record of a full table replaced."""
+    ids = silver(spark, sf_dir).select(F.col("doc_id").cast("string").alias("review_id"))
+    target = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
+    target.upsert(ids.withColumn("sentiment", F.lit("neutral")), unique=True)
+    first = ids.agg(F.min("review_id")).first()[0]
+    target.upsert_one({"review_id": first, "sentiment": "positive", "sentiment_tokens_used": 7, "entity_model": "m"})
+    return target.read().select("review_id", "sentiment", "tokens_used", "model_used")
+
+
+def gold_count(spark, sf_dir):
+    """Rows of the output as its own bucket list has them, beside a count of the rows read."""
+    rows = gold(spark, sf_dir)
+    path = _gold_paths[(spark.sparkContext.applicationId, sf_dir)]
+    listed = GoldTable(spark, path, buckets=BUCKETS).count()
+    return rows.agg(F.count("*").alias("n_read"), F.lit(listed).cast("bigint").alias("n_listed"))
+
+
 def batch_assign(spark, sf_dir):
     waiting = fetch_pending(table(spark, sf_dir, "documents"), stored_ids(spark, sf_dir), SPEC)
     return numbered_batches(waiting, "doc_id", BATCH_SIZE)
@@ -344,6 +407,12 @@ def cost_by_model(spark, sf_dir):
     return _money(costs.by(calls(spark, sf_dir), "model"), "cost_usd")
 
 
+def log_missing(spark, sf_dir):
+    """Totals of a log that nobody has written yet together with one that is there."""
+    none = read_calls(spark, scratch(spark, "no-log"))
+    return _money(costs.totals(none.unionByName(calls(spark, sf_dir))), "cost_usd")
+
+
 def run_cost_summary(spark, sf_dir):
     """The roll-up of the latest run in the log."""
     log = calls(spark, sf_dir)
@@ -479,7 +548,18 @@ def gold_head(spark, sf_dir):
 
 
 def summary_report(spark, sf_dir):
-    return analysis.report(gold(spark, sf_dir)).withColumns(
+    return _report(analysis.report(gold(spark, sf_dir)))
+
+
+def report_sink(spark, sf_dir):
+    """The report as its file has it."""
+    report, path = analysis.report(gold(spark, sf_dir)), scratch(spark, "report")
+    write_report(report, path)
+    return _report(spark.read.schema(report.schema).json(path))
+
+
+def _report(report: DataFrame) -> DataFrame:
+    return report.withColumns(
         {
             "enrichment_error_rate": F.round("enrichment_error_rate", 6),
             "avg_sentiment_confidence": F.round("avg_sentiment_confidence", 6),
@@ -525,7 +605,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sentiment_share, top_categories, category_sentiment_pct, top_subcategories, median_confidence,
         confidence_histogram, mean_confidence, entity_distinct, top_entities, entity_mentions_json,
         low_confidence, low_confidence_share, worst_confidence, error_rows, error_sample, gold_head,
-        summary_report, stream_enrich, stream_usage,
+        summary_report, stream_enrich, stream_usage, pending_dirty, prompt_dirty, json_records, upsert_agent_rows,
+        upsert_single, gold_count, log_missing, report_sink,
     )
 }
 QUERIES["fetch_by_ids"] = fetch_ids

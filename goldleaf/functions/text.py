@@ -122,11 +122,6 @@ def field_strings(obj: Column, name: str) -> Column:
     return F.coalesce(F.array_distinct(texts), F.array().cast("array<string>"))
 
 
-def list_json(items: Column) -> Column:
-    """A list as JSON text, '[]' for null."""
-    return F.to_json(F.coalesce(items, F.array().cast("array<string>")))
-
-
 def json_list(text: Column) -> Column:
     """JSON text of a list back to a list, null when it is none."""
     return F.from_json(text, "array<string>")

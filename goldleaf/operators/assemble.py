@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.functions import cost as fc
@@ -28,6 +28,8 @@ def parser(agents: list[AgentSpec]) -> Callable[[DataFrame], DataFrame]:
         answer = json_object(F.col("raw"), lambda obj: let(agent.parse(obj), checked))
         return F.when(F.col("agent") == agent.name, answer)
 
+    # Answers are read alike in every session: of a repeated key the last one counts.
+    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     structs = {a.name: accepted(a) for a in agents}
     good = reduce(or_, [F.col(a.name).isNotNull() for a in agents], F.lit(False))
     return lambda responses: responses.withColumns(structs).withColumn("ok", good)

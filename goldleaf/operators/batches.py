@@ -10,7 +10,9 @@ from goldleaf.operators.running import row_numbers
 
 def numbered_batches(records: DataFrame, id_col: str, size: int = 50) -> DataFrame:
     """Ids with the index of their fixed-size batch, counted in id order."""
-    numbered = row_numbers(records.select(id_col), [id_col], "_n")
+    # Copies of an id may be numbered in any order, so they need not stay in one slice.
+    spread = records.select(id_col).withColumn("_tie", F.monotonically_increasing_id())
+    numbered = row_numbers(spread, [id_col, "_tie"], "_n")
     return numbered.select(id_col, F.floor(F.col("_n") / size).cast("bigint").alias("batch"))
 
 

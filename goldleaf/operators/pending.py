@@ -30,9 +30,17 @@ def fetch_pending(
     spec: EnrichSpec = EnrichSpec(),
     limit: int | None = None,
 ) -> DataFrame:
-    """Pending records by id; a limit of 0 or None takes all."""
-    ordered = pending(silver, gold_ids, spec).orderBy(spec.id_col)
-    return ordered.limit(limit) if limit else ordered
+    """Pending records by id; a limit of 0 or None takes all.
+
+    With a limit the first ids are found on their own, and only their records are fetched.
+    """
+    if not limit:
+        return pending(silver, gold_ids, spec).orderBy(spec.id_col)
+    kept = silver.where(non_blank(F.col(spec.text_col)))
+    first = not_in(kept.select(spec.id_col), gold_ids, spec.id_col).orderBy(spec.id_col).limit(limit)
+    ids = first.distinct().select(F.col(spec.id_col).alias("_first"))
+    hit = kept.join(ids, F.col(spec.id_col).eqNullSafe(F.col("_first")), "left_semi")
+    return hit.orderBy(spec.id_col).limit(limit)
 
 
 def count_pending(silver: DataFrame, gold_ids: DataFrame | None, spec: EnrichSpec = EnrichSpec()) -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +20,13 @@ def percentiles(counts: DataFrame, keys: list[str], value: str, probs: dict[str,
     holds every distinct value of a group in one task; here running counts tell which two
     values matter, and only those are brought together.
     """
-    saved = ranged(counts, keys, [value])
-    upto = totals_over(saved, keys, [value], {"upto": "n"})
-    sizes = saved.groupBy(*keys).agg(F.sum("n").alias("_size")).select(
-        *[F.col(k).alias(f"_s_{k}") for k in keys], "_size"
-    )
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys], F.lit(True))
-    ranked = upto.join(sizes, same)
+    return percentiles_of(ranged(counts, keys, [value]), keys, value, probs)
+
+
+def percentiles_of(saved: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """`percentiles` of a table of counts from `ranged`. The rows stay in their slices, hot keys too:
+    running counts and group sizes both come from the slices' own sums."""
+    ranked = totals_over(saved, keys, [value], {"upto": "n"}, wholes={"_size": "n"})
     picks = []
     for name, prob in probs.items():
         place = (F.col("_size") - 1) * F.lit(prob)

@@ -19,6 +19,12 @@ def fill(agent: AgentSpec, template: str, text: Column) -> Column:
     return filled
 
 
+def _settings(extra: dict) -> Column:
+    """Further settings as texts."""
+    pairs = [F.lit(str(x)) for pair in extra.items() for x in pair]
+    return (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,string>")
+
+
 def explode_agents(records: DataFrame, agents: list[AgentSpec], attempt: int = 1) -> DataFrame:
     """One row per record and agent: a generator over constants, so nothing is joined."""
     return records.withColumn("agent", F.explode(F.array(*[F.lit(a.name) for a in agents]))).withColumn(
@@ -50,6 +56,7 @@ def render(
         by_agent(lambda a: F.lit(a.config.temperature)).alias("temperature"),
         by_agent(lambda a: F.lit(a.config.max_tokens)).alias("max_tokens"),
         by_agent(lambda a: F.lit(a.config.timeout_seconds)).alias("timeout_seconds"),
+        by_agent(lambda a: _settings(a.config.extra)).alias("extra"),
         by_agent(lambda a: F.lit(a.system)).alias("system"),
         F.when(text != "", prompt).alias("prompt"),
     ).select(PROMPT.names)

@@ -43,38 +43,54 @@ def running_totals(
 
 
 def totals_over(
-    saved: DataFrame, keys: list[str], order: list[str], totals: dict[str, str], slices: int | None = None
+    saved: DataFrame,
+    keys: list[str],
+    order: list[str],
+    totals: dict[str, str],
+    slices: int | None = None,
+    wholes: dict[str, str] | None = None,
 ) -> DataFrame:
-    """`running_totals` of a table from `ranged`."""
+    """`running_totals` of a table from `ranged`.
+
+    `wholes` maps further new columns to ones that are summed over all rows of the key.
+    """
     n = slices or _slices(saved)
+    wholes = wholes or {}
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = saved.groupBy(SLICE, *keys).agg(*[F.sum(source).alias(name) for name, source in totals.items()])
+    others = Window.partitionBy(*keys)
+    sums = {**totals, **wholes}
+    per_slice = saved.groupBy(SLICE, *keys).agg(*[F.sum(source).alias(name) for name, source in sums.items()])
     # Sums of sums keep the type of the sums, so that decimals lose no places.
-    kinds = {name: per_slice.schema[name].dataType for name in totals}
+    kinds = {name: per_slice.schema[name].dataType for name in sums}
     carry = (
         per_slice.select(
             F.col(SLICE).alias("_c_slice"),
             *[F.col(k).alias(f"_c_{k}") for k in keys],
             *[F.sum(name).over(before).cast(kinds[name]).alias(f"_c_{name}") for name in totals],
+            # What the key has in other slices.
+            *[(F.sum(name).over(others) - F.col(name)).cast(kinds[name]).alias(f"_c_{name}") for name in wholes],
             F.row_number().over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_c_nth"),
+            F.count("*").over(others).alias("_c_of"),
         )
-        # Only the first key of a slice can have rows in an earlier one: at most one row per
-        # slice is left, which is what makes the broadcast safe.
-        .where(F.col("_c_nth") > 1)
-        .drop("_c_nth")
+        # Only the first key of a slice can have rows in an earlier one, and only the last in a
+        # later one: at most two rows per slice are left, which makes the broadcast safe.
+        .where((F.col("_c_of") > 1) if wholes else (F.col("_c_nth") > 1))
+        .drop("_c_nth", "_c_of")
     )
     inside = Window.partitionBy(SLICE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    of_key = Window.partitionBy(SLICE, *keys)
     local = saved.repartitionById(n, F.col(SLICE)).withColumns(
         {name: F.sum(source).over(inside) for name, source in totals.items()}
+        | {name: F.sum(source).over(of_key) for name, source in wholes.items()}
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys], F.col(SLICE) == F.col("_c_slice"))
     joined = local.join(F.broadcast(carry), same, "left")
     return joined.withColumns(
         {
             name: F.coalesce(F.col(name) + F.col(f"_c_{name}"), F.col(name)).cast(kinds[name])
-            for name in totals
+            for name in sums
         }
-    ).select(*[c for c in saved.columns if c != SLICE], *totals)
+    ).select(*[c for c in saved.columns if c != SLICE], *sums)
 
 
 def row_numbers(df: DataFrame, order: list[str], name: str, slices: int | None = None) -> DataFrame:

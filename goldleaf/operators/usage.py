@@ -57,10 +57,16 @@ def current(
     window_seconds: int = WINDOW_SECONDS,
     as_of: str | None = None,
 ) -> DataFrame:
-    """Requests and tokens per key in the window that ends now: at `as_of`, or the latest call."""
+    """Requests and tokens per key in the window that ends now: at `as_of`, or the latest call.
+
+    Only calls in the window are counted; of the others no more than the key is read.
+    """
     now = F.lit(as_of).cast("timestamp") if as_of else calls.select(F.max("timestamp")).scalar()
     inside = F.col("timestamp").between(now - F.make_dt_interval(secs=F.lit(window_seconds)), now)
-    return calls.groupBy(key).agg(
-        F.count_if(inside).alias("current_rpm"),
-        F.coalesce(F.sum(F.when(inside, F.col(tokens))), F.lit(0)).alias("current_tpm"),
+    counted = calls.where(inside).groupBy(F.col(key).alias("_key")).agg(
+        F.count("*").alias("current_rpm"), F.coalesce(F.sum(tokens), F.lit(0)).alias("current_tpm")
+    )
+    keys = calls.select(key).distinct()
+    return keys.join(counted, F.col(key).eqNullSafe(F.col("_key")), "left").select(
+        key, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("current_rpm", "current_tpm")]
     )

@@ -10,9 +10,25 @@ from goldleaf.functions.text import BLANKS
 from goldleaf.operators.prompts import TEXT_MARKER
 from goldleaf.plans.agents import default_agents
 from goldleaf.plans.analysis import BINS
-from goldleaf.schemas import CATEGORIES, CONFIDENCE_THRESHOLD, PRICES, SENTIMENTS
 from goldleaf.stub import CASE_COUNT, CASES, FATAL_EVERY, LABELS, PLAIN, TOPICS
 
+# Fixed values, written out here as well so that a wrong one elsewhere shows.
+CATEGORIES = [
+    "Electronics", "Clothing & Apparel", "Home & Garden", "Books & Media", "Sports & Outdoors", "Food & Beverages",
+    "Health & Beauty", "Toys & Games", "Automotive", "E-commerce", "Other",
+]
+SENTIMENTS = ["positive", "negative", "neutral"]
+CONFIDENCE_THRESHOLD = 0.7
+# USD per 1,000 tokens: model, input, output.
+PRICES = [
+    ("gpt-4o", "0.005", "0.015"),
+    ("gpt-4o-mini", "0.00015", "0.0006"),
+    ("gpt-4-turbo", "0.01", "0.03"),
+    ("gpt-3.5-turbo", "0.0005", "0.0015"),
+    ("gemini-1.5-pro", "0.007", "0.021"),
+    ("gemini-1.5-flash", "0.00035", "0.00105"),
+]
+
 
 def q(text: str) -> str:
     """A SQL text literal; control characters go in by code."""
@@ -383,3 +399,21 @@ ORACLE: dict[str, str] = {
         SELECT {STAMP.format("make_timestamp(start_us)")} AS window_start, agent, count(*) AS requests, sum(total_tokens)::BIGINT AS tokens
         FROM windows, late WHERE start_us + 60000000 <= mark GROUP BY start_us, agent""",
 }
+
+ORACLE |= {
+    "pending_dirty": """SELECT doc_id, n_chars FROM documents WHERE trim(CASE doc_id % 5 WHEN 0 THEN NULL
+        WHEN 1 THEN '' WHEN 2 THEN '   ' WHEN 3 THEN ' ' || chr(9) || chr(10) || ' ' ELSE text END) <> ''""",
+    "prompt_dirty": "SELECT doc_id::VARCHAR AS record_id, agent, doc_id % 5 < 2 AS no_prompt FROM documents, unnest(['sentiment', 'category', 'entity']) a(agent)",
+    "json_records": """SELECT doc_id::VARCHAR AS review_id, source AS product_id, text AS review_text,
+        strftime(DATE '2024-06-01' + (doc_id % 30)::INTEGER, '%Y-%m-%d') AS date FROM documents""",
+    "upsert_agent_rows": """SELECT doc_id::VARCHAR AS review_id,
+        (CASE WHEN doc_id % 3 <> 0 THEN doc_id % 7 ELSE 0 END + CASE WHEN doc_id % 4 <> 0 THEN doc_id % 5 ELSE 0 END)::INTEGER AS tokens_used,
+        CASE WHEN doc_id % 2 = 0 THEN 'm-sentiment' WHEN doc_id % 3 = 1 THEN 'given' WHEN doc_id % 5 = 0 THEN 'm-category' ELSE 'unknown' END AS model_used
+        FROM documents""",
+    "upsert_single": """SELECT review_id, CASE WHEN nth = 1 THEN 'positive' ELSE 'neutral' END AS sentiment,
+        (CASE WHEN nth = 1 THEN 7 ELSE 0 END)::INTEGER AS tokens_used, CASE WHEN nth = 1 THEN 'm' ELSE 'unknown' END AS model_used
+        FROM (SELECT doc_id::VARCHAR AS review_id, row_number() OVER (ORDER BY doc_id::VARCHAR) AS nth FROM documents)""",
+    "gold_count": f"SELECT count(*) AS n_read, count(*) AS n_listed FROM documents WHERE {NON_BLANK}",
+    "log_missing": ORACLE["cost_totals"],
+    "report_sink": ORACLE["summary_report"],
+}

@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldleaf.operators.percentiles import percentiles, value_counts
+from goldleaf.operators.percentiles import percentiles, percentiles_of, value_counts
+from goldleaf.operators.running import SLICE, ranged
 from goldleaf.schemas import CONFIDENCE_THRESHOLD, ENTITY_COLUMNS, SENTIMENTS
 from goldleaf.session import written
 
@@ -155,14 +156,16 @@ def confidence_histogram(gold: DataFrame, bins: int = BINS) -> DataFrame:
 def box_stats(df: DataFrame, key: str, value: str) -> DataFrame:
     """Quartiles, whiskers at 1.5 times their distance, and outliers, per key.
 
-    Works on the counts of distinct values, with the few quartile rows joined to them.
+    Works on the counts of distinct values in range slices. The quartiles are joined to them by
+    slice and key, so that a hot key is met in as many places as it has slices.
     """
-    per_value = written(value_counts(df, [key], value), "counts")
-    box = percentiles(per_value, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    per_value = ranged(value_counts(df, [key], value), [key], [value])
+    box = percentiles_of(per_value, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    box = per_value.select(SLICE, key).distinct().join(box, key)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     stats = (
-        per_value.join(box, key)
+        per_value.join(box, [SLICE, key])
         .groupBy(key)
         .agg(
             F.sum("n").alias("n"),

@@ -100,6 +100,7 @@ PROMPT = T.StructType(
         T.StructField("temperature", T.DoubleType()),
         T.StructField("max_tokens", T.IntegerType()),
         T.StructField("timeout_seconds", T.IntegerType()),
+        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
         T.StructField("system", T.StringType()),
         T.StructField("prompt", T.StringType()),
     ]

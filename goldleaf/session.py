@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
+_made: list[str] = []
 
 
 def build(app: str = "goldleaf", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,7 +56,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside the block are deleted when it ends.
+
+    Frames that read them have to be used before. Several threads of a session share one list.
+    """
+    start = len(_made)
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in _made[start:]:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _made[start:]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

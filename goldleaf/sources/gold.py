@@ -6,8 +6,7 @@ job that dies half way leaves no trace. Rows with new keys are added beside the
 are there; only buckets holding a key that is being replaced are rewritten. One job may write
 at a time; folders no list names any more can be deleted.
 
-The bucket is Spark's own hash of the key modulo the bucket count. A frame already
-partitioned by the key needs no further shuffle to be written.
+The bucket is Spark's own hash of the key modulo the bucket count.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldleaf.operators.unique import one_per
-from goldleaf.schemas import ENTITY_COLUMNS, GOLD
+from goldleaf.schemas import ENTITY_COLUMNS, GOLD, UNKNOWN_MODEL
 from goldleaf.session import local_rows
 
 MANIFEST = T.StructType(
@@ -36,11 +35,23 @@ MANIFEST = T.StructType(
 
 
 def align(df: DataFrame, schema: T.StructType = GOLD) -> DataFrame:
-    """The schema's columns by name: missing ones null, lists empty, others dropped, types cast."""
+    """The schema's columns by name: missing ones null, lists empty, others dropped, types cast.
+
+    Records as single agents leave them, with tokens and model per agent, get their sum and their first
+    model; without either 0 and `unknown`. Values that are there win.
+    """
     have = set(df.columns)
+    per_agent = {
+        "tokens_used": sum((F.coalesce(c, F.lit(0)) for c in df.columns if c.endswith("_tokens_used")), F.lit(0)),
+        "model_used": F.coalesce(
+            *[F.nullif(F.col(c), F.lit("")) for c in df.columns if c.endswith("_model")], F.lit(UNKNOWN_MODEL)
+        ),
+    }
 
     def column(f: T.StructField) -> Column:
         value = (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType)
+        if f.name in per_agent:
+            value = F.coalesce(value, per_agent[f.name].cast(f.dataType))
         if isinstance(f.dataType, T.ArrayType):
             value = F.coalesce(value, F.array().cast(f.dataType))
         return value.alias(f.name)
@@ -117,8 +128,11 @@ class GoldTable:
         return sum(e.row_count for e in self._manifest()[1])
 
     def upsert_one(self, record: dict) -> int:
-        row = [tuple(record.get(f.name) for f in self.schema)]
-        return self.upsert(self.spark.createDataFrame(row, self.schema))
+        more = [T.StructField(k, T.IntegerType()) for k in record if k.endswith("_tokens_used")]
+        more += [T.StructField(k, T.StringType()) for k in record if k.endswith("_model")]
+        kind = T.StructType([*self.schema.fields, *more])
+        row = [tuple(record.get(f.name) for f in kind)]
+        return self.upsert(self.spark.createDataFrame(row, kind))
 
     def version(self) -> int:
         return self._manifest()[0]
@@ -166,10 +180,11 @@ class GoldTable:
     def _write(self, rows: DataFrame, version: int) -> tuple[str, dict[int, int]]:
         """Write rows by bucket to a new folder; its name and the row count per bucket.
 
-        The shuffle falls away when the rows are partitioned by id already.
+        A task writes whole buckets, and only large buckets are split over several: about one
+        file per bucket, whatever the number of shuffle partitions.
         """
         folder = f"v{version}-{uuid.uuid4().hex[:8]}"
-        rows = rows.repartition(self.id_col).withColumn("bucket", self._bucket())
+        rows = rows.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
         rows.write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
         return folder, dict(self._staged(folder).groupBy("bucket").count().collect())
 

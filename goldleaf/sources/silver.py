@@ -11,11 +11,6 @@ from pyspark.sql import types as T
 from goldleaf.schemas import SILVER
 
 
-def read_table(spark: SparkSession, ref: str) -> DataFrame:
-    """A catalog table by name, or a parquet folder by path."""
-    return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
-
-
 def read_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     """A catalog table, or no rows of the given schema while it does not exist."""
     if spark.catalog.tableExists(name):

@@ -15,7 +15,7 @@ from goldleaf.operators.pending import count_pending, fetch_pending
 from goldleaf.operators.prompts import explode_agents, render
 from goldleaf.operators.respond import RecordError, pandas_responder
 from goldleaf.plans.agents import (
-    AgentConfig, AgentSpec, EnrichSpec, default_agents, enabled, entity_agent, sentiment_agent,
+    AgentConfig, AgentSpec, EnrichSpec, category_agent, default_agents, enabled, entity_agent, sentiment_agent,
 )
 from goldleaf.plans.enrich import RunConfig, enrich_with, run, saved_answers
 from goldleaf.schemas import GOLD, RESPONSE, SILVER
@@ -331,3 +331,86 @@ def test_run_id_default_is_short(spark, silver):
     done = run(spark, silver, gold_table(spark), stub_responder()).first()
     assert len(done.run_id) == 8 and int(done.run_id, 16) >= 0
     assert uuid.UUID(hex=done.run_id * 4)
+
+
+def test_input_is_read_twice_at_most(spark, silver, script, tmp_path):
+    """However many waves and retries there are: once for keys, once for rows."""
+    path = str(tmp_path / "silver")
+    silver.coalesce(1).write.parquet(path)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = spark.read.parquet(path).mapInArrow(counted, silver.schema)
+    table = gold_table(spark)
+    run(spark, watched.where("review_id = 'r1'"), table, pandas_responder(script(GOOD)), RunConfig(pause=None))
+    seen.value = 0
+    config = RunConfig(pause=None, waves=4)
+    run(spark, watched, table, pandas_responder(script({"sentiment": "x"} | {k: v for k, v in GOOD.items() if k != "sentiment"})), config)
+    assert table.count() == 4 and seen.value <= 2 * silver.count()
+
+
+def test_calls_are_dealt_by_number(spark):
+    from pyspark import TaskContext
+
+    def client():
+        return lambda row: (str(TaskContext.get().partitionId()), 1)
+
+    many = spark.range(600).select(F.col("id").cast("string").alias("review_id"), F.lit("text").alias("review_text"))
+    config = RunConfig(agents=[sentiment_agent(AgentConfig(max_retries=2))], pause=None, calls_per_task=50)
+    run(spark, many, gold_table(spark), pandas_responder(client), config, "dealt")
+    tasks = saved_answers(spark, "dealt", config).groupBy("attempt").agg(F.countDistinct("raw").alias("n"))
+    assert {r.attempt: r.n for r in tasks.collect()} == {1: 12, 2: 12}
+
+
+@pytest.mark.parametrize("threads", [1, 4])
+def test_every_call_has_its_own_time(spark, silver, threads):
+    import time
+
+    def client():
+        def call(row):
+            time.sleep(0.02)
+            return GOOD[row.agent], 1
+
+        return call
+
+    config = RunConfig(pause=None)
+    name = f"times-{threads}"
+    run(spark, silver, gold_table(spark), pandas_responder(client, threads), config, name)
+    rows = saved_answers(spark, name, config).collect()
+    assert len({r.called_at for r in rows}) == len(rows) == 12 and all(r.latency_ms >= 15 for r in rows)
+
+
+def test_budget_is_compared_after_every_round(spark, silver, script):
+    """One wave of three rounds: the first round's cost warns before the others are asked."""
+    late = {"sentiment": GOOD["sentiment"], "category": "x", "entity": "x"}
+    asked = []
+    config = RunConfig(budget_usd=0.0001, pause=asked.append)
+    with pytest.warns(UserWarning, match="exceeds budget") as found:
+        run(spark, silver, gold_table(spark), pandas_responder(script(late)), config)
+    assert len(asked) == 2 and len([w for w in found if "exceeds budget" in str(w.message)]) == 3
+
+
+def test_further_settings_reach_the_client(spark, silver):
+    def client():
+        return lambda row: ('{"sentiment": "%s", "confidence": 1}' % dict(row.extra)["tone"], 1)
+
+    agent = sentiment_agent(AgentConfig(extra={"tone": "negative"}))
+    assert enrich_with(silver.where("review_id = 'r1'"), agent, pandas_responder(client)).first().sentiment == "negative"
+
+
+def test_tokens_and_model_of_single_agents_are_stored(spark, silver, script):
+    table = gold_table(spark)
+    client = pandas_responder(script(GOOD, 90))
+    rows = enrich_with(enrich_with(silver, sentiment_agent(AgentConfig("m1")), client), category_agent(), client)
+    table.upsert(rows)
+    stored = by_id(table)["r1"]
+    assert stored.tokens_used == 180 and stored.model_used == "m1" and stored.sentiment == "positive"
+    table.upsert_one({"review_id": "a"})
+    table.upsert_one({"review_id": "b", "tokens_used": 3, "model_used": "own", "entity_tokens_used": 9, "entity_model": "x"})
+    got = by_id(table)
+    assert (got["a"].tokens_used, got["a"].model_used) == (0, "unknown")
+    assert (got["b"].tokens_used, got["b"].model_used) == (3, "own")

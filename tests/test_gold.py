@@ -126,7 +126,7 @@ def test_compact(spark, table):
 
 def test_align(spark):
     out = align(rows(spark, ["a"], "x"))
-    assert [f.name for f in out.schema] == GOLD.names and out.first().tokens_used is None
+    assert [f.name for f in out.schema] == GOLD.names and out.first().tokens_used == 0
     text = with_json_lists(out).first()
     assert text.entities_brands == "[]"
 
@@ -151,3 +151,27 @@ def test_call_log(spark):
     assert [(r.timestamp, r.batch_id, str(r.cost_usd)) for r in back] == [
         (at, "20240602", "0.00126500"), (at, "b", "0.00126500"),
     ]
+
+
+def test_files_are_bounded_by_buckets(spark, tmp_path):
+    """Many shuffle partitions do not make many files."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        table = GoldTable(spark, str(tmp_path / "gold"), buckets=16)
+        table.upsert(spark.range(5000).select(F.col("id").cast("string").alias("review_id")), unique=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 32 and table.count() == 5000
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    from pathlib import Path
+
+    from goldleaf.session import scratch, scratch_tables
+
+    with scratch_tables(spark):
+        path = scratch(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert Path(path).exists()
+    assert not Path(path).exists()

@@ -156,3 +156,21 @@ def test_rollups(spark):
     assert [(r.model, r.calls) for r in costs.unpriced(calls).collect()] == [("zz", 1)]
     empty = costs.totals(_calls(spark, [])).first()
     assert empty.calls == 0 and float(empty.cost_usd) == 0
+
+
+def test_percentiles_leave_rows_in_their_slices(spark, plan_of):
+    """No row of a value is shuffled by its group alone: a hot group stays spread."""
+    from goldleaf.operators.percentiles import percentiles_of, value_counts
+    from goldleaf.operators.running import ranged
+    from goldleaf.plans.analysis import box_stats
+
+    rows = spark.range(2000).select(F.when(F.col("id") % 3 < 2, "hot").otherwise("cold").alias("k"), (F.col("id") * 7 % 997).alias("v"))
+    saved = ranged(value_counts(rows, ["k"], "v"), ["k"], ["v"])
+    found = percentiles_of(saved, ["k"], "v", {"median": 0.5})
+    plan = plan_of(found)
+    physical = plan[plan.index("== Physical Plan ==") :]
+    joins = [line for line in physical.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+    assert not joins, joins
+    want = {r.k: r.m for r in rows.groupBy("k").agg(F.percentile("v", 0.5).alias("m")).collect()}
+    assert {r.k: r.median for r in found.collect()} == want
+    assert {r.k: r.median for r in box_stats(rows, "k", "v").collect()} == want
