@@ -44,7 +44,62 @@ SELECT d.doc_id, size::BIGINT AS size, source_size, target, coalesce(copies, 0)
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN n USING (doc_id)
 """
 
+SUBSTRINGS = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+i AS (
+    SELECT r, doc_id, i, array_to_string(w[i : i + 12], ' ') AS k
+    FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE doc_id IS NOT NULL AND len(w) >= 13)
+),
+f AS (SELECT k, min(doc_id) AS first FROM i GROUP BY k),
+g AS (SELECT DISTINCT r, i + j AS p FROM i JOIN f USING (k), range(13) x(j) WHERE first < doc_id),
+p AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (
+    SELECT p.r, count(g.p) AS gone, string_agg(word, ' ' ORDER BY p.p) FILTER (g.p IS NULL) AS kept
+    FROM p LEFT JOIN g ON p.r = g.r AND p.p = g.p GROUP BY p.r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+QUALITY = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, {WORDS} AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM documents
+),
+i AS (
+    SELECT r, i, array_to_string(w[i : i + 7], ' ') AS k
+    FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+),
+twice AS (SELECT r, k FROM i GROUP BY r, k HAVING count(*) > 1),
+c AS (SELECT r, count(DISTINCT i + j) AS n FROM i JOIN twice USING (r, k), range(8) x(j) GROUP BY r),
+m AS (
+    SELECT doc_id, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines) AS n_lines,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+    FROM d LEFT JOIN c USING (r)
+),
+j AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+           100 * n_symbols > 30 * n_words OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words AS soft
+    FROM m
+),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed OR soft) AS f FROM j GROUP BY source),
+a AS (
+    SELECT sum(f) / sum(n) AS mean,
+           (sum(f * (f / n)) - sum(n) * (sum(f) / sum(n)) * (sum(f) / sum(n)) - (count(*) - 1) * (sum(f) / sum(n)) * (1 - sum(f) / sum(n)))
+           / nullif(sum(n) - sum(n * n) / sum(n), 0) AS spread
+    FROM h
+),
+s AS (SELECT mean, least(greatest(CASE WHEN spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE 1000 END, 2), 1000) AS strength FROM a),
+v AS (SELECT source, (f + mean * strength) / (n + strength) > 0.5 AS rejected FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (rejected AND soft) AS kept
+FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source
+"""
+
 ORACLE: dict[str, str] = {
     "op1_neighbours": NEIGHBOURS,
+    "op2_substrings": SUBSTRINGS,
     "op5_mixing": MIXING,
+    "op9_quality": QUALITY,
 }

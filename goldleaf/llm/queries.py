@@ -24,7 +24,7 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(documents(spark, sf_dir), ["doc_id"]).select(
-        "doc_id", "n_words", "n_removed", "kept_sha256", "longest"
+        "doc_id", "n_words", "n_removed", "kept_sha256"
     )
 
 
