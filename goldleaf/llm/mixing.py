@@ -113,9 +113,17 @@ def mixed(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", source: str
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The mix itself: every document with all its columns, as often as it is taken."""
-    packed = docs.select(
-        F.struct(*docs.columns).alias("_whole"), F.col(doc_id).alias("_i"), F.col(source).alias("_o"), F.col(text).alias("_t")
-    )
-    found = mixed(packed, ["_whole"], "_i", "_o", "_t").where("copies > 0")
-    return found.select("_whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_whole.*")
+    """The mix itself: every document with all its columns, as often as it is taken.
+
+    The mix is made of narrow rows that know a document by its id and a hash of all its columns. The
+    documents are then shuffled once; rows that are equal throughout are one row with the sum of
+    their copies, which is the same.
+    """
+    keys = [F.col(doc_id).alias("_i"), F.xxhash64(*docs.columns).alias("_h"), F.xxhash64(F.lit(1), *docs.columns).alias("_g")]
+    narrow = docs.select(*keys, F.col(source).alias("_o"), F.col(text).alias("_t"))
+    found = mixed(narrow, ["_i", "_h", "_g"], "_i", "_o", "_t")
+    counts = found.groupBy("_h", "_g").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    whole = docs.select(*keys[1:], F.struct(*docs.columns).alias("_whole"))
+    single = whole.groupBy("_h", "_g").agg(F.any_value("_whole").alias("_whole"))
+    taken = single.join(counts, ["_h", "_g"])
+    return taken.select("_whole", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_whole.*")
