@@ -254,7 +254,7 @@ def masked(text: Column, spans: Column) -> Column:
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with all their columns, personal data in the text masked."""
     packed = docs.select(F.struct(*docs.columns).alias("_whole"), F.col(text).alias("_t"))
-    found = spotted(packed, ["_whole", "_t"], "_t")
-    return found.select("_whole.*", masked(F.col("_t"), F.col("spans")).alias("_masked")).select(
+    found = spotted(packed, ["_whole"], "_t")
+    return found.select("_whole.*", masked(F.col("_whole")[text], F.col("spans")).alias("_masked")).select(
         *[F.col("_masked").alias(c) if c == text else F.col(c) for c in docs.columns]
     )

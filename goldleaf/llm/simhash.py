@@ -205,12 +205,14 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     A component none of whose documents has an id keeps one of its rows all the same.
     """
     names = docs.columns
-    keyed = docs.select(F.struct(*names).alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_t")).withColumn(
-        "_x", F.xxhash64(F.to_json("_row", {"ignoreNullFields": "false"}))
+    # Two hashes over all columns name a row; rows that agree in both are repeats of each other.
+    keyed = docs.select(
+        F.struct(*names).alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_t"),
+        F.xxhash64(*names).alias("_x"), F.xxhash64(F.lit(1), *names).alias("_y"),
     )
-    ids = classified(keyed, ["_id", "_x"], "_id", "_t").select("_id", "_x", "component_id")
-    # The chosen (id, content) per component; rows that agree in both are repeats of each other.
-    least = ids.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_x")).alias("m"))
-    chosen = least.select(F.col("m._id").alias("_ci"), F.col("m._x").alias("_cx"))
-    hit = keyed.join(chosen, F.col("_id").eqNullSafe(F.col("_ci")) & (F.col("_x") == F.col("_cx")), "left_semi")
-    return hit.groupBy("_id", "_x").agg(F.any_value("_row").alias("_row")).select("_row.*")
+    ids = classified(keyed, ["_id", "_x", "_y"], "_id", "_t").select("_id", "_x", "_y", "component_id")
+    least = ids.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_x", "_y")).alias("m"))
+    chosen = least.select("m._x", "m._y")
+    # The join and the reduction of repeats share one shuffle of the documents.
+    hit = keyed.join(chosen, ["_x", "_y"], "left_semi")
+    return hit.groupBy("_x", "_y").agg(F.any_value("_row").alias("_row")).select("_row.*")
