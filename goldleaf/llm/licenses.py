@@ -113,10 +113,8 @@ def scanned(docs: DataFrame, carry: dict[str, str], text: str) -> DataFrame:
 def weights(found: DataFrame, hits: DataFrame) -> DataFrame:
     """word and idf of every license word that occurs, over all documents."""
     df = hits.select("_row", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
-    # One row by construction.
-    return df.crossJoin(F.broadcast(found.agg(F.count("*").alias("n")))).select(
-        "word", F.log1p(F.col("n") / F.col("df")).alias("idf")
-    )
+    every = found.select(F.count("*")).scalar()
+    return df.select("word", F.log1p(every / F.col("df")).alias("idf"))
 
 
 def matched(found: DataFrame) -> DataFrame:
@@ -150,12 +148,12 @@ def matched(found: DataFrame) -> DataFrame:
         .agg(F.max("held").alias("held"))
     )
     # A notice's full weight: its own TOP rarest words; one that no file has weighs as the rarest there is.
-    rarest = idf.agg(F.max("idf").alias("most"))
+    rarest = idf.select(F.max("idf")).scalar()
     listed = postings.select("notice", "w").distinct().join(F.broadcast(idf), F.col("w") == F.col("word"), "left")
     full = (
-        listed.crossJoin(F.broadcast(rarest))
+        listed.withColumn("idf", F.coalesce("idf", rarest))
         .groupBy("notice")
-        .agg(F.slice(F.sort_array(F.collect_list(F.coalesce("idf", "most")), asc=False), 1, TOP).alias("top"))
+        .agg(F.slice(F.sort_array(F.collect_list("idf"), asc=False), 1, TOP).alias("top"))
         .select("notice", F.aggregate("top", F.lit(0.0), lambda a, x: a + x).alias("full"))
     )
     shares = sums.join(F.broadcast(full), "notice").select("_row", "notice", F.least(F.lit(1.0), F.col("held") / F.col("full")).alias("share"))

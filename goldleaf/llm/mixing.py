@@ -51,15 +51,14 @@ def targets(rows: DataFrame) -> DataFrame:
     summed = written(
         running_totals(ordered, ["_all"], ["_level", "_nth"], {"_used": "_limit", "_weights": "weight"}), "sources"
     )
-    budget = summed.agg(F.sum("source_size").alias("_budget"), F.sum("weight").alias("_heavy"))
-    # The level if all before this source are at their limit and the others share what is left. Both
-    # joins below are with a single row by construction.
-    level = (F.col("_budget") - F.col("_used") + F.col("_limit")) / (F.col("_heavy") - F.col("_weights") + F.col("weight"))
-    top = (
-        summed.crossJoin(F.broadcast(budget)).where(level <= F.col("_level")).agg(F.max(level).alias("_top"))
-    )
-    target = F.least(F.col("_limit").cast("double"), F.col("weight") * F.coalesce("_top", F.lit(0.0)))
-    return summed.crossJoin(F.broadcast(top)).select("source", "source_size", "weight", target.alias("target"))
+    budget = summed.select(F.sum("source_size")).scalar()
+    heavy = summed.select(F.sum("weight")).scalar()
+    # The level if all before this source are at their limit and the others share what is left.
+    level = (budget - F.col("_used") + F.col("_limit")) / (heavy - F.col("_weights") + F.col("weight"))
+    levels = summed.select(level.alias("level"), "_level")
+    top = levels.where(F.col("level") <= F.col("_level")).select(F.max("level")).scalar()
+    target = F.least(F.col("_limit").cast("double"), F.col("weight") * F.coalesce(top, F.lit(0.0)))
+    return summed.select("source", "source_size", "weight", target.alias("target"))
 
 
 def queued(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -96,9 +95,9 @@ def mixed(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", source: str
     line = queued(rows, sources).withColumn("_all", F.lit(0))
     order = ["_finish", "_null", "_slot", "_epoch", "_late", "_key", "_x", "_row"]
     spent = running_totals(line, ["_all"], order, {"_spent": "size"})
-    budget = rows.agg(F.sum("size").alias("_budget"))
+    budget = rows.select(F.sum("size")).scalar()
     # Taken until the budget is spent; the last one if half of it fits.
-    within = spent.crossJoin(F.broadcast(budget)).where(2 * F.col("_spent") - F.col("size") <= 2 * F.col("_budget"))
+    within = spent.where(2 * F.col("_spent") - F.col("size") <= 2 * budget)
     counts = within.groupBy("_row").agg(F.count("*").alias("_n")).withColumnRenamed("_row", "_r")
     by_source = sources.select(F.col("source").alias("_s"), "source_size", "target")
     copies = F.coalesce("_n", F.lit(0))

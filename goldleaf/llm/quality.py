@@ -149,18 +149,12 @@ def host_verdicts(judged: DataFrame, host: str) -> DataFrame:
     extra = F.col("ff") - F.col("n") * mean * mean - (F.col("k") - 1) * mean * (1 - mean)
     spread = extra / F.nullif(F.col("n") - F.col("nn") / F.col("n"), F.lit(0.0))
     strength = F.when(spread > 0, mean * (1 - mean) / spread - 1).otherwise(F.lit(STRENGTH[1]))
-    prior = all_hosts.select(
-        mean.alias("prior_mean"),
-        F.least(F.greatest(strength, F.lit(STRENGTH[0])), F.lit(STRENGTH[1])).alias("prior_strength"),
-    )
-    shrunk = (F.col("host_failed") + F.col("prior_mean") * F.col("prior_strength")) / (
-        F.col("host_docs") + F.col("prior_strength")
-    )
-    # The prior is a single row by construction.
-    return hosts.crossJoin(F.broadcast(prior)).select(
-        F.col(host).alias("_host"), "host_docs", "host_failed", shrunk.alias("host_rate"),
-        (shrunk > HOST_LIMIT).alias("host_rejected"),
-    )
+    prior_mean = all_hosts.select(mean).scalar()
+    prior_strength = all_hosts.select(F.least(F.greatest(strength, F.lit(STRENGTH[0])), F.lit(STRENGTH[1]))).scalar()
+    shrunk = (F.col("host_failed") + prior_mean * prior_strength) / (F.col("host_docs") + prior_strength)
+    return hosts.select(
+        F.col(host).alias("_host"), "host_docs", "host_failed", shrunk.alias("host_rate")
+    ).withColumn("host_rejected", F.col("host_rate") > HOST_LIMIT)
 
 
 def judged(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
