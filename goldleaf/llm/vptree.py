@@ -19,8 +19,6 @@ with fewer than k candidates gets all of them. An empty table gives an empty res
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
