@@ -9,6 +9,8 @@ verdict is joined back to its documents.
 * The soft rules (symbols, repeated lines, odd word length) are only enforced on documents of hosts
   whose shrunk failure rate is above `HOST_LIMIT`; elsewhere a single lapse is forgiven. A document
   that fails no rule is kept on any host.
+* `keep_good` forgives only borderline lapses: a clear one (`clearly_failed`) rejects a document on
+  any host. The column `kept` of `judge` is fixed by its SQL and goes by the host alone.
 
 Defined results: a null or empty text has no words and fails (fewer than 20 words). Documents
 with a null host share one host. Repeated rows and repeated ids are judged row by row. An empty
@@ -34,6 +36,10 @@ WINDOW = 8
 SYMBOL_PERCENT = 30
 DUP_LINE_PERCENT = 50
 WORD_CHARS = (2, 20)
+#: Soft rules beyond doubt: a symbol for every word, the middle between limit and extreme, twice the upper limit.
+CLEAR_SYMBOL_PERCENT = 100
+CLEAR_DUP_LINE_PERCENT = 75
+CLEAR_WORD_CHARS = (1.5, 40)
 #: A host above this shrunk rate of documents with a failure has its soft rules enforced.
 HOST_LIMIT = 0.5
 #: Strength of the prior in documents, where the hosts' rates do not vary enough to tell.
@@ -114,17 +120,26 @@ def base_failed() -> Column:
     )
 
 
-def soft_failed() -> Column:
-    """Rules that only hosts with many failures are held to."""
-    low, high = WORD_CHARS
+def _beyond(symbols: int, dup_lines: int, word_chars: tuple[float, float]) -> Column:
+    low, high = word_chars
     return (
-        (100 * F.col("n_symbols") > SYMBOL_PERCENT * F.col("n_words"))
-        | (100 * F.col("n_dup_lines") > DUP_LINE_PERCENT * F.col("n_lines"))
+        (100 * F.col("n_symbols") > symbols * F.col("n_words"))
+        | (100 * F.col("n_dup_lines") > dup_lines * F.col("n_lines"))
         | (F.col("word_chars") < low * F.col("n_words"))
         | (F.col("word_chars") > high * F.col("n_words"))
     )
 
 
+def soft_failed() -> Column:
+    """Rules that only hosts with many failures are held to."""
+    return _beyond(SYMBOL_PERCENT, DUP_LINE_PERCENT, WORD_CHARS)
+
+
+def clearly_failed() -> Column:
+    """Soft rules broken so far that no host excuses it."""
+    return _beyond(CLEAR_SYMBOL_PERCENT, CLEAR_DUP_LINE_PERCENT, CLEAR_WORD_CHARS)
+
+
 def host_verdicts(judged: DataFrame, host: str) -> DataFrame:
     """One row per host: documents, failures, shrunk rate, and whether it is rejected.
 
@@ -179,12 +194,12 @@ def judge(docs: DataFrame, carry: list[str], host: str = "source", text: str = "
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """The documents that are kept, with all their columns.
 
-    Only documents that break a soft rule are joined with their host's verdict; no other text is
-    shuffled, however many documents a host has. Texts are measured once per step, which is
+    Documents that break a soft rule clearly are dropped; those that break one narrowly are joined with
+    their host's verdict; no other text is shuffled, however many documents a host has. Texts are measured once per step, which is
     cheaper than to write them beside their measures.
     """
     packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(host).alias("_h"), F.col(text).alias("_t"))
     verdicts = host_verdicts(judged(packed, ["_h"], "_t"), "_h")
     rows = judged(packed, ["_row", "_h"], "_t").where(~F.col("base_failed"))
-    doubtful = _with_verdicts(rows.where("soft_failed"), verdicts, "_h").where("kept")
+    doubtful = _with_verdicts(rows.where(F.col("soft_failed") & ~clearly_failed()), verdicts, "_h").where("kept")
     return rows.where(~F.col("soft_failed")).select("_row.*").union(doubtful.select("_row.*"))

@@ -66,6 +66,20 @@ def test_host_verdicts(spark):
     assert stays.columns == docs.columns and stays.count() == sum(k for k, _ in kept.values())
 
 
+def test_clear_junk_is_dropped_on_any_host(spark):
+    good = " ".join(f"w{i}" for i in range(40))
+    junk = " ".join(f"w{i}### v{i}$$$" for i in range(20))
+    repeats = "\n".join("x\n" * 4 + " ".join(f"u{i}v{j}" for j in range(9)) for i in range(6))
+    lapse = good + " " + " ".join(f"#{i}" for i in range(20))
+    rows = [(i, good, f"s{i % 4}") for i in range(80)] + [(100 + i, junk, f"s{i % 4}") for i in range(8)]
+    rows += [(200, repeats, "s0"), (201, lapse, "s1"), (202, junk, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    judged = {r.doc_id: r for r in quality.judge(docs, ["doc_id"]).collect()}
+    assert all(r.host_rate < 0.5 for r in judged.values())
+    assert not any(judged[i].base_failed for i in (100, 200, 201, 202))
+    assert sorted(r.doc_id for r in quality.keep_good(docs).collect()) == [*range(80), 201]
+
+
 # Personal data ----------------------------------------------------------------
 
 SHAPES = {
