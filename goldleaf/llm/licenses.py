@@ -1,7 +1,8 @@
 """License notices by a positional index of rare words.
 
-The index holds the distinctive words of short public notices with their positions. Of each file
-the license words with the highest inverse document frequency over all files are looked up. Where
+The index holds the distinctive words of short public notices with their positions: of each notice the
+`TOP` words with the highest inverse document frequency over all files. Every license word of a file
+is looked up, so a file may hold any number of notices among any other license words. Where
 a file's word and a notice's word meet, the difference of their positions says where the notice would
 begin; words that agree on that place, up to `SLACK` words inserted or left out, add up their
 weights. A notice that reaches `SHARE` of its weight is a candidate and becomes a label if its
@@ -128,12 +129,19 @@ def matched(found: DataFrame) -> DataFrame:
     hits = found.select("_row", F.explode("_hits").alias("h")).select("_row", F.col("h.at").alias("at"), F.col("h.word").alias("word"))
     # As many rows as the vocabulary has words at most.
     idf = written(weights(found, hits), "idf")
-    own = hits.select("_row", "word").distinct().join(F.broadcast(idf), "word")
-    best = own.groupBy("_row").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct("idf", "word")), asc=False), 1, TOP).alias("b")
+    # A notice's TOP rarest words; one that no file has weighs as the rarest there is.
+    rarest = idf.select(F.max("idf")).scalar()
+    listed = postings.select("notice", "w").distinct().join(F.broadcast(idf), F.col("w") == F.col("word"), "left")
+    tops = written(
+        listed.withColumn("idf", F.coalesce("idf", rarest))
+        .groupBy("notice")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("idf", "w")), asc=False), 1, TOP).alias("top"))
+        .select("notice", F.explode("top").alias("t"))
+        .select("notice", "t.idf", "t.w"),
+        "notice-words",
     )
-    looked_up = hits.join(best.select("_row", F.explode("b").alias("b")).select("_row", "b.word", "b.idf"), ["_row", "word"])
-    met = looked_up.join(F.broadcast(postings), F.col("word") == F.col("w"))
+    index = postings.join(F.broadcast(tops), ["notice", "w"])
+    met = hits.join(F.broadcast(index), F.col("word") == F.col("w"))
     # Two overlapping grids of 2 * SLACK words: places up to SLACK apart share a cell of one of them.
     cells = met.select(
         "_row", "notice", "word", "idf", F.explode(F.array(F.lit(0), F.lit(SLACK))).alias("_grid"),
@@ -147,15 +155,7 @@ def matched(found: DataFrame) -> DataFrame:
         .groupBy("_row", "notice")
         .agg(F.max("held").alias("held"))
     )
-    # A notice's full weight: its own TOP rarest words; one that no file has weighs as the rarest there is.
-    rarest = idf.select(F.max("idf")).scalar()
-    listed = postings.select("notice", "w").distinct().join(F.broadcast(idf), F.col("w") == F.col("word"), "left")
-    full = (
-        listed.withColumn("idf", F.coalesce("idf", rarest))
-        .groupBy("notice")
-        .agg(F.slice(F.sort_array(F.collect_list("idf"), asc=False), 1, TOP).alias("top"))
-        .select("notice", F.aggregate("top", F.lit(0.0), lambda a, x: a + x).alias("full"))
-    )
+    full = tops.groupBy("notice").agg(F.sum("idf").alias("full"))
     shares = sums.join(F.broadcast(full), "notice").select("_row", "notice", F.least(F.lit(1.0), F.col("held") / F.col("full")).alias("share"))
     return shares.where(F.col("share") >= SHARE)
 

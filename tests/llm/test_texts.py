@@ -175,6 +175,25 @@ def test_licenses(spark, odd):
     assert all(0 <= r.score <= 1 and set(r.base_labels) <= set(r.labels) for r in got)
 
 
+def test_files_with_several_notices(spark):
+    notice = {label: text for label, text, _ in licenses.NOTICES}
+    apart = " " + " ".join(f"w{i}" for i in range(60)) + " "
+    others = "mozilla affero commons creative attribution lesser gnu redistribute published foundation charge obtaining"
+    texts = {
+        0: notice["bsd"] + apart + notice["isc"],
+        1: notice["bsd"] + apart + notice["isc"] + apart + notice["mpl"],
+        2: others + apart + notice["isc"] + apart + others,
+        3: others,
+    }
+    # Plain files, in which the words of the notices are not the rarest.
+    texts |= {10 + i: f"{notice['bsd'] if i % 2 else notice['isc']} {i}" for i in range(20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    got = {r.doc_id: r for r in licenses.labelled(docs, ["doc_id"]).collect()}
+    assert got[0].labels == ["bsd", "isc"] and got[1].labels == ["bsd", "isc", "mpl"]
+    assert got[2].labels == ["isc"] and got[2].score >= licenses.SHARE and got[3].labels == []
+    assert all(got[10 + i].labels == [["isc", "bsd"][i % 2]] for i in range(20))
+
+
 # Tokens -----------------------------------------------------------------------
 
 
