@@ -4,12 +4,13 @@ Base spans are matches of fixed shapes (e-mail, IP address, card, phone) that pa
 seeds of a bootstrap: the one and the two words before a seed are lexical patterns, identifier-like
 tokens (with a digit or an at sign) that follow the same words are instances. A pattern's score for a
 kind is the weight of that kind's instances among all its distinct instances, shrunk by `PRIOR`
-instances that are none. Patterns above `CONFIDENT` with `SUPPORT` seeds or more pass their score on
-to their other instances, which weigh in the next round. After `ROUNDS` rounds the tokens that
-follow confident patterns are spans too. Spans never remove others.
+instances that are none. Patterns above `CONFIDENT` with `SUPPORT` or more instances of the kind pass
+their score on to their other instances, which weigh in the next round and count there towards the
+support of every pattern they follow, so that patterns without a seed enter as well. After `ROUNDS` rounds
+the tokens that follow confident patterns are spans too. Spans never remove others.
 
 All of it is DataFrame expressions. Edges of the pattern-instance graph are made distinct and counted
-before they meet; only patterns with enough seeds go on. Prefix sums over a text's matches copy an
+before they meet; patterns with too few instances to ever have support are left out. Prefix sums over a text's matches copy an
 array of references per match, so a text with very many matches costs their square in copies.
 
 Defined results: a null or empty text has no spans; spans are in code points, end exclusive; equal
@@ -175,28 +176,35 @@ def confident_patterns(seen: DataFrame) -> DataFrame:
     """pattern, rank (of the kind it announces) and score, after ROUNDS rounds over the graph."""
     # Distinct edges; an instance that is a seed of several kinds anywhere counts for its first.
     edges = seen.groupBy("pattern", "token").agg(F.min("rank").alias("rank"))
-    seeds = edges.where(F.col("rank").isNotNull()).groupBy("pattern", "rank").agg(F.count("*").alias("seeds"))
-    strong = seeds.where(F.col("seeds") >= SUPPORT)
-    if_any = strong.select("pattern").distinct()
-    graph = written(edges.join(if_any, "pattern", "left_semi"), "patterns")
-    sizes = graph.groupBy("pattern").agg(F.count("*").alias("every"))
-    known = strong.join(sizes, "pattern").select("pattern", F.col("rank").alias("kind"), "seeds", "every")
-    known = written(known, "pattern-seeds")
-    scores = known.select("pattern", "kind", (F.col("seeds") / (F.col("every") + PRIOR)).alias("score"))
+    # A pattern with fewer instances than SUPPORT cannot have support in any round.
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("every")).where(F.col("every") >= SUPPORT)
+    graph = written(edges.join(sizes, "pattern"), "patterns")
+    seeds = graph.where(F.col("rank").isNotNull())
+    # Per pattern and kind: its instances of the kind, and what they weigh.
+    known = written(
+        seeds.groupBy("pattern", F.col("rank").alias("kind"), "every").agg(F.count("*").alias("held"), F.count("*").cast("double").alias("weight")),
+        "pattern-seeds",
+    )
+    open_edges = graph.where(F.col("rank").isNull()).select("pattern", "token", "every")
+
+    def scored(held: DataFrame) -> DataFrame:
+        score = F.col("weight") / (F.col("every") + PRIOR)
+        return held.where(F.col("held") >= SUPPORT).select("pattern", "kind", score.alias("score"))
+
+    scores = scored(known)
     for _ in range(ROUNDS - 1):
         sure = scores.where(F.col("score") >= CONFIDENT)
         # What confident patterns say of tokens that are no seeds: chance that not all of them are wrong.
-        open_edges = graph.where(F.col("rank").isNull()).select("pattern", "token")
         said = open_edges.join(sure, "pattern").groupBy("token", "kind").agg(
             (1 - F.exp(F.sum(F.log(1 - F.col("score"))))).alias("weight")
         )
-        gained = open_edges.join(said, "token").groupBy("pattern", "kind").agg(F.sum("weight").alias("gained"))
-        scores = written(
-            known.join(gained, ["pattern", "kind"], "left").select(
-                "pattern", "kind", ((F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / (F.col("every") + PRIOR)).alias("score")
-            ),
-            "pattern-scores",
+        gained = open_edges.join(said, "token").groupBy("pattern", "kind", "every").agg(
+            F.count("*").alias("held"), F.sum("weight").alias("weight")
+        )
+        both = known.unionByName(gained).groupBy("pattern", "kind", "every").agg(
+            F.sum("held").alias("held"), F.sum("weight").alias("weight")
         )
+        scores = written(scored(both), "pattern-scores")
     best = scores.where(F.col("score") >= CONFIDENT).groupBy("pattern").agg(F.max(F.struct("score", -F.col("kind"))).alias("b"))
     return best.select("pattern", (-F.col("b.col2")).alias("kind"), F.col("b.score").alias("score"))
 

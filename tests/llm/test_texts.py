@@ -136,6 +136,18 @@ def test_contexts_discover_and_mask(spark):
     assert texts[52] == "room 5550101234"
 
 
+def test_contexts_without_seeds_are_learned(spark):
+    rows = [(i, f"please phone me at +1 555 010 {1000 + i} now") for i in range(100)]
+    # Numbers met after a learned context and after a new one, and one after the new context alone.
+    rows += [(200 + i, f"please phone me at {5550101000 + i} now") for i in range(20)]
+    rows += [(300 + i, f"her extension being {5550101000 + i} now") for i in range(20)]
+    rows += [(400, "her extension being 5550109999 now"), (401, "the order number was 5550109999 once")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    texts = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    assert texts[205] == "please phone me at [PHONE] now"
+    assert texts[305] == texts[400] == "her extension being [PHONE] now" and texts[401] == rows[-1][1]
+
+
 def test_overlapping_spans_are_masked_once(spark):
     row = spark.range(1).select(
         pii.masked(F.lit("0123456789"), F.expr("array(struct(1 AS start, 2 AS rank, 5 AS stop), struct(3 AS start, 3 AS rank, 7 AS stop))"))
