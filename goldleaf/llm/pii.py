@@ -36,7 +36,12 @@ SHAPES = {
 }
 #: Something that has to stand in a text for a shape to be looked for.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Digit groups divided by single blanks, dots, hyphens or brackets are one token; an IP address is not joined.
+_IP = r"[0-9]++(?:\.[0-9]++){3}"
+_GROUP = rf"(?:[)\]]?[ .-]?[(\[]?|[)\]] [(\[]?)(?<![0-9])(?!{_IP})[0-9]++(?![^\x20\x09-\x0D.,;:!?()\[\]\x22'-])"
+TOKEN = (
+    rf"(?<![^\x20\x09-\x0D])(?:[(\[]?(?!{_IP})[0-9]++(?:{_GROUP})++|[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]*+"
+)
 #: Code points before a token in which its context is looked for.
 CONTEXT = 80
 ROUNDS = 3
@@ -136,10 +141,11 @@ def with_base(docs: DataFrame, carry: dict[str, str], text: str) -> DataFrame:
     def locate(state: Column, x: Column) -> Column:
         start = state.at + F.length(x.b)
         stop = start + F.length(x.m)
-        before = F.right(x.b, F.lit(CONTEXT))
+        # The end of the text before it, whatever tokens that holds.
+        before = F.right(F.concat(state.tail, x.b), F.lit(CONTEXT))
         token = F.array(F.struct(start.alias("start"), stop.alias("stop"), F.lower(x.m).alias("token"), before.alias("before")))
         keep = F.when(F.length(x.m) >= LEAST, F.concat(state.out, token)).otherwise(state.out)
-        return F.struct(stop.alias("at"), keep.alias("out"))
+        return F.struct(stop.alias("at"), F.right(F.concat(before, x.m), F.lit(CONTEXT)).alias("tail"), keep.alias("out"))
 
     def seed(span: Column) -> Column:
         first = F.greatest(span.start - CONTEXT, F.lit(0))
@@ -150,7 +156,7 @@ def with_base(docs: DataFrame, carry: dict[str, str], text: str) -> DataFrame:
         )
 
     kind = "array<struct<start:int,stop:int,token:string,before:string>>"
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    none = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(kind).alias("out"))
     located = F.aggregate(F.filter(tokens, lambda x: x.m.isNotNull()), none, locate, lambda s: s.out)
     both = found.select(*carry.values(), "_t", spans.alias("_base"), located.alias("_located"))
     outside = F.filter(

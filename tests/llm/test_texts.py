@@ -148,6 +148,19 @@ def test_contexts_without_seeds_are_learned(spark):
     assert texts[305] == texts[400] == "her extension being [PHONE] now" and texts[401] == rows[-1][1]
 
 
+def test_grouped_numbers_are_masked_whole(spark):
+    grouped = ["555 010 1234", "555010 12345", "555.010.1234", "555-010-1234", "(555) 010 1234", "(555)010-1234", "[555] 0101234"]
+    rows = [(i, f"please phone me at +1 555 010 {1000 + i} now") for i in range(60)]
+    rows += [(100 + i, f"please phone me at {x} now") for i, x in enumerate(grouped)]
+    rows += [(200, "no 12 please phone me at 5550101234 now"), (201, "the sum is 555 010 1234 today")]
+    rows += [(202, "please phone me at 55501 10.0.0.1 now"), (203, "please phone me at 55501 2nd floor")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    texts = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    assert {texts[100 + i] for i in range(len(grouped))} == {"please phone me at [PHONE] now"}
+    assert texts[200] == "no 12 please phone me at [PHONE] now" and texts[201] == rows[-3][1]
+    assert texts[202] == "please phone me at [PHONE] [IP] now" and texts[203] == "please phone me at [PHONE] 2nd floor"
+
+
 def test_overlapping_spans_are_masked_once(spark):
     row = spark.range(1).select(
         pii.masked(F.lit("0123456789"), F.expr("array(struct(1 AS start, 2 AS rank, 5 AS stop), struct(3 AS start, 3 AS rank, 7 AS stop))"))
