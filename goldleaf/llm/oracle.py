@@ -97,9 +97,84 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source
 """
 
+EXACT = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id, r) = 1 AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)
+"""
+
+
+def _rounds(n: int) -> str:
+    """Assignments and means, round by round."""
+    steps = []
+    for i in range(n + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+    SELECT r, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+        SELECT r, vec_id, v, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i])))::BIGINT AS d FROM k, c{i}
+    ) GROUP BY r, vec_id, v
+)""")
+        if i < n:
+            steps.append(f"""s{i} AS (
+    SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM a{i}) GROUP BY c, i
+), m{i} AS (SELECT c, list(((s - ((s % n) + n) % n) / n)::BIGINT ORDER BY i) AS m FROM (SELECT c, i, s, n::HUGEINT AS n FROM s{i}) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.m, c{i}.m) AS m FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return ",\n".join(steps)
+
+
+CENTROIDS = f"""
+WITH k AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m
+    FROM (SELECT sha256('3:' || vec_id) AS h, v FROM k WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT 8)
+),
+{_rounds(10)}
+SELECT vec_id, a10.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a10.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a10 JOIN c10 USING (c)
+"""
+
+DIVERGENCE = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+t AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM c GROUP BY lang, source),
+p AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000 * (coalesce(c.n, 0) + 5) - (1000000000 * (coalesce(c.n, 0) + 5)) % (coalesce(t.n, 0) + 5 * v.v)) / (coalesce(t.n, 0) + 5 * v.v) AS p,
+           1 + (1000000000 * (k.n + 5)::HUGEINT - (1000000000 * (k.n + 5)::HUGEINT) % (v.n + 5 * v.v)) / (v.n + 5 * v.v) AS q
+    FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN t USING (lang, source)
+),
+i AS MATERIALIZED (SELECT lang, source, term, n, p::BIGINT AS p, q::BIGINT AS q FROM p),
+a AS (
+    SELECT x.lang, x.source, 'pair' AS part, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS value
+    FROM i x JOIN i y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source
+),
+b AS (
+    SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+    FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM i WHERE n > 0 AND p > q
+),
+f AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM b)
+SELECT * FROM f WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op1_neighbours": NEIGHBOURS,
     "op2_substrings": SUBSTRINGS,
     "op5_mixing": MIXING,
     "op9_quality": QUALITY,
+    "op11_exactdups": EXACT,
+    "op12_centroids": CENTROIDS,
+    "op13_divergence": DIVERGENCE,
 }

@@ -1,4 +1,4 @@
-"""The ten operators over the driver's tables, one query each, and SQL where it can say the same."""
+"""The operators over the driver's tables, one query each, and SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, substrings, toxicity, vptree
+from goldleaf.llm import (
+    arrowfiles, centroids, divergence, exactdups, licenses, mixing, packing, pii, quality, simhash, substrings, toxicity,
+    vptree,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +79,20 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exactdups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdups.judged(documents(spark, sf_dir), ["doc_id"])
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clustered(table(spark, sf_dir, "embeddings"), ["vec_id"])
+    written_out = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return found.withColumn("centroid_sha256", F.sha2(written_out, 256)).drop("centroid")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_substrings": op2_substrings,
@@ -87,4 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_arrow": op10_arrow,
+    "op11_exactdups": op11_exactdups,
+    "op12_centroids": op12_centroids,
+    "op13_divergence": op13_divergence,
 }
