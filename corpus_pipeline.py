@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import mixing, nearcopies, packing, pii, quality
+from goldleaf.llm import mixing, packing, pii, quality, simhash
 from goldleaf.llm.queries import documents, vocabulary
 from goldleaf.session import written
 
@@ -20,8 +20,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return nearcopies.keep_one(docs)
+    """The document with the smallest id of each group of linked fingerprints."""
+    return simhash.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
