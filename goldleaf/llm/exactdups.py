@@ -27,12 +27,11 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldleaf.llm.skew import join_counted
 from goldleaf.session import scratch, written
 
 #: Contents read by one micro-batch.
 TRIGGER_BYTES = 64 << 30
-#: Digests with more than one in so many rows are joined by broadcast: fewer than this many.
-HOT = 1000
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -40,6 +39,8 @@ STATE = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # Megabytes of empty log per partition otherwise.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -118,7 +119,7 @@ class Deduplicator:
 
     def _unlike(self, state: DataFrame, rows: DataFrame) -> DataFrame:
         """Digests of several rows whose contents are not the same bytes."""
-        hits = _by_digest(rows, state.where(F.col("n") > 1)).select(F.col("file").alias("_f"), F.col("at").alias("_a"))
+        hits = join_counted(rows, state.where(F.col("n") > 1), "digest", "n").select(F.col("file").alias("_f"), F.col("at").alias("_a"))
         # Locators are unique, so fetching contents by them has no large keys.
         found = self._contents().select("digest", "content", *_place())
         found = found.join(hits, (F.col("file") == F.col("_f")) & (F.col("at") == F.col("_a")), "left_semi")
@@ -132,7 +133,7 @@ class Deduplicator:
         rows = self._contents().select(*[f"_c{i}" for i in range(len(self.carry))], "_id", "digest", *_place())
         unlike = written(self._unlike(state, rows), "exact-unlike")
         alike = state if unlike.isEmpty() else state.join(unlike, "digest", "left_anti")
-        out = self._told(_by_digest(rows, alike), sha256(F.col("content")) if self.digest is not sha256 else None)
+        out = self._told(join_counted(rows, alike, "digest", "n"), sha256(F.col("content")) if self.digest is not sha256 else None)
         if not unlike.isEmpty():
             # The contents themselves as keys, for the few digests that lie.
             apart = self._contents().select("*", *_place()).join(unlike, "digest", "left_semi")
@@ -152,14 +153,6 @@ class Deduplicator:
         )
 
 
-def _by_digest(rows: DataFrame, state: DataFrame) -> DataFrame:
-    """Rows with `n` and `least` of their digest; the largest groups without a shuffle."""
-    total = state.agg(F.sum("n")).scalar()
-    hot = F.col("n") * HOT > total
-    large = rows.join(F.broadcast(state.where(hot)), "digest")
-    return large.unionByName(rows.join(state.where(~hot), "digest"))
-
-
 def judged(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`results` of one table, deduplicated in a folder of its own."""
     found = Deduplicator(docs.sparkSession, scratch(docs.sparkSession, "exact"))
