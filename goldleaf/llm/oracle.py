@@ -81,19 +81,23 @@ m AS (
 ),
 j AS (
     SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-           100 * n_symbols > 30 * n_words OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words AS soft
+           coalesce(greatest(
+               100 * n_symbols / nullif(30 * n_words, 0), 50 * n_dup_lines / nullif(50 * (n_lines - n_dup_lines), 0),
+               word_chars / nullif(20 * n_words, 0), 2 * n_words / nullif(word_chars, 0)
+           ), 0) AS beyond,
+           beyond > 1 AS soft
     FROM m
 ),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed OR soft) AS f FROM j GROUP BY source),
 a AS (
     SELECT sum(f) / sum(n) AS mean,
            (sum(f * (f / n)) - sum(n) * (sum(f) / sum(n)) * (sum(f) / sum(n)) - (count(*) - 1) * (sum(f) / sum(n)) * (1 - sum(f) / sum(n)))
-           / nullif(sum(n) - sum(n * n) / sum(n), 0) AS spread
+           / nullif(sum(n) - sum(n::DOUBLE * n) / sum(n), 0) AS spread
     FROM h
 ),
 s AS (SELECT mean, least(greatest(CASE WHEN spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE 1000 END, 2), 1000) AS strength FROM a),
-v AS (SELECT source, (f + mean * strength) / (n + strength) > 0.5 AS rejected FROM h, s)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (rejected AND soft) AS kept
+v AS (SELECT source, (f + mean * strength) / (n + strength) AS rate FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (soft AND beyond * rate > 1 - rate) AS kept
 FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source
 """
 

@@ -6,11 +6,11 @@ the hosts themselves, so that a host of three documents is not condemned by two.
 verdict is joined back to its documents.
 
 * The hard rules (`base_failed`) reject a document wherever it comes from.
-* The soft rules (symbols, repeated lines, odd word length) are only enforced on documents of hosts
-  whose shrunk failure rate is above `HOST_LIMIT`; elsewhere a single lapse is forgiven. A document
-  that fails no rule is kept on any host.
-* `keep_good` forgives only borderline lapses: a clear one (`clearly_failed`) rejects a document on
-  any host. The column `kept` of `judge` is fixed by its SQL and goes by the host alone.
+* A document that breaks a soft rule (symbols, repeated lines, odd word length) is judged by both its own lapse and its
+  host: the host's shrunk rate gives the odds that a document of it is bad, and `beyond`, how many times its limit the
+  worst measure is, is the evidence of the document itself. It is rejected where odds times evidence are above one. So a
+  narrow lapse is forgiven unless every other document of the host fails, and a gross one unless the host hardly knows any.
+* A document that breaks no rule is kept on any host.
 
 Defined results: a null or empty text has no words and fails (fewer than 20 words). Documents
 with a null host share one host. Repeated rows and repeated ids are judged row by row. An empty
@@ -36,12 +36,6 @@ WINDOW = 8
 SYMBOL_PERCENT = 30
 DUP_LINE_PERCENT = 50
 WORD_CHARS = (2, 20)
-#: Soft rules beyond doubt: a symbol for every word, the middle between limit and extreme, twice the upper limit.
-CLEAR_SYMBOL_PERCENT = 100
-CLEAR_DUP_LINE_PERCENT = 75
-CLEAR_WORD_CHARS = (1.5, 40)
-#: A host above this shrunk rate of documents with a failure has its soft rules enforced.
-HOST_LIMIT = 0.5
 #: Strength of the prior in documents, where the hosts' rates do not vary enough to tell.
 STRENGTH = (2.0, 1000.0)
 
@@ -120,28 +114,28 @@ def base_failed() -> Column:
     )
 
 
-def _beyond(symbols: int, dup_lines: int, word_chars: tuple[float, float]) -> Column:
-    low, high = word_chars
-    return (
-        (100 * F.col("n_symbols") > symbols * F.col("n_words"))
-        | (100 * F.col("n_dup_lines") > dup_lines * F.col("n_lines"))
-        | (F.col("word_chars") < low * F.col("n_words"))
-        | (F.col("word_chars") > high * F.col("n_words"))
+def beyond() -> Column:
+    """How many times its limit the document's worst measure is; for repeated lines by odds, as shares end at one."""
+    n, low, high = F.col("n_words"), *WORD_CHARS
+    once = F.col("n_lines") - F.col("n_dup_lines")
+    return F.coalesce(
+        F.greatest(
+            100 * F.col("n_symbols") / F.nullif(SYMBOL_PERCENT * n, F.lit(0)),
+            (100 - DUP_LINE_PERCENT) * F.col("n_dup_lines") / F.nullif(DUP_LINE_PERCENT * once, F.lit(0)),
+            F.col("word_chars") / F.nullif(high * n, F.lit(0)),
+            low * n / F.nullif(F.col("word_chars"), F.lit(0)),
+        ),
+        F.lit(0.0),
     )
 
 
 def soft_failed() -> Column:
-    """Rules that only hosts with many failures are held to."""
-    return _beyond(SYMBOL_PERCENT, DUP_LINE_PERCENT, WORD_CHARS)
-
-
-def clearly_failed() -> Column:
-    """Soft rules broken so far that no host excuses it."""
-    return _beyond(CLEAR_SYMBOL_PERCENT, CLEAR_DUP_LINE_PERCENT, CLEAR_WORD_CHARS)
+    """Rules a document may break, depending on its host and on how far."""
+    return F.col("beyond") > 1
 
 
 def host_verdicts(judged: DataFrame, host: str) -> DataFrame:
-    """One row per host: documents, failures, shrunk rate, and whether it is rejected.
+    """One row per host: documents, failures, and the shrunk rate of failures.
 
     The prior's mean is the failure rate of all documents; its strength comes from how far the
     hosts' rates spread beyond what chance alone gives (method of moments). The sums behind it
@@ -156,7 +150,7 @@ def host_verdicts(judged: DataFrame, host: str) -> DataFrame:
         F.sum("host_docs").alias("n"),
         F.sum("host_failed").alias("f"),
         F.sum(F.col("host_failed") * rate).alias("ff"),
-        F.sum(F.col("host_docs") * F.col("host_docs")).alias("nn"),
+        F.sum(F.col("host_docs").cast("double") * F.col("host_docs")).alias("nn"),
         F.count("*").alias("k"),
     )
     mean = F.col("f") / F.col("n")
@@ -167,20 +161,20 @@ def host_verdicts(judged: DataFrame, host: str) -> DataFrame:
     prior_mean = all_hosts.select(mean).scalar()
     prior_strength = all_hosts.select(F.least(F.greatest(strength, F.lit(STRENGTH[0])), F.lit(STRENGTH[1]))).scalar()
     shrunk = (F.col("host_failed") + prior_mean * prior_strength) / (F.col("host_docs") + prior_strength)
-    return hosts.select(
-        F.col(host).alias("_host"), "host_docs", "host_failed", shrunk.alias("host_rate")
-    ).withColumn("host_rejected", F.col("host_rate") > HOST_LIMIT)
+    return hosts.select(F.col(host).alias("_host"), "host_docs", "host_failed", shrunk.alias("host_rate"))
 
 
 def judged(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
-    return measured(docs, carry, text).withColumns({"base_failed": base_failed(), "soft_failed": soft_failed()})
+    rows = measured(docs, carry, text).withColumns({"base_failed": base_failed(), "beyond": beyond()})
+    return rows.withColumn("soft_failed", soft_failed())
 
 
 def _with_verdicts(rows: DataFrame, verdicts: DataFrame, host: str) -> DataFrame:
+    guilty = F.col("soft_failed") & (F.col("beyond") * F.col("host_rate") > 1 - F.col("host_rate"))
     return (
         rows.join(verdicts, F.col(host).eqNullSafe(F.col("_host")), "left")
         .drop("_host")
-        .withColumn("kept", ~F.col("base_failed") & ~(F.col("host_rejected") & F.col("soft_failed")))
+        .withColumn("kept", ~F.col("base_failed") & ~guilty)
     )
 
 
@@ -194,12 +188,11 @@ def judge(docs: DataFrame, carry: list[str], host: str = "source", text: str = "
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """The documents that are kept, with all their columns.
 
-    Documents that break a soft rule clearly are dropped; those that break one narrowly are joined with
-    their host's verdict; no other text is shuffled, however many documents a host has. Texts are measured once per step, which is
-    cheaper than to write them beside their measures.
+    Texts are measured once, to rows without them; the rejected documents are then taken out by two hashes of all
+    columns, in which only equal rows, and so equal verdicts, agree.
     """
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(host).alias("_h"), F.col(text).alias("_t"))
-    verdicts = host_verdicts(judged(packed, ["_h"], "_t"), "_h")
-    rows = judged(packed, ["_row", "_h"], "_t").where(~F.col("base_failed"))
-    doubtful = _with_verdicts(rows.where(F.col("soft_failed") & ~clearly_failed()), verdicts, "_h").where("kept")
-    return rows.where(~F.col("soft_failed")).select("_row.*").union(doubtful.select("_row.*"))
+    keys = [F.xxhash64(*docs.columns).alias("_x"), F.xxhash64(F.lit(1), *docs.columns).alias("_y")]
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *keys, F.col(host).alias("_h"), F.col(text).alias("_t"))
+    verdicts = judge(keyed, ["_x", "_y"], "_h", "_t")
+    bad = verdicts.where(~F.col("kept")).select("_x", "_y").distinct()
+    return keyed.join(bad, ["_x", "_y"], "left_anti").select("_row.*")
