@@ -3,9 +3,8 @@
 Texts are cut where both vocabularies' pre-tokenizers cut anyway: at blanks and line feeds, and
 between an ASCII letter and one of `,.;:!?`. Equal pieces of a slice are brought together by Arrow's
 dictionary encoding, and only pieces that the worker has not met yet are given to the
-tokenizer. A text with any other kind of white space is given to it whole.
-
-Special tokens' strings in a text are ordinary text. A null text is an empty one.
+tokenizer. A text with any other kind of white space, or with the string of a special token, is given to it whole,
+so ids are those of a plain call of the library, which takes such a string for the token. A null text is an empty one.
 """
 
 from __future__ import annotations
@@ -41,7 +40,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # In lower case, as a vocabulary may look for them in normalised text.
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.word_ends = word_ends
         # What stands between pieces in one string, and the single id it gets.
         self.between = "\n|\n" if word_ends else "\n"
@@ -102,9 +102,16 @@ class Encoder:
         return np.array(found, dtype=np.int64)
 
     def _odd(self, texts: Texts) -> np.ndarray:
-        """Texts that may hold white space other than blanks and line feeds."""
+        """Texts that may hold white space other than blanks and line feeds, or a special token."""
         data = texts.data
         hit = [np.flatnonzero(_OTHER[data])]
+        lower = data.tobytes().lower()
+        for token in self.special:
+            at = lower.find(token)
+            while at >= 0:
+                hit.append(np.array([at]))
+                # Once per text is enough.
+                at = lower.find(token, int(texts.at[np.searchsorted(texts.at, at, side="right")]))
         if (data >= 0xC2).any():
             raw = data.tobytes()
             for seq in _WIDE:
