@@ -3,10 +3,11 @@
 Every document becomes its ids and an end id. Longer ones are cut into full pieces, each a sequence of
 its own, and a last piece. Last pieces are placed one by one, longest first: of all residual gaps that an
 open sequence has, and of a new sequence, the place is taken after which the sum over gaps of
-the squared count of open sequences with that gap is smallest; ties go to the smallest gap that fits.
+the squared count of open sequences with that gap is smallest; ties go to the smallest gap that fits. In the end
+open sequences that fit together become one, the fullest first, each put where it leaves the least gap.
 
-Documents are dealt by hash to groups of about `GROUP` rows, and each group is packed by one task from
-lengths alone. What a group wastes is about one sequence, of several thousand.
+Documents are dealt by row number to groups of about `GROUP` rows, so that repeated rows are spread like others, and each
+group is packed by one task from lengths alone. What a group wastes is about one sequence, of several thousand.
 
 Defined results: a null or empty text is one piece holding the end id. Repeated rows are packed as
 often as they stand there; a null doc_id is carried like any other. An empty table gives an empty
@@ -16,6 +17,7 @@ result. Extra columns are ignored unless they are asked for.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +64,22 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
     return bins, places
 
 
+def joined(bins: np.ndarray, places: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with sequences that fit together made one; sequences are numbered anew, without gaps."""
+    loads = np.bincount(bins, weights=sizes).astype(np.int64)
+    gaps: list[tuple[int, int]] = []  # of the joined sequences, in order
+    whole, base, made = np.zeros_like(loads), np.zeros_like(loads), 0
+    for b in np.argsort(-loads, kind="stable").tolist():
+        load = int(loads[b])
+        k = bisect_left(gaps, (load, -1))
+        gap, at = gaps.pop(k) if k < len(gaps) else (capacity, made)
+        made = max(made, at + 1)
+        whole[b], base[b] = at, capacity - gap
+        if gap > load:
+            insort(gaps, (gap - load, at))
+    return whole[bins], places + base[bins]
+
+
 def tokenized(
     docs: DataFrame, carry: list[str], path: str, capacity: int = CAPACITY, end: int = END,
     word_ends: bool = True, with_ids: bool = False, text: str = "text",
@@ -102,7 +120,7 @@ def tokenized(
 def placed(tokens: DataFrame, rows: int, capacity: int = CAPACITY) -> DataFrame:
     """`tokenized` rows with `sequences` and `offsets`, one of each per piece."""
     groups = max(1, -(-rows // GROUP))
-    dealt = tokens.withColumn("_group", F.pmod(F.xxhash64("crcs", "sizes", *_ids(tokens)), F.lit(groups)))
+    dealt = tokens.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def work(table: pa.Table) -> pa.Table:
         group = table.column("_group")[0].as_py()
@@ -111,7 +129,7 @@ def placed(tokens: DataFrame, rows: int, capacity: int = CAPACITY) -> DataFrame:
         ends = np.cumsum(sizes.value_lengths().to_numpy())
         last = np.zeros(len(flat), dtype=bool)
         last[ends - 1] = True
-        bins, places = sum_of_squares(flat[last], capacity)
+        bins, places = joined(*sum_of_squares(flat[last], capacity), flat[last], capacity)
         at, offset = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
         at[last], offset[last] = bins, places
         # Full pieces stand alone, numbered after the packed ones.
@@ -127,11 +145,6 @@ def placed(tokens: DataFrame, rows: int, capacity: int = CAPACITY) -> DataFrame:
     return dealt.groupBy("_group").applyInArrow(work, schema).drop("_group")
 
 
-def _ids(tokens: DataFrame) -> list[str]:
-    """Columns that can tell equal texts apart when they are dealt out."""
-    return [c for c, kind in tokens.dtypes if c not in ("sizes", "crcs", "ids") and kind in ("bigint", "int", "string")]
-
-
 def packed(
     docs: DataFrame, carry: list[str], path: str, capacity: int = CAPACITY, end: int = END,
     word_ends: bool = True, with_ids: bool = False, text: str = "text",
@@ -156,5 +169,5 @@ def packed(
 def sequences(pieces: DataFrame) -> DataFrame:
     """The ids of every sequence in one binary (little-endian, 32 bits each), from pieces with ids."""
     held = pieces.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("p"))
-    joined = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x.ids))
-    return held.select("sequence_id", joined.alias("ids"))
+    whole = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x.ids))
+    return held.select("sequence_id", whole.alias("ids"))
