@@ -10,8 +10,9 @@ support of every pattern they follow, so that patterns without a seed enter as w
 the tokens that follow confident patterns are spans too. Spans never remove others.
 
 All of it is DataFrame expressions. Edges of the pattern-instance graph are made distinct and counted
-before they meet; patterns with too few instances to ever have support are left out. Prefix sums over a text's matches copy an
-array of references per match, so a text with very many matches costs their square in copies.
+before they meet; patterns with too few instances to ever have support are left out, and the patterns with the most
+instances are joined by broadcast, so no task gets all instances of a frequent word. Long texts are handled in pieces, cut
+where no match can be, so the time of a text is in proportion to its length, however many matches it holds.
 
 Defined results: a null or empty text has no spans; spans are in code points, end exclusive; equal
 starts are ordered by kind. Repeated rows get equal spans. An empty table gives an empty result.
@@ -23,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldleaf.llm.skew import join_counted
 from goldleaf.session import written
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,6 +44,12 @@ _GROUP = rf"(?:[)\]]?[ .-]?[(\[]?|[)\]] [(\[]?)(?<![0-9])(?!{_IP})[0-9]++(?![^\x
 TOKEN = (
     rf"(?<![^\x20\x09-\x0D])(?:[(\[]?(?!{_IP})[0-9]++(?:{_GROUP})++|[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]*+"
 )
+#: Texts beyond twice this are handled in pieces of at least so many code points.
+PIECE = 2000
+#: A piece ends behind a line feed, or behind a blank that a letter follows: no shape and no token reaches over either.
+CUT = rf"(?s).{{{PIECE}}}.*?(?:\x0A|\x20(?=[A-Za-z])|\z)|.+"
+#: Pieces whose spans are sorted out together.
+TOGETHER = 64
 #: Code points before a token in which its context is looked for.
 CONTEXT = 80
 ROUNDS = 3
@@ -88,7 +96,25 @@ def _located(text: Column, pattern: str) -> Column:
     return F.arrays_zip(between.alias("b"), found.alias("m"))
 
 
-def _spans(pairs: Column, kind: str) -> Column:
+def pieces(text: Column) -> Column:
+    """Pieces of a text: `at`, where it begins, the `before` it, and its `text`."""
+
+    def add(state: Column, part: Column) -> Column:
+        piece = F.struct(state.at.alias("at"), state.before.alias("before"), part.alias("text"))
+        return F.struct(
+            (state.at + F.length(part)).alias("at"), F.right(part, F.lit(CONTEXT)).alias("before"),
+            F.concat(state.out, F.array(piece)).alias("out"),
+        )
+
+    cut = F.when(F.length(text) > 2 * PIECE, F.regexp_extract_all(text, F.lit(CUT), F.lit(0))).otherwise(F.array(text))
+    none = F.struct(
+        F.lit(0).alias("at"), F.lit("").alias("before"), F.array().cast("array<struct<at:int,before:string,text:string>>").alias("out")
+    )
+    return F.aggregate(cut, none, add, lambda s: s.out)
+
+
+def _spans(piece: Column, kind: str) -> Column:
+    """Valid matches of one kind in a piece, by place in the text."""
     rank = KINDS.index(kind)
 
     def add(state: Column, x: Column) -> Column:
@@ -98,20 +124,17 @@ def _spans(pairs: Column, kind: str) -> Column:
         keep = F.when(_valid(kind, x.m), F.concat(state.out, span)).otherwise(state.out)
         return F.struct(stop.alias("at"), keep.alias("out"))
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    hint = HINTS[kind]
+    likely = F.contains(piece.text, F.lit(hint)) if hint else piece.text.rlike("[0-9][ -]?[0-9]")
+    none = F.struct(piece.at.alias("at"), F.array().cast(_SPANS).alias("out"))
     # The stretch behind the last match has none.
-    return F.aggregate(F.filter(pairs, lambda x: x.m.isNotNull()), none, add, lambda s: s.out)
+    pairs = F.filter(_located(piece.text, SHAPES[kind]), lambda x: x.m.isNotNull())
+    return F.when(likely, F.aggregate(pairs, none, add, lambda s: s.out)).otherwise(F.array().cast(_SPANS))
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """Valid spans of every kind, in order."""
-    empty = F.array().cast(_SPANS)
-    out = {}
-    for kind, shape in SHAPES.items():
-        hint = HINTS[kind]
-        likely = F.contains(text, F.lit(hint)) if hint else text.rlike("[0-9][ -]?[0-9]")
-        out[kind] = F.when(likely, _spans(_located(text, shape), kind)).otherwise(empty)
-    return out
+def base_spans(piece: Column) -> Column:
+    """Valid spans of every kind in a piece, in order."""
+    return F.array_sort(F.concat(*[_spans(piece, kind) for kind in KINDS]))
 
 
 def _patterns(before: Column) -> Column:
@@ -129,14 +152,11 @@ def _last_two(stretch: Column) -> Column:
     return F.when(n > 2, F.slice(words, -2, 2)).otherwise(words)
 
 
-def with_base(docs: DataFrame, carry: dict[str, str], text: str) -> DataFrame:
-    """Carried columns, a row number, base spans, and the identifier-like tokens with their contexts."""
-    plain = docs.select(*[F.col(c).alias(n) for c, n in carry.items()], F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    found = plain.select(*carry.values(), "_t", *[s.alias(f"_{k}") for k, s in base_spans(F.col("_t")).items()])
-    spans = F.array_sort(F.concat(*[F.col(f"_{k}") for k in KINDS]))
-    tokens = F.when(F.col("_t").rlike("[0-9@]"), _located(F.col("_t"), TOKEN)).otherwise(
-        F.array().cast("array<struct<b:string,m:string>>")
-    )
+_TOKENS = "array<struct<start:int,stop:int,token:string,before:string>>"
+
+
+def _tokens(piece: Column) -> Column:
+    """Identifier-like tokens of a piece, with what stands before them."""
 
     def locate(state: Column, x: Column) -> Column:
         start = state.at + F.length(x.b)
@@ -147,24 +167,41 @@ def with_base(docs: DataFrame, carry: dict[str, str], text: str) -> DataFrame:
         keep = F.when(F.length(x.m) >= LEAST, F.concat(state.out, token)).otherwise(state.out)
         return F.struct(stop.alias("at"), F.right(F.concat(before, x.m), F.lit(CONTEXT)).alias("tail"), keep.alias("out"))
 
+    none = F.struct(piece.at.alias("at"), piece.before.alias("tail"), F.array().cast(_TOKENS).alias("out"))
+    pairs = F.filter(_located(piece.text, TOKEN), lambda x: x.m.isNotNull())
+    found = F.aggregate(pairs, none, locate, lambda s: s.out)
+    return F.when(piece.text.rlike("[0-9@]"), found).otherwise(F.array().cast(_TOKENS))
+
+
+def _seeds(piece: Column, spans: Column) -> Column:
+    """Base spans of a piece as tokens."""
+
     def seed(span: Column) -> Column:
-        first = F.greatest(span.start - CONTEXT, F.lit(0))
+        first = span.start - piece.at
         return F.struct(
             span.start.alias("start"), span.stop.alias("stop"), span["rank"].alias("rank"),
-            F.lower(F.col("_t").substr(span.start + 1, span.stop - span.start)).alias("token"),
-            F.col("_t").substr(first + 1, span.start - first).alias("before"),
+            F.lower(piece.text.substr(first + 1, span.stop - span.start)).alias("token"),
+            F.right(F.concat(piece.before, piece.text.substr(F.lit(1), first)), F.lit(CONTEXT)).alias("before"),
         )
 
-    kind = "array<struct<start:int,stop:int,token:string,before:string>>"
-    none = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(kind).alias("out"))
-    located = F.aggregate(F.filter(tokens, lambda x: x.m.isNotNull()), none, locate, lambda s: s.out)
-    both = found.select(*carry.values(), "_t", spans.alias("_base"), located.alias("_located"))
-    outside = F.filter(
-        "_located", lambda x: ~F.exists("_base", lambda s: (s.start < x.stop) & (s.stop > x.start))
+    return F.transform(spans, seed)
+
+
+def with_base(docs: DataFrame, carry: dict[str, str], text: str) -> DataFrame:
+    """Carried columns, a row number, base spans, and the identifier-like tokens with their contexts."""
+    plain = docs.select(
+        *[F.col(c).alias(n) for c, n in carry.items()], pieces(F.coalesce(F.col(text), F.lit(""))).alias("_p")
     )
-    return both.select(
-        *carry.values(), F.monotonically_increasing_id().alias("_row"), "_base",
-        F.transform("_base", seed).alias("_seeds"), outside.alias("_tokens"),
+    found = plain.select(*carry.values(), F.transform("_p", lambda p: F.struct(p.alias("p"), base_spans(p).alias("spans"), _tokens(p).alias("tokens"))).alias("_f"))
+
+    def outside(x: Column) -> Column:
+        return F.filter(x.tokens, lambda t: ~F.exists(x.spans, lambda s: (s.start < t.stop) & (s.stop > t.start)))
+
+    return found.select(
+        *carry.values(), F.monotonically_increasing_id().alias("_row"),
+        F.flatten(F.transform("_f", lambda x: x.spans)).alias("_base"),
+        F.flatten(F.transform("_f", lambda x: _seeds(x.p, x.spans))).alias("_seeds"),
+        F.flatten(F.transform("_f", outside)).alias("_tokens"),
     )
 
 
@@ -181,32 +218,34 @@ def contexts(found: DataFrame) -> DataFrame:
 def confident_patterns(seen: DataFrame) -> DataFrame:
     """pattern, rank (of the kind it announces) and score, after ROUNDS rounds over the graph."""
     # Distinct edges; an instance that is a seed of several kinds anywhere counts for its first.
-    edges = seen.groupBy("pattern", "token").agg(F.min("rank").alias("rank"))
+    edges = written(seen.groupBy("pattern", "token").agg(F.min("rank").alias("rank")), "edges")
     # A pattern with fewer instances than SUPPORT cannot have support in any round.
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("every")).where(F.col("every") >= SUPPORT)
-    graph = written(edges.join(sizes, "pattern"), "patterns")
+    sizes = written(sizes, "pattern-sizes")
+    graph = written(join_counted(edges, sizes, "pattern", "every"), "patterns")
     seeds = graph.where(F.col("rank").isNotNull())
     # Per pattern and kind: its instances of the kind, and what they weigh.
     known = written(
         seeds.groupBy("pattern", F.col("rank").alias("kind"), "every").agg(F.count("*").alias("held"), F.count("*").cast("double").alias("weight")),
         "pattern-seeds",
     )
-    open_edges = graph.where(F.col("rank").isNull()).select("pattern", "token", "every")
+    open_edges = graph.where(F.col("rank").isNull()).select("pattern", "token")
 
     def scored(held: DataFrame) -> DataFrame:
         score = F.col("weight") / (F.col("every") + PRIOR)
-        return held.where(F.col("held") >= SUPPORT).select("pattern", "kind", score.alias("score"))
+        return held.where(F.col("held") >= SUPPORT).select("pattern", "kind", "every", score.alias("score"))
 
     scores = scored(known)
     for _ in range(ROUNDS - 1):
         sure = scores.where(F.col("score") >= CONFIDENT)
         # What confident patterns say of tokens that are no seeds: chance that not all of them are wrong.
-        said = open_edges.join(sure, "pattern").groupBy("token", "kind").agg(
+        said = join_counted(open_edges, sure, "pattern", "every").groupBy("token", "kind").agg(
             (1 - F.exp(F.sum(F.log(1 - F.col("score"))))).alias("weight")
         )
-        gained = open_edges.join(said, "token").groupBy("pattern", "kind", "every").agg(
+        # Only confident patterns' tokens are known to be of a kind; those may follow any pattern.
+        gained = open_edges.join(said, "token").groupBy("pattern", "kind").agg(
             F.count("*").alias("held"), F.sum("weight").alias("weight")
-        )
+        ).join(sizes, "pattern")
         both = known.unionByName(gained).groupBy("pattern", "kind", "every").agg(
             F.sum("held").alias("held"), F.sum("weight").alias("weight")
         )
@@ -219,12 +258,14 @@ def spotted(docs: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
     """Carried columns, `base` and `spans` (start, rank of the kind, stop) of every document."""
     named = {c: f"_c{i}" for i, c in enumerate(carry)}
     found = written(with_base(docs, named, text), "spans")
-    seen = contexts(found)
+    seen = written(contexts(found), "contexts")
     sure = confident_patterns(seen)
+    # How many rows each of the confident patterns has, as that can be any share of them all.
+    open_rows = seen.where(F.col("rank").isNull())
+    sure = written(open_rows.groupBy("pattern").agg(F.count("*").alias("rows")).join(sure, "pattern"), "confident")
     # A token that several confident patterns announce is of the best one's kind.
     new = (
-        seen.where(F.col("rank").isNull())
-        .join(sure, "pattern")
+        join_counted(open_rows, sure, "pattern", "rows")
         .groupBy("_row", "start", "stop")
         .agg(F.max(F.struct("score", -F.col("kind"))).alias("b"))
         .groupBy("_row")
@@ -249,19 +290,46 @@ def counted(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["rank"] == KINDS.index(kind))).cast("long")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; overlapping spans by the first's."""
+def _masked_piece(piece: Column, spans: Column) -> Column:
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def add(state: Column, s: Column) -> Column:
         ahead = F.when(
             s.start >= state.at,
-            F.concat(state.out, F.array(text.substr(state.at + 1, s.start - state.at), F.element_at(tags, s["rank"] + 1))),
+            F.concat(
+                state.out,
+                F.array(piece.text.substr(state.at - piece.at + 1, s.start - state.at), F.element_at(tags, s["rank"] + 1)),
+            ),
         ).otherwise(state.out)
         return F.struct(F.greatest(state.at, s.stop).alias("at"), ahead.alias("out"))
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(spans, none, add, lambda s: F.concat(F.array_join(s.out, ""), text.substr(s.at + 1, F.length(text))))
+    none = F.struct(piece.at.alias("at"), F.array().cast("array<string>").alias("out"))
+    rest = lambda s: piece.text.substr(s.at - piece.at + 1, F.length(piece.text))
+    done = F.aggregate(spans, none, add, lambda s: F.concat(F.array_join(s.out, ""), rest(s)))
+    return F.when(F.size(spans) > 0, done).otherwise(piece.text)
+
+
+def _begins_in(spans: Column, some: Column) -> Column:
+    """The spans that begin in one of some neighbouring pieces."""
+    last = F.element_at(some, -1)
+    return F.filter(spans, lambda s: (s.start >= some[0].at) & (s.start < last.at + F.length(last.text)))
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with every span replaced by its kind in brackets; overlapping spans by the first's.
+
+    Spans are sorted out to TOGETHER pieces first, then to single ones; none reaches over a piece.
+    """
+    parts = pieces(text)
+    groups = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / TOGETHER).cast("int")),
+        lambda g: F.slice(parts, g * TOGETHER + 1, F.lit(TOGETHER)),
+    )
+    coarse = F.transform(groups, lambda some: F.struct(some.alias("some"), _begins_in(spans, some).alias("own")))
+    fine = F.flatten(
+        F.transform(coarse, lambda c: F.transform(c.some, lambda p: F.struct(p.alias("p"), _begins_in(c.own, F.array(p)).alias("own"))))
+    )
+    done = F.array_join(F.transform(fine, lambda x: _masked_piece(x.p, x.own)), "")
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
