@@ -7,6 +7,9 @@ the threshold 1 of it lies within radius 1 + 1 = 2 of that anchor, so every fing
 replicated to the (at most 16) anchors within distance 2 of each half, and compared at an
 anchor with the fingerprints that are at home there. No pair is missed, whatever the data.
 
+An anchor that more than `CROWD` replicas meet at is dealt to blocks of about so many, and every block's homes are compared
+with every block in a group of its own, so no task holds more than two blocks of an anchor.
+
 Links are found between distinct fingerprints, with copies standing behind theirs. An anchor
 reports a spanning forest of its links, never all pairs, which leaves the components as they are.
 
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.llm.components import components
+from goldleaf.llm.skew import join_counted
 from goldleaf.llm.words import Texts, sliced
 from goldleaf.session import written
 
@@ -36,6 +40,8 @@ DISTANCE = 3
 CODE_BITS = 31
 #: Fingerprints compared with each other at a time inside one anchor.
 BLOCK = 1 << 18
+#: Replicas of one anchor that are held together.
+CROWD = 1 << 14
 
 
 def text_fingerprint(words: list[bytes], width: int = SHINGLE) -> int:
@@ -135,11 +141,11 @@ def spanning(fps: np.ndarray, home: np.ndarray, distance: int = DISTANCE) -> lis
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of replicas that arrive sorted by anchor; one anchor may reach over batches."""
+    """Links of replicas that arrive sorted by group; one group may reach over batches."""
     rest: tuple[np.ndarray, ...] | None = None
 
-    def found(key: np.ndarray, fp: np.ndarray, home: np.ndarray) -> pa.RecordBatch | None:
-        edges = np.flatnonzero(np.diff(key)) + 1
+    def found(key: np.ndarray, group: np.ndarray, fp: np.ndarray, home: np.ndarray) -> pa.RecordBatch | None:
+        edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(group) != 0)) + 1
         begin, end = np.concatenate([[0], edges]), np.append(edges, len(key))
         lone = np.add.reduceat(home.astype(np.int64), begin) == 0
         u, v = [], []
@@ -153,10 +159,11 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return None
 
     for batch in batches:
-        now = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        now = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         if rest is not None:
             now = tuple(np.concatenate(x) for x in zip(rest, now))
-        cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+        same = (now[0] == now[0][-1]) & (now[1] == now[1][-1]) if len(now[0]) else np.zeros(0, bool)
+        cut = int(np.argmax(same)) if len(same) else 0
         rest = tuple(x[cut:] for x in now)
         if cut and (out := found(*(x[:cut] for x in now))) is not None:
             yield out
@@ -164,7 +171,23 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
-def links(classes: DataFrame) -> DataFrame:
+def _grouped(dealt: DataFrame, crowd: int) -> DataFrame:
+    """Replicas with the number of their `group` inside the anchor: 0, or every pair of blocks they are part of."""
+    crowded = dealt.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > crowd)
+    crowded = crowded.select("anchor", F.ceil(F.col("n") / crowd).cast("int").alias("blocks"))
+    own, n = F.pmod(F.xxhash64("fp"), "blocks").cast("int"), F.col("blocks")
+    every = F.sequence(F.lit(0), n - 1)
+    # As one at home a replica meets every block, as any other it is met by every block's homes.
+    meets = F.when(F.col("home"), F.transform(every, lambda b: F.struct((own * n + b).alias("group"), F.lit(True).alias("home"))))
+    met = F.transform(F.filter(every, lambda b: ~F.col("home") | (b != own)), lambda b: F.struct((b * n + own).alias("group"), F.lit(False).alias("home")))
+    alone = F.array(F.struct(F.lit(0).alias("group"), F.col("home").alias("home")))
+    places = F.when(n.isNull(), alone).otherwise(F.concat(F.coalesce(meets, F.array().cast("array<struct<group:int,home:boolean>>")), met))
+    return (
+        dealt.join(crowded, "anchor", "left").select("anchor", "fp", F.explode(places).alias("x")).select("anchor", "x.group", "fp", "x.home")
+    )
+
+
+def links(classes: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Pairs `u`, `v` of distinct fingerprints `fp` that span the links within DISTANCE bits."""
 
     def replicas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,16 +200,17 @@ def links(classes: DataFrame) -> DataFrame:
                     [pa.array(key), pa.array(some[row]), pa.array(home)], names=["anchor", "fp", "home"]
                 )
 
-    dealt = classes.select("fp").mapInArrow(replicas, "anchor long, fp long, home boolean")
+    dealt = written(classes.select("fp").mapInArrow(replicas, "anchor long, fp long, home boolean"), "replicas")
     return (
-        dealt.repartition("anchor").sortWithinPartitions("anchor", "fp").mapInArrow(_links, "u long, v long").distinct()
+        _grouped(dealt, crowd).repartition("anchor", "group").sortWithinPartitions("anchor", "group", "fp")
+        .mapInArrow(_links, "u long, v long").distinct()
     )
 
 
 def classified(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Carried columns, `fp` and `component_id` (smallest id reachable over links) of every document."""
     saved = written(fingerprints(docs, list(dict.fromkeys([*carry, doc_id])), text), "fingerprints")
-    classes = written(saved.groupBy("fp").agg(F.min(doc_id).alias("least")), "classes")
+    classes = written(saved.groupBy("fp").agg(F.min(doc_id).alias("least"), F.count("*").alias("_n")), "classes")
     roots = components(links(classes))
     # Only fingerprints with a link have a root; the others are components of their own.
     linked = classes.join(roots, classes.fp == roots.node).select("fp", "root", "least")
@@ -194,9 +218,10 @@ def classified(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", text:
         F.col("fp").alias("_fp"), "component_id"
     )
     by_class = classes.join(named, F.col("fp") == F.col("_fp"), "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component_id", "least").alias("component_id")
+        "fp", "_n", F.coalesce("component_id", "least").alias("component_id")
     )
-    return saved.join(by_class, F.col("fp") == F.col("_fp")).drop("_fp")
+    # Copies of a text share a fingerprint, so a class may hold any share of the rows.
+    return join_counted(saved, written(by_class, "fingerprint-classes"), "fp", "_n").drop("_n")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
