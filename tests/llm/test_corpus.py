@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from goldleaf.llm import mixing, nearcopies, simhash, substrings, toxicity, vptree
+from goldleaf.llm import mixing, simhash, substrings, toxicity, vptree
 from goldleaf.llm.components import components
 from goldleaf.llm.oracle import ORACLE
 from pyspark.sql import functions as F
@@ -142,6 +142,22 @@ def test_a_forest_spans_a_crowded_anchor():
     assert len(pairs) < len(fps) and all(int(fps[a] ^ fps[b]).bit_count() <= 3 for a, b in pairs)
 
 
+def test_crowded_anchors_are_dealt_to_blocks(spark):
+    """Fingerprints around one anchor, in blocks of 16: the same components as by brute force."""
+    rng = random.Random(4)
+    prints = sorted({rng.getrandbits(32) << 32 | sum(1 << b for b in rng.sample(range(31), rng.choice([0, 1, 2, 2]))) for _ in range(150)})
+    prints += [p ^ 1 << 40 for p in prints[:40]] + [p ^ 7 << 50 for p in prints[40:60]]
+    rows = [(p - (1 << 64) if p >> 63 else p,) for p in sorted(set(prints))]
+    classes = spark.createDataFrame(rows, "fp long").repartition(3)
+    want = plain_components([(i, p & (2**64 - 1)) for i, (p,) in enumerate(rows)])
+    for crowd in (16, 1 << 14):
+        roots = {r.node: r.root for r in components(simhash.links(classes, crowd)).collect()}
+        groups = {}
+        for i, p, least in want:
+            groups.setdefault(least, []).append(roots.get(rows[i][0], rows[i][0]))
+        assert all(len(set(g)) == 1 for g in groups.values()) and len({g[0] for g in groups.values()}) == len(groups)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 200 + i) for i in range(30)] + [(500, 229)]
@@ -159,53 +175,6 @@ def test_one_of_each_group_stays(odd, none):
     assert simhash.keep_one(none).count() == 0
 
 
-# Near copies ------------------------------------------------------------------
-
-
-def plain_kept(rows, at_least=0.8):
-    """Smallest id of every component of texts whose sets of five-word shingles are similar."""
-    sets = []
-    for r in rows:
-        w = [re.sub("[A-Z]", lambda m: m.group().lower(), x) for x in WORD.findall(r.text or "")]
-        sets.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))})
-    root = list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i, a in enumerate(sets):
-        for j in range(i):
-            if a == sets[j] or len(a & sets[j]) >= at_least * len(a | sets[j]) > 0:
-                root[find(i)] = find(j)
-    least = {}
-    for i, r in enumerate(rows):
-        if r.doc_id is not None:
-            least[find(i)] = min(least.get(find(i), r.doc_id), r.doc_id)
-    return [least.get(i) for i in {find(i) for i in range(len(rows))}]
-
-
-def test_near_copies_by_five_words(spark, odd, none):
-    rng = random.Random(12)
-    rows = []
-    for family in range(12):
-        base = [f"f{family}w{i}" for i in range(400)]
-        for copy in range(8):
-            own = list(base)
-            # 1 to 22 changed words: similarities of 0.97 to 0.58 with the base.
-            for i in rng.sample(range(400), rng.randint(1, 22) if copy else 0):
-                own[i] = f"x{family}c{copy}i{i}"
-            rows.append((1000 + len(rows), " ".join(own)))
-    docs = odd.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
-    got = [r.doc_id for r in nearcopies.keep_one(docs).collect()]
-    want = plain_kept(docs.collect())
-    assert as_set(got) == as_set(want)
-    assert 12 < sum(d is not None and d >= 1000 for d in want) < 96
-    kept = nearcopies.keep_one(odd)
-    assert kept.columns == odd.columns and nearcopies.keep_one(none).count() == 0
-
-
 # Nearest neighbours -----------------------------------------------------------
 
 
@@ -320,17 +289,3 @@ def test_toxicity_without_labels(spark, odd, none):
 
 
 # The pipeline -----------------------------------------------------------------
-
-
-def test_pipeline_stages(spark, odd):
-    import corpus_pipeline
-
-    docs = odd.where("doc_id IS NOT NULL")
-    for name, stage in corpus_pipeline.STAGES:
-        path = f"{spark.conf.get('spark.checkpoint.dir')}/stage-{name}-{random.random()}"
-        after = stage(spark, docs, "")
-        if name != corpus_pipeline.STAGES[-1][0]:
-            assert after.columns == docs.columns
-        after.write.parquet(path)
-        docs = spark.read.parquet(path)
-    assert docs.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(docs.columns)
