@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from goldleaf.functions import cost as fc
 from goldleaf.functions.answers import total_entities
 from goldleaf.functions.text import json_list
-from goldleaf.operators import assemble, costs, usage
+from goldleaf.operators import assemble, costs, keyfilter, usage
 from goldleaf.operators.batches import numbered_batches
+from goldleaf.operators.keyfilter import KeyFilter
 from goldleaf.operators.pending import count_pending, fetch_pending
 from goldleaf.operators.prompts import explode_agents, render
 from goldleaf.operators.respond import pandas_responder, respond, spread
@@ -26,13 +27,16 @@ from goldleaf.plans import analysis
 from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, entity_agent, sentiment_agent
 from goldleaf.plans.enrich import RunConfig, enrich_frame, run, saved_answers
 from goldleaf.schemas import ENTITY_COLUMNS, PRICES, SILVER
-from goldleaf.session import scratch
+from goldleaf.session import STATE_ON_DISK, scratch, settings, written
 from goldleaf.sources.calllog import read_calls
-from goldleaf.sources.gold import GoldTable, with_json_lists
+from goldleaf.sources.gold import GoldTable, scratch_gold, with_json_lists
 from goldleaf.sources.report import write_report
 from goldleaf.sources.silver import fetch_by_ids, read_json_records
 from goldleaf.sources.templates import read_templates
+from goldleaf.streaming.budget_stream import crossing_calls, running_cost
 from goldleaf.streaming.enrich_stream import enrich_stream, read_files
+from goldleaf.streaming.limits_stream import limit_verdicts
+from goldleaf.streaming.retry_stream import finish, retry_stream
 from goldleaf.streaming.usage_stream import usage_windows, write_usage
 from goldleaf.stub import stub_client, stub_responder
 
@@ -111,29 +115,29 @@ def _as_calls(events: DataFrame, tokens) -> DataFrame:
     )
 
 
-_gold_paths: dict[tuple[str, str], str] = {}
+_gold_tables: dict[tuple[str, str], GoldTable] = {}
 _gold_lock = threading.Lock()
 
 
-def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def made_gold(spark: SparkSession, sf_dir: str) -> GoldTable:
     """The output table of a run over all documents; made once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     with _gold_lock:
-        if key not in _gold_paths:
-            path = scratch(spark, "gold")
-            config = replace(RUN, agents=agents(), as_of=AS_OF, log_path=f"{path}-log")
-            run(
-                spark, silver(spark, sf_dir), GoldTable(spark, path, buckets=BUCKETS), stub_responder(), config,
-                run_id=path.rsplit("/", 1)[-1],
-            )
-            _gold_paths[key] = path
-    return GoldTable(spark, _gold_paths[key], buckets=BUCKETS).read()
+        if key not in _gold_tables:
+            target = scratch_gold(spark, BUCKETS)
+            config = replace(RUN, agents=agents(), as_of=AS_OF, log_path=f"{target.location}-log")
+            run(spark, silver(spark, sf_dir), target, stub_responder(), config, run_id=target.name)
+            _gold_tables[key] = target
+    return _gold_tables[key]
+
+
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return made_gold(spark, sf_dir).read()
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The call log that the run behind `gold` wrote."""
-    gold(spark, sf_dir)
-    return read_calls(spark, _gold_paths[(spark.sparkContext.applicationId, sf_dir)] + "-log")
+    return read_calls(spark, made_gold(spark, sf_dir).location + "-log")
 
 
 def stub_answers(spark: SparkSession, sf_dir: str, asked: list, attempts: int = 1) -> DataFrame:
@@ -294,18 +298,15 @@ def run_calls(spark, sf_dir):
 
 def call_metrics(spark, sf_dir):
     """Calls per agent and attempt of the run behind `gold`, failed ones included."""
-    gold(spark, sf_dir)
-    run_id = _gold_paths[(spark.sparkContext.applicationId, sf_dir)].rsplit("/", 1)[-1]
-    answers = saved_answers(spark, run_id, RunConfig(agents=agents()))
-    return assemble.metrics(answers).drop("avg_latency_ms")
+    answers = saved_answers(spark, made_gold(spark, sf_dir).name, RunConfig(agents=agents()))
+    return assemble.metrics(answers).withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))
 
 
 def run_summary(spark, sf_dir):
     """Totals of a run over the pending documents, with a row per agent."""
     source = silver(spark, sf_dir).join(stored_ids(spark, sf_dir), "doc_id", "left_anti")
     config = replace(RUN, agents=agents(), spec=replace(SPEC, unique_ids=True), as_of=AS_OF)
-    table_ = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
-    done = run(spark, source, table_, stub_responder(), config, run_id=None)
+    done = run(spark, source, scratch_gold(spark, BUCKETS), stub_responder(), config, run_id=None)
     return done.select(
         "records_processed", "batches_processed", "total_cost_usd", "total_tokens", F.explode("cost_by_agent")
     ).select(
@@ -320,7 +321,7 @@ def gold_upsert(spark, sf_dir):
     The batch holds every row twice, and the later one counts.
     """
     docs, labels = silver(spark, sf_dir), table(spark, sf_dir, "labels")
-    target = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
+    target = scratch_gold(spark, BUCKETS)
 
     def rows(df: DataFrame, mark: str, at: str) -> DataFrame:
         return df.select(
@@ -350,7 +351,7 @@ def upsert_agent_rows(spark, sf_dir):
         F.when(n % 2 == 0, "m-sentiment").when(n % 3 == 0, "").alias("sentiment_model"),
         F.when(n % 5 == 0, "m-category").alias("category_model"),
     )
-    target = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
+    target = scratch_gold(spark, BUCKETS)
     target.upsert(rows.where(n % 2 == 0), unique=True)
     odd = rows.where(n % 2 != 0).withColumn("model_used", F.when(F.col("review_id").cast("bigint") % 3 == 1, "given"))
     target.upsert(odd, unique=True)
@@ -360,7 +361,7 @@ def upsert_agent_rows(spark, sf_dir):
 def upsert_single(spark, sf_dir):
     """One record of a full table replaced."""
     ids = silver(spark, sf_dir).select(F.col("doc_id").cast("string").alias("review_id"))
-    target = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
+    target = scratch_gold(spark, BUCKETS)
     target.upsert(ids.withColumn("sentiment", F.lit("neutral")), unique=True)
     first = ids.agg(F.min("review_id")).first()[0]
     target.upsert_one({"review_id": first, "sentiment": "positive", "sentiment_tokens_used": 7, "entity_model": "m"})
@@ -368,11 +369,9 @@ def upsert_single(spark, sf_dir):
 
 
 def gold_count(spark, sf_dir):
-    """Rows of the output as its own bucket list has them, beside a count of the rows read."""
-    rows = gold(spark, sf_dir)
-    path = _gold_paths[(spark.sparkContext.applicationId, sf_dir)]
-    listed = GoldTable(spark, path, buckets=BUCKETS).count()
-    return rows.agg(F.count("*").alias("n_read"), F.lit(listed).cast("bigint").alias("n_listed"))
+    """Keys of the output, beside a count of its current rows."""
+    target = made_gold(spark, sf_dir)
+    return target.read().agg(F.count("*").alias("n_read"), F.lit(target.count()).cast("bigint").alias("n_listed"))
 
 
 def batch_assign(spark, sf_dir):
@@ -576,7 +575,7 @@ def stream_enrich(spark, sf_dir):
     """The documents file as a stream, enriched into an output table of its own."""
     schema = table(spark, sf_dir, "documents").schema
     source = _as_silver(read_files(spark, sf_dir, schema, "documents.parquet"))
-    target = GoldTable(spark, scratch(spark, "gold"), buckets=BUCKETS)
+    target = scratch_gold(spark, BUCKETS)
     place = scratch(spark, "stream")
     config = replace(RUN, agents=agents(), as_of=AS_OF)
     enrich_stream(source, target, stub_responder(), place, config, name=place.rsplit("/", 1)[-1]).awaitTermination()
@@ -594,6 +593,84 @@ def stream_usage(spark, sf_dir):
     return spark.read.schema(windows.schema).parquet(path).withColumn("window_start", _stamp("window_start"))
 
 
+def _streamed_calls(spark, sf_dir) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    events = read_files(spark, sf_dir, schema, "events.parquet")
+    return _as_calls(events.withColumn("ts", F.col("ts").cast("timestamp")), (F.col("event_id") % 500).cast("int"))
+
+
+def _drained(frame: DataFrame, name: str) -> DataFrame:
+    """What a stream with keyed state gives for the input there is."""
+    spark, path = frame.sparkSession, scratch(frame.sparkSession, name)
+    with settings(spark, STATE_ON_DISK):
+        write_usage(frame, path, f"{path}-state").awaitTermination()
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def stream_limits(spark, sf_dir):
+    """The verdicts of `usage_window` as a stream gives them: of all calls that the watermark has passed."""
+    told = limit_verdicts(_streamed_calls(spark, sf_dir), "agent", "record_id", rpm=RPM, tpm=TPM, window_seconds=WINDOW)
+    return _drained(told, "limits").withColumn("timestamp", _stamp("timestamp"))
+
+
+def stream_running_cost(spark, sf_dir):
+    """Running cost of every run by closed minutes, with the minute that passes the budget."""
+    minutes = _drained(running_cost(_streamed_calls(spark, sf_dir), BUDGET_USD), "minutes")
+    return _money(minutes, "spent", "total").withColumn("minute", _stamp("minute"))
+
+
+def stream_budget(spark, sf_dir):
+    """The first call of each run beyond the budget, found by the stream."""
+    minutes = _drained(running_cost(_streamed_calls(spark, sf_dir), BUDGET_USD), "minutes")
+    found = crossing_calls(minutes, calls(spark, sf_dir), BUDGET_USD)
+    return _money(found, "cumulative_cost").withColumn("timestamp", _stamp("timestamp"))
+
+
+def stream_retry(spark, sf_dir):
+    """The documents file as a stream whose failed answers wait in state."""
+    schema = table(spark, sf_dir, "documents").schema
+    source = _as_silver(read_files(spark, sf_dir, schema, "documents.parquet"))
+    target, folder = scratch_gold(spark, BUCKETS), scratch(spark, "retry")
+    config = replace(RUN, agents=agents(), as_of=AS_OF)
+    query = retry_stream(source, target, stub_responder(), folder, config, name=target.name, processingTime="1 second")
+    finish(query, target, folder)
+    return _flat(target.read())
+
+
+def _key_filter(spark, sf_dir) -> tuple[KeyFilter, DataFrame]:
+    """A filter of the stored keys, united from two halves."""
+    stored = stored_ids(spark, sf_dir)
+    keys = KeyFilter(stored.count())
+    halves = [keys.build(stored.where(F.col("doc_id") % 2 == half)) for half in (0, 1)]
+    return keys, written(keys.united(*halves), "key-filter")
+
+
+def pending_filtered(spark, sf_dir):
+    """`pending_fetch` by way of a Bloom filter."""
+    keys, bitmaps = _key_filter(spark, sf_dir)
+    return keyfilter.pending_filtered(table(spark, sf_dir, "documents"), stored_ids(spark, sf_dir), keys, bitmaps, SPEC)
+
+
+def pending_filter_share(spark, sf_dir):
+    """How many keys the filter leaves to the join: the stored ones, and of the others a few in a hundred."""
+    keys, bitmaps = _key_filter(spark, sf_dir)
+    share = keyfilter.joined_share(table(spark, sf_dir, "documents"), keys, bitmaps, SPEC)
+    held = stored_ids(spark, sf_dir).distinct().count()
+    absent = F.col("keys") - held
+    return share.select(
+        "keys", (F.col("joined") >= held).alias("none_lost"), (F.col("joined") <= held + 3 * keys.error * absent + 5).alias("few_joined")
+    )
+
+
+def pending_bucketed(spark, sf_dir):
+    """`pending_fetch` against an output table in buckets, which the join does not shuffle."""
+    target = scratch_gold(spark, BUCKETS)
+    target.upsert(stored_ids(spark, sf_dir).select(F.col("doc_id").cast("string").alias("review_id")))
+    docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("string"))
+    waiting = fetch_pending(docs, target.ids().withColumnRenamed("review_id", "doc_id"), SPEC)
+    return waiting.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -606,7 +683,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         confidence_histogram, mean_confidence, entity_distinct, top_entities, entity_mentions_json,
         low_confidence, low_confidence_share, worst_confidence, error_rows, error_sample, gold_head,
         summary_report, stream_enrich, stream_usage, pending_dirty, prompt_dirty, json_records, upsert_agent_rows,
-        upsert_single, gold_count, log_missing, report_sink,
+        upsert_single, gold_count, log_missing, report_sink, stream_limits, stream_running_cost, stream_budget, stream_retry,
+        pending_filtered, pending_filter_share, pending_bucketed,
     )
 }
 QUERIES["fetch_by_ids"] = fetch_ids

@@ -39,7 +39,7 @@ def parse(responses: DataFrame, agents: list[AgentSpec]) -> DataFrame:
     return parser(agents)(responses)
 
 
-def _again(max_retries: dict[str, int]) -> Column:
+def again(max_retries: dict[str, int]) -> Column:
     """Whether a row is due for another attempt.
 
     A record without a text, or given up as a whole, is not asked about again.
@@ -51,14 +51,14 @@ def _again(max_retries: dict[str, int]) -> Column:
 
 def failed_pairs(parsed: DataFrame, max_retries: dict[str, int]) -> DataFrame:
     """(record, agent) pairs due for another attempt, with its number."""
-    return parsed.where(_again(max_retries)).select(
+    return parsed.where(again(max_retries)).select(
         "record_id", "agent", (F.col("attempt") + 1).alias("attempt")
     )
 
 
 def settled(parsed: DataFrame, max_retries: dict[str, int]) -> DataFrame:
     """Of answers asked round by round, the one row per (record, agent) that counts."""
-    return parsed.where(~_again(max_retries))
+    return parsed.where(~again(max_retries))
 
 
 def metrics(parsed: DataFrame) -> DataFrame:

@@ -103,6 +103,23 @@ def text_field(name: str) -> str:
     )
 
 
+def prompt_texts() -> dict[str, str]:
+    """SQL of the prompt about a document's `text`, by agent."""
+    from importlib import resources
+
+    texts = {}
+    for a in default_agents():
+        text = (resources.files("goldleaf") / "templates" / a.config.prompt_version / f"{a.name}.txt").read_text()
+        texts[a.name] = f"replace({q(text)}, '{TEXT_MARKER}', text)"
+        for marker, value in a.fills:
+            texts[a.name] = f"replace({texts[a.name]}, '{marker}', {q(value)})"
+    return texts
+
+
+def prompt_text() -> str:
+    return "CASE agent " + " ".join(f"WHEN '{a}' THEN {sql}" for a, sql in prompt_texts().items()) + " END"
+
+
 def parsed(agents: list[str], attempts: int, fatal: bool = True, models: dict | None = None) -> str:
     """CTEs up to `parsed`: every answer to the documents of `source_docs`, parsed."""
     models = models or c.MODELS
@@ -112,14 +129,15 @@ def parsed(agents: list[str], attempts: int, fatal: bool = True, models: dict |
     return f"""
     asked AS (
         SELECT CAST(doc_id AS VARCHAR) AS record_id, agent, attempt,
-               md5(agent || ':' || doc_id || ':' || attempt) AS h,
+               md5(agent || ':' || doc_id || ':' || attempt || ':' || md5({prompt_text()})) AS h,
                {part(1, FATAL_EVERY, "md5('fatal:' || doc_id)")} = 0 AS fatal
         FROM source_docs, unnest({names(agents)}) AS a(agent), range(1, {attempts + 1}) AS r(attempt)
         WHERE text IS NOT NULL AND trim(text) <> ''),
     answers AS (
         SELECT record_id, agent, attempt, fatal, {model} AS model,
                CASE WHEN NOT fatal THEN {answer_sql()} END AS raw,
-               CASE WHEN fatal THEN 0 ELSE {part(29, 300)} + 40 END AS tokens
+               CASE WHEN fatal THEN 0 ELSE {part(29, 300)} + 40 END AS tokens,
+               CASE WHEN fatal THEN 0 ELSE {part(21, 900)} / 8.0::DOUBLE END AS latency_ms
         FROM asked),
     cleaned AS (SELECT *, {strip("regexp_replace(raw, '`{3}(json)?', '', 'g')")} AS clean FROM answers),
     checked AS (SELECT *, CASE WHEN json_valid(clean) THEN clean::JSON END AS j0 FROM cleaned),
@@ -246,16 +264,10 @@ def rollup(source: str) -> str:
 
 
 def prompts() -> str:
-    from importlib import resources
-
-    arms = []
-    for a in default_agents():
-        text = (resources.files("goldleaf") / "templates" / a.config.prompt_version / f"{a.name}.txt").read_text()
-        filled = f"replace({q(text)}, '{TEXT_MARKER}', text)"
-        for marker, value in a.fills:
-            filled = f"replace({filled}, '{marker}', {q(value)})"
-        arms.append(f"SELECT doc_id::VARCHAR AS record_id, '{a.name}' AS agent, '{c.MODELS[a.name]}' AS model, {filled} AS prompt FROM documents")
-    return " UNION ALL ".join(arms)
+    return " UNION ALL ".join(
+        f"SELECT doc_id::VARCHAR AS record_id, '{a}' AS agent, '{c.MODELS[a]}' AS model, {text} AS prompt FROM documents"
+        for a, text in prompt_texts().items()
+    )
 
 
 def one_agent(agent: str, columns: str) -> str:
@@ -304,7 +316,7 @@ ORACLE: dict[str, str] = {
             SELECT *, coalesce(bool_or(ok OR fatal) OVER (PARTITION BY record_id, agent ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS over
             FROM parsed)
         SELECT agent, model, attempt::INTEGER AS attempt, count(*) AS calls, count(*) FILTER (WHERE ok) AS accepted,
-            count(*) FILTER (WHERE fatal) AS errors, sum(tokens)::BIGINT AS tokens FROM ordered WHERE NOT over GROUP BY agent, model, attempt""",
+            count(*) FILTER (WHERE fatal) AS errors, sum(tokens)::BIGINT AS tokens, round(avg(latency_ms), 6) AS avg_latency_ms FROM ordered WHERE NOT over GROUP BY agent, model, attempt""",
     "gold_upsert": """WITH docs AS (SELECT doc_id::VARCHAR AS review_id, source AS product_id, text AS review_text,
             strftime(DATE '2024-06-01' + (doc_id % 30)::INTEGER, '%Y-%m-%d') AS date, l.quality
             FROM documents LEFT JOIN labels l USING (doc_id))
@@ -417,3 +429,26 @@ ORACLE |= {
     "log_missing": ORACLE["cost_totals"],
     "report_sink": ORACLE["summary_report"],
 }
+
+# What a stream has passed once it has read all events: two minutes before the last, to the millisecond.
+PASSED = "(SELECT (epoch_us(max(ts)) // 1000 - 120000) * 1000 FROM calls)"
+MINUTES = f"""{CALLS}, minutes AS (
+        SELECT batch_id, epoch_us(ts) // 60000000 * 60000000 AS minute, sum(cost8)::BIGINT AS spent FROM calls GROUP BY ALL),
+    running AS (
+        SELECT *, (sum(spent) OVER (PARTITION BY batch_id ORDER BY minute ROWS UNBOUNDED PRECEDING))::BIGINT AS total
+        FROM minutes WHERE minute + 60000000 <= {PASSED})"""
+BUDGET8 = int(c.BUDGET_USD * 10**8)
+
+ORACLE |= {
+    "stream_limits": f"{ORACLE['usage_window']} WHERE epoch_us(ts) < {PASSED}",
+    "stream_running_cost": f"""{MINUTES} SELECT batch_id, {STAMP.format('make_timestamp(minute)')} AS minute, spent {MONEY} AS spent,
+        total {MONEY} AS total, total > {BUDGET8} AND total - spent <= {BUDGET8} AS crossed FROM running""",
+    "stream_budget": f"""{MINUTES}, spent AS (SELECT *, (sum(cost8) OVER (PARTITION BY batch_id ORDER BY ts, record_id, agent ROWS UNBOUNDED PRECEDING))::BIGINT AS s FROM calls)
+        SELECT batch_id, {STAMP.format('ts')} AS timestamp, record_id, agent, s {MONEY} AS cumulative_cost FROM spent
+        WHERE s > {BUDGET8} AND epoch_us(ts) // 60000000 * 60000000 + 60000000 <= {PASSED}
+        QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY ts, record_id, agent) = 1""",
+    "stream_retry": ORACLE["stream_enrich"],
+    "pending_filtered": ORACLE["pending_fetch"],
+    "pending_filter_share": f"SELECT count(*) AS keys, TRUE AS none_lost, TRUE AS few_joined FROM documents WHERE {NON_BLANK}",
+    "pending_bucketed": ORACLE["pending_fetch"],
+}

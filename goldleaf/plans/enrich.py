@@ -61,7 +61,6 @@ class Saved:
         self.spark = spark
         self.folder = folder
         self.done = self._marks()
-        self.fresh = not self.done
 
     def _marks(self) -> set[int]:
         try:
@@ -240,8 +239,7 @@ def run(
     home = f"{_root(spark, config)}/{run_id}"
     turn = _passes(spark, home)
     base = f"{home}/pass-{turn}"
-    version = gold.version()
-    staged = Staged(silver, gold.ids() if version else None, config, base)
+    staged = Staged(silver, gold.ids() if gold.exists() else None, config, base)
     stored, batches, logs, total = 0, 0, [], Decimal(0)
 
     def spent(settled: DataFrame) -> None:
@@ -265,9 +263,7 @@ def run(
             continue
         rows = enriched(staged.wave(number), rounds, config, as_of)
         rows = rows.withColumnsRenamed({spec.id_col: gold.id_col, spec.text_col: "review_text"})
-        # Waves share no id, so those written by this run need not be compared.
-        stored += gold.upsert(rows, unique=True, absent_at=version if staged.fresh else None)
-        version = version + 1 if gold.version() == version + 1 else None
+        stored += gold.upsert(rows, unique=True)
         if config.log_path:
             append_calls(calls, config.log_path, run_id, f"{number}-{turn}")
         rounds.mark(Rounds.STORED)

@@ -12,6 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+#: Keyed state of streams on disk, backed up beside their checkpoint.
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # Megabytes of empty log per partition otherwise.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+
 _local_dirs: dict[str, str] = {}
 _made: list[str] = []
 
@@ -38,6 +49,22 @@ def build(app: str = "goldleaf", master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block only; a stream started there keeps them."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
@@ -61,6 +88,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Scratch tables made inside the block are deleted when it ends.

@@ -1,37 +1,25 @@
-"""The output table: parquet in hash buckets of the key, replaced by version.
+"""The output table: a catalog table in buckets of its key, to which upserts append.
 
-Every upsert writes a folder of its own and then a new list of which folders make up each
-bucket. Readers follow the newest list, so they see all of an upsert or nothing of it, and a
-job that dies half way leaves no trace. Rows with new keys are added beside the files that
-are there; only buckets holding a key that is being replaced are rewritten. One job may write
-at a time; folders no list names any more can be deleted.
-
-The bucket is Spark's own hash of the key modulo the bucket count.
+Every row carries the time its upsert began, and of several rows with one key the last one counts. So an
+upsert compares nothing and rewrites nothing: it is one append, which Spark commits as a whole or not at
+all, and a repeated one changes no result. Rows of a key always share a bucket. Reading the current rows and joining with
+the keys therefore go bucket by bucket, without a shuffle of the table, and read only the columns asked for.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections import Counter
+import time
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldleaf.operators.unique import one_per
 from goldleaf.schemas import ENTITY_COLUMNS, GOLD, UNKNOWN_MODEL
-from goldleaf.session import local_rows
+from goldleaf.session import scratch
 
-MANIFEST = T.StructType(
-    [
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("folder", T.StringType()),
-        T.StructField("row_count", T.LongType()),
-        T.StructField("buckets", T.IntegerType()),
-        T.StructField("version", T.LongType()),
-    ]
-)
+#: When the upsert of a row began, in nanoseconds.
+STAMP = "_upserted"
 
 
 def align(df: DataFrame, schema: T.StructType = GOLD) -> DataFrame:
@@ -66,66 +54,60 @@ def with_json_lists(gold: DataFrame) -> DataFrame:
 
 
 class GoldTable:
-    """Upsert table under a path, keyed by `id_col`."""
+    """Upsert table with a name in the catalog, keyed by `id_col`.
+
+    It is made by the first upsert, under `location` if that is given and where the catalog keeps its tables otherwise. A
+    location that holds such a table already is taken up; the bucket count has to be the one it was made with.
+    """
 
     def __init__(
         self,
         spark: SparkSession,
-        path: str,
+        name: str,
         id_col: str = "review_id",
         schema: T.StructType = GOLD,
         buckets: int = 64,
+        location: str | None = None,
     ) -> None:
         self.spark = spark
-        self.path = path.rstrip("/")
+        self.name = name
         self.id_col = id_col
         self.schema = schema
         self.buckets = buckets
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.hash(self.id_col), F.lit(self.buckets))
-
-    def _manifest(self) -> tuple[int, list]:
-        """Newest version and its rows: bounded by buckets times folders per bucket."""
-        try:
-            rows = self.spark.read.schema(MANIFEST).json(f"{self.path}/manifest")
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return 0, []
-        top = rows.agg(F.max("version")).first()[0]
-        if not top:
-            return 0, []
-        entries = rows.where(F.col("version") == top).collect()
-        # A table keeps the bucket count it was made with.
-        self.buckets = entries[0].buckets
-        return top, entries
-
-    def _commit(self, version: int, entries: list[tuple[int, str, int]]) -> None:
-        rows = [{"bucket": b, "folder": f, "row_count": n, "buckets": self.buckets} for b, f, n in entries]
-        lines = local_rows(self.spark, rows, "bucket:int,folder:string,row_count:bigint,buckets:int")
-        # "errorifexists": a writer that worked from an outdated version fails.
-        lines.write.mode("errorifexists").json(f"{self.path}/manifest/version={version}")
-
-    def _load(self, entries: list) -> DataFrame:
-        if not entries:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/data/{e.folder}/bucket={e.bucket}" for e in entries]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        self.location = location
+
+    def create(self) -> None:
+        """The schema and the table, where they do not exist yet."""
+        if "." in self.name:
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.name.rsplit('.', 1)[0]}")
+        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns)}, {STAMP} bigint) USING parquet "
+            f"CLUSTERED BY (`{self.id_col}`) INTO {self.buckets} BUCKETS" + (f" LOCATION '{self.location}'" if self.location else "")
+        )
 
     def exists(self) -> bool:
-        return self._manifest()[0] > 0
+        return self.spark.catalog.tableExists(self.name)
+
+    def _rows(self) -> DataFrame:
+        if not self.exists():
+            return self.spark.createDataFrame([], self.schema).withColumn(STAMP, F.lit(None).cast("bigint"))
+        # Another session may have appended to it.
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
 
     def read(self) -> DataFrame:
         """The current rows; none while nothing has been written."""
-        return self._load(self._manifest()[1])
+        last = Window.partitionBy(self.id_col).orderBy(F.desc(STAMP))
+        return self._rows().withColumn("_nth", F.row_number().over(last)).where(F.col("_nth") == 1).select(self.schema.names)
 
     def ids(self) -> DataFrame:
-        return self.read().select(self.id_col)
+        """The keys; one that was replaced more than once."""
+        return self._rows().select(self.id_col)
 
     def count(self) -> int:
-        """Row count, from the bucket list alone; 0 while nothing has been written."""
-        return sum(e.row_count for e in self._manifest()[1])
+        """Number of keys; 0 while nothing has been written."""
+        return self.ids().distinct().count()
 
     def upsert_one(self, record: dict) -> int:
         more = [T.StructField(k, T.IntegerType()) for k in record if k.endswith("_tokens_used")]
@@ -134,69 +116,26 @@ class GoldTable:
         row = [tuple(record.get(f.name) for f in kind)]
         return self.upsert(self.spark.createDataFrame(row, kind))
 
-    def version(self) -> int:
-        return self._manifest()[0]
-
-    def upsert(self, batch: DataFrame, unique: bool = False, absent_at: int | None = None) -> int:
+    def upsert(self, batch: DataFrame, unique: bool = False) -> int:
         """Insert or replace rows by id; returns the number of rows written.
 
-        `unique` says that the batch holds no id twice. `absent_at` is the version at which
-        its ids were known not to be stored; if that is still the current one, no key is
-        compared. The batch is written once, so what is counted is what gets stored.
+        `unique` says that the batch holds no id twice. The rows are shuffled by bucket, so that a
+        task writes one file of one bucket, and counted while they are written.
         """
-        version, entries = self._manifest()
         rows = align(batch, self.schema)
         key = F.coalesce(F.col(self.id_col), F.raise_error(F.lit(f"{self.id_col} is null")))
         rows = rows.withColumn(self.id_col, key.cast(self.schema[self.id_col].dataType))
         if not unique:
             order = ["enriched_at"] if "enriched_at" in self.schema.names else []
             rows = one_per(rows, [self.id_col], order)
-        folder, sizes = self._write(rows, version + 1)
-        if not sizes:
-            return 0
-        hit = [] if absent_at == version else self._hit_buckets(folder, sizes, entries)
-        kept = [(e.bucket, e.folder, e.row_count) for e in entries if e.bucket not in hit]
-        added = [(b, folder, n) for b, n in sizes.items() if b not in hit]
-        if hit:
-            old = self._load([e for e in entries if e.bucket in hit])
-            new = self._staged(folder).where(F.col("bucket").isin(hit)).drop("bucket")
-            merged = old.join(new.select(self.id_col), self.id_col, "left_anti").unionByName(new)
-            rewritten, counts = self._write(merged, version + 1)
-            added += [(b, rewritten, n) for b, n in counts.items()]
-        self._commit(version + 1, kept + added)
-        return sum(sizes.values())
-
-    def compact(self, folders: int = 8) -> int:
-        """Rewrite buckets spread over more than this many folders; returns how many."""
-        version, entries = self._manifest()
-        spread = Counter(e.bucket for e in entries)
-        many = {b for b, n in spread.items() if n > folders}
-        if many:
-            rewritten, counts = self._write(self._load([e for e in entries if e.bucket in many]), version + 1)
-            kept = [(e.bucket, e.folder, e.row_count) for e in entries if e.bucket not in many]
-            self._commit(version + 1, kept + [(b, rewritten, n) for b, n in counts.items()])
-        return len(many)
-
-    def _write(self, rows: DataFrame, version: int) -> tuple[str, dict[int, int]]:
-        """Write rows by bucket to a new folder; its name and the row count per bucket.
-
-        A task writes whole buckets, and only large buckets are split over several: about one
-        file per bucket, whatever the number of shuffle partitions.
-        """
-        folder = f"v{version}-{uuid.uuid4().hex[:8]}"
-        rows = rows.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
-        rows.write.partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
-        return folder, dict(self._staged(folder).groupBy("bucket").count().collect())
-
-    def _staged(self, folder: str) -> DataFrame:
-        kind = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
-        return self.spark.read.schema(kind).parquet(f"{self.path}/data/{folder}")
-
-    def _hit_buckets(self, folder: str, sizes: dict[int, int], entries: list) -> list[int]:
-        """Buckets of the batch with a key that is stored already; only keys are read."""
-        shared = [e for e in entries if e.bucket in sizes]
-        if not shared:
-            return []
-        batch = self._staged(folder).select(self.id_col, "bucket")
-        both = batch.join(self._load(shared).select(self.id_col), self.id_col, "left_semi")
-        return [r.bucket for r in both.select("bucket").distinct().collect()]
+        self.create()
+        written = Observation()
+        stamped = rows.withColumn(STAMP, F.lit(time.time_ns())).repartition(self.buckets, self.id_col)
+        stamped.observe(written, F.count("*").alias("n")).write.insertInto(self.name)
+        return written.get["n"]
+
+
+def scratch_gold(spark: SparkSession, buckets: int = 64, **options) -> GoldTable:
+    """An output table of its own in the shared folder."""
+    path = scratch(spark, "gold")
+    return GoldTable(spark, path.rsplit("/", 1)[-1].replace("-", "_"), buckets=buckets, location=path, **options)

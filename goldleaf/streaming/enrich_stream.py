@@ -42,7 +42,6 @@ def enrich_stream(
 
     def one_batch(batch: DataFrame, number: int) -> None:
         run(batch.sparkSession, batch, gold, responder, config, run_id=f"{name}-{number}")
-        gold.compact()
 
     return (
         silver.writeStream.foreachBatch(one_batch)

@@ -1,6 +1,7 @@
 """A stand-in for a model, for tests and benchmarks only.
 
-Answers follow from md5(agent:id:attempt), so SQL can rebuild them. They mix good answers
+Answers and latency follow from md5(agent:id:attempt:md5(prompt)), so SQL can rebuild them, and a wrong prompt
+shows in every answer. They mix good answers
 with the ways a model goes wrong. Timings with this stub say nothing of model latency.
 """
 
@@ -123,8 +124,8 @@ def stub_responder(called_at: str = "2024-06-02 06:00:00") -> Responder:
     fatal = _part(1, FATAL_EVERY, "md5(concat('fatal:', record_id))") + " = 0"
     # The lambda gives the hash a name, so that it is worked out once per row.
     said = (
-        "transform(array(md5(concat_ws(':', agent, record_id, attempt))), h -> "
-        f"named_struct('raw', {_answer()}, 'tokens', {_part(29, 300)} + 40))[0]"
+        "transform(array(md5(concat_ws(':', agent, record_id, attempt, md5(prompt)))), h -> "
+        f"named_struct('raw', {_answer()}, 'tokens', {_part(29, 300)} + 40, 'latency', {_part(21, 900)} / 8D))[0]"
     )
 
     def respond(prompts: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def stub_responder(called_at: str = "2024-06-02 06:00:00") -> Responder:
             "record_id", "agent", "attempt", "model",
             "_said.raw AS raw",
             "coalesce(_said.tokens, 0) AS tokens",
-            "0D AS latency_ms",
+            "coalesce(_said.latency, 0D) AS latency_ms",
             f"CASE WHEN NOT _asked THEN {_text(NO_TEXT)} WHEN fatal THEN 'record given up' END AS error",
             "fatal",
             f"TIMESTAMP '{called_at}' AS called_at",

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from goldleaf.operators.pending import not_in
 from goldleaf.schemas import CALL_LOG, GOLD
 from goldleaf.session import scratch, written
 from goldleaf.sources.calllog import append_calls, read_calls
-from goldleaf.sources.gold import GoldTable, align, with_json_lists
+from goldleaf.sources.gold import GoldTable, align, scratch_gold, with_json_lists
+from goldleaf.sources.silver import read_or_empty
 
 
 def rows(spark, ids, mark, day=1):
@@ -26,42 +29,70 @@ def marks(table):
     return {r.review_id: r.sentiment for r in table.read().collect()}
 
 
-def files(table):
-    return {r.f for r in table.read().select(F.input_file_name().alias("f")).distinct().collect()}
-
-
 @pytest.fixture()
 def table(spark):
-    return GoldTable(spark, scratch(spark, "gold"), buckets=4)
+    return scratch_gold(spark, 4)
 
 
 def test_empty(spark, table):
-    assert not table.exists() and table.count() == 0 and table.version() == 0
+    assert not table.exists() and table.count() == 0
     assert table.read().schema == GOLD and table.read().count() == 0 and table.ids().count() == 0
-    assert table.upsert(rows(spark, [], "x")) == 0 and table.version() == 0
+    assert table.upsert(rows(spark, [], "x")) == 0 and table.exists()
+    assert table.read().columns == GOLD.names and table.count() == 0
 
 
 def test_insert_then_replace(spark, table):
     names = [f"r{i}" for i in range(20)]
     assert table.upsert(rows(spark, names, "a")) == 20
-    before = files(table)
     assert table.upsert(rows(spark, ["r20", "r3"], "b", 2)) == 2
-    assert table.count() == 21 == table.read().count()
+    assert table.count() == 21 == table.read().count() and table.ids().count() == 22
     assert marks(table) == {**{n: "a" for n in names}, "r3": "b", "r20": "b"}
-    # Only the bucket of the replaced key was rewritten.
-    assert len(before - files(table)) == 1
+    # The later upsert counts, whatever the rows say of their time.
+    table.upsert(rows(spark, ["r3"], "c", 1))
+    assert marks(table)["r3"] == "c"
+
+
+def exchanges(plan_of, df):
+    return plan_of(df).split("== Physical Plan ==")[1].count("Exchange hashpartitioning")
 
 
-def test_new_rows_leave_files_alone(spark, table):
-    table.upsert(rows(spark, ["a", "b", "c", "d"], "x"))
-    before = files(table)
-    table.upsert(rows(spark, ["e", "f"], "y"))
-    assert before <= files(table)
-    # Known to be absent: same result, without a key comparison.
-    table.upsert(rows(spark, ["g"], "z"), unique=True, absent_at=table.version())
-    # A stale promise is not believed.
-    table.upsert(rows(spark, ["g"], "w"), unique=True, absent_at=1)
-    assert marks(table)["g"] == "w" and table.count() == 7
+@pytest.fixture()
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_table_is_never_shuffled(spark, table, plan_of, no_broadcast):
+    """Its current rows, its count and both joins with its keys go bucket by bucket."""
+    table.upsert(rows(spark, [f"r{i}" for i in range(30)], "a"))
+    table.upsert(rows(spark, ["r1", "r2"], "b"))
+    assert exchanges(plan_of, table.read()) == 0 and exchanges(plan_of, table.ids().distinct()) == 0
+    source = written(rows(spark, [f"r{i}" for i in range(20, 50)], "x"), "source")
+    waiting = not_in(source, table.ids(), "review_id")
+    # One exchange: that of the input.
+    assert exchanges(plan_of, waiting) == 1 and waiting.count() == 20
+    plan = plan_of(table.read().groupBy("sentiment").count())
+    assert "review_text" not in plan.split("ReadSchema")[-1]
+
+
+def test_another_session_takes_the_table_up(spark, table):
+    table.upsert(rows(spark, ["a", "b"], "x"))
+    other = spark.newSession()
+    GoldTable(other, table.name, buckets=4, location=table.location).upsert(rows(other, ["b", "c"], "y"))
+    assert marks(table) == {"a": "x", "b": "y", "c": "y"}
+    spark.sql(f"DROP TABLE {table.name}")  # as for a catalog that was lost
+    again = GoldTable(spark, f"{table.name}_again", buckets=4, location=table.location)
+    again.create()
+    assert marks(again) == {"a": "x", "b": "y", "c": "y"} and again.upsert(rows(spark, ["a"], "z")) == 1
+    assert marks(again)["a"] == "z"
+
+
+def test_named_in_a_schema(spark):
+    table = GoldTable(spark, f"s{uuid.uuid4().hex[:8]}.reviews", buckets=2)
+    assert not table.exists() and table.upsert(rows(spark, ["a"], "x")) == 1
+    assert read_or_empty(spark, table.name, GOLD).count() == 1 == table.count()
 
 
 def test_repeat_changes_nothing(spark, table):
@@ -83,7 +114,7 @@ def test_null_key_is_refused(spark, table):
     with pytest.raises(Exception, match="review_id is null"):
         table.upsert(rows(spark, ["b", None], "y"))
     # Nothing of the failed batch shows.
-    assert marks(table) == {"a": "x"} and table.version() == 1
+    assert marks(table) == {"a": "x"} and table.ids().count() == 1
 
 
 def test_failed_batch_leaves_the_table(spark, table):
@@ -94,13 +125,6 @@ def test_failed_batch_leaves_the_table(spark, table):
     assert marks(table) == {"a": "x"}
 
 
-def test_second_writer_fails(spark, table):
-    table.upsert(rows(spark, ["a"], "x"))
-    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
-        table._commit(1, [(0, "other", 1)])
-    assert marks(table) == {"a": "x"}
-
-
 def test_upsert_one(spark, table):
     assert table.upsert_one({"review_id": "a", "sentiment": "positive", "entities_brands": ["B"]}) == 1
     table.upsert_one({"review_id": "a", "sentiment": "negative", "date": dt.date(2024, 6, 1)})
@@ -108,22 +132,6 @@ def test_upsert_one(spark, table):
     assert row.sentiment == "negative" and row.entities_brands == [] and row.date == dt.date(2024, 6, 1)
 
 
-def test_bucket_count_is_kept(spark, table):
-    table.upsert(rows(spark, [f"r{i}" for i in range(20)], "a"))
-    other = GoldTable(spark, table.path, buckets=7)
-    assert other.upsert(rows(spark, ["r1", "new"], "b")) == 2
-    assert other.buckets == 4 and other.count() == 21 == other.read().count() and marks(other)["r1"] == "b"
-
-
-def test_compact(spark, table):
-    for i in range(4):
-        table.upsert(rows(spark, [f"r{i}-{j}" for j in range(12)], "x"))
-    before = sorted(map(str, table.read().collect()))
-    assert len(files(table)) > 4 and table.compact(folders=10) == 0
-    assert table.compact(folders=1) == 4 and len(files(table)) <= 4
-    assert sorted(map(str, table.read().collect())) == before and table.count() == 48
-
-
 def test_align(spark):
     out = align(rows(spark, ["a"], "x"))
     assert [f.name for f in out.schema] == GOLD.names and out.first().tokens_used == 0
@@ -131,12 +139,6 @@ def test_align(spark):
     assert text.entities_brands == "[]"
 
 
-def test_no_shuffle_for_rows_partitioned_by_key(spark, table, plan_of):
-    keyed = written(rows(spark, ["a", "b"], "x"), "in").groupBy("review_id").agg(F.max("sentiment").alias("s"))
-    plan = plan_of(keyed.repartition("review_id").withColumn("bucket", table._bucket()))
-    assert plan.split("== Physical Plan ==")[1].count("Exchange") == 1
-
-
 def test_call_log(spark):
     path = scratch(spark, "log")
     assert read_calls(spark, path).count() == 0 and read_calls(spark, path).schema == CALL_LOG
@@ -158,7 +160,7 @@ def test_files_are_bounded_by_buckets(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
-        table = GoldTable(spark, str(tmp_path / "gold"), buckets=16)
+        table = GoldTable(spark, f"g{uuid.uuid4().hex[:8]}", buckets=16, location=str(tmp_path / "gold"))
         table.upsert(spark.range(5000).select(F.col("id").cast("string").alias("review_id")), unique=True)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -12,7 +12,7 @@ from goldleaf.plans.enrich import RunConfig
 from goldleaf.schemas import SILVER
 from goldleaf.session import scratch
 from goldleaf.sources.calllog import read_calls
-from goldleaf.sources.gold import GoldTable
+from goldleaf.sources.gold import GoldTable, scratch_gold
 from goldleaf.streaming.enrich_stream import enrich_stream, read_files
 from goldleaf.streaming.usage_stream import usage_windows, write_usage
 
@@ -21,7 +21,7 @@ ANSWER = '{"sentiment": "positive", "confidence": 0.9}'
 
 def test_enrich_stream(spark, script):
     source, state, log = (scratch(spark, n) for n in ("in", "state", "log"))
-    table = GoldTable(spark, scratch(spark, "gold"), buckets=2)
+    table = scratch_gold(spark, 2)
     config = RunConfig(agents=enabled(default_agents(), category=False, entity=False), log_path=log)
 
     def add(ids):
