@@ -17,20 +17,21 @@ from pyspark.sql import functions as F
 from goldleaf.functions import cost as fc
 from goldleaf.functions.answers import total_entities
 from goldleaf.functions.text import json_list
-from goldleaf.operators import assemble, costs, keyfilter, usage
+from goldleaf.operators import assemble, costs, keyfilter, sketches, usage
 from goldleaf.operators.batches import numbered_batches
 from goldleaf.operators.keyfilter import KeyFilter
 from goldleaf.operators.pending import count_pending, fetch_pending
 from goldleaf.operators.prompts import explode_agents, render
 from goldleaf.operators.respond import pandas_responder, respond, spread
 from goldleaf.plans import analysis
-from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, entity_agent, sentiment_agent
+from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, enabled, entity_agent, sentiment_agent
 from goldleaf.plans.enrich import RunConfig, enrich_frame, run, saved_answers
 from goldleaf.schemas import ENTITY_COLUMNS, PRICES, SILVER
 from goldleaf.session import STATE_ON_DISK, scratch, settings, written
 from goldleaf.sources.calllog import read_calls
 from goldleaf.sources.gold import GoldTable, scratch_gold, with_json_lists
 from goldleaf.sources.report import write_report
+from goldleaf.sources.rollups import read_sums
 from goldleaf.sources.silver import fetch_by_ids, read_json_records
 from goldleaf.sources.templates import read_templates
 from goldleaf.streaming.budget_stream import crossing_calls, running_cost
@@ -125,7 +126,7 @@ def made_gold(spark: SparkSession, sf_dir: str) -> GoldTable:
     with _gold_lock:
         if key not in _gold_tables:
             target = scratch_gold(spark, BUCKETS)
-            config = replace(RUN, agents=agents(), as_of=AS_OF, log_path=f"{target.location}-log")
+            config = replace(RUN, agents=agents(), as_of=AS_OF, log_path=f"{target.location}-log", sums_path=f"{target.location}-sums")
             run(spark, silver(spark, sf_dir), target, stub_responder(), config, run_id=target.name)
             _gold_tables[key] = target
     return _gold_tables[key]
@@ -671,6 +672,69 @@ def pending_bucketed(spark, sf_dir):
     return waiting.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+# Kept up to date, settings -----------------------------------------------------
+
+
+def cost_rollup_kept(spark, sf_dir):
+    """The roll-up of the run's log from the sums saved with it; the log is not read."""
+    return _money(costs.rollup_sums(read_sums(spark, made_gold(spark, sf_dir).location + "-sums")), "cost_usd")
+
+
+def _halves(rows: DataFrame) -> list[DataFrame]:
+    return [rows.where(F.pmod(F.xxhash64("review_id"), F.lit(2)) == part) for part in (0, 1)]
+
+
+def confidence_sketch(spark, sf_dir):
+    """Median confidence from merged sketches, checked by the exact rank of what they say."""
+    rows = gold(spark, sf_dir).where("sentiment IS NOT NULL AND sentiment_confidence IS NOT NULL")
+    parts = [sketches.quantile_sketches(half, ["sentiment"], "sentiment_confidence") for half in _halves(rows)]
+    said = written(sketches.quantiles(sketches.merged_quantiles(["sentiment"], *parts), {"median": 0.5}), "medians")
+    value, off = F.col("sentiment_confidence"), 2 * sketches.RANK_ERROR
+    ranks = rows.join(F.broadcast(said), "sentiment").groupBy("sentiment", "n").agg(  # a row per sentiment
+        F.avg((value < F.col("median")).cast("int")).alias("below"), F.avg((value <= F.col("median")).cast("int")).alias("upto")
+    )
+    return ranks.select("sentiment", "n", ((F.col("below") <= 0.5 + off) & (F.col("upto") >= 0.5 - off)).alias("within"))
+
+
+def entity_distinct_sketch(spark, sf_dir):
+    """Distinct names from merged sketches, one of them merged twice, checked by the exact count."""
+    parts = [sketches.distinct_sketches(analysis.named_entities(half), ["type"], "name") for half in _halves(gold(spark, sf_dir))]
+    said = sketches.distinct(sketches.merged_distinct(["type"], *parts, parts[0]))
+    exact = analysis.distinct_entities(gold(spark, sf_dir))
+    off = F.abs(F.col("n") - F.col("unique_names")) <= 4 * sketches.DISTINCT_ERROR * F.col("unique_names") + 1
+    return exact.join(said, "type").select("type", "unique_names", off.alias("within"))
+
+
+def agents_switched_off(spark, sf_dir):
+    """A run without the category agent: its fields stay null, its calls are not made."""
+    target = scratch_gold(spark, BUCKETS)
+    config = replace(RUN, agents=enabled(agents(), category=False), as_of=AS_OF)
+    run(spark, silver(spark, sf_dir), target, stub_responder(), config, run_id=target.name)
+    return with_json_lists(target.read()).select(
+        "review_id", "sentiment", "category", "subcategory", "entities_brands", "tokens_used", "model_used"
+    )
+
+
+def agent_settings(spark, sf_dir):
+    """What the responder is told about every call: each agent's own model, temperature, limits and further settings."""
+    asked = [
+        replace(a, config=replace(a.config, temperature=n / 10, max_tokens=100 * (n + 1), timeout_seconds=5 + n, extra={"seed": n}))
+        for n, a in enumerate(agents())
+    ]
+    prompts = render(explode_agents(silver(spark, sf_dir), asked), asked, read_templates(spark, asked), SPEC)
+    return prompts.select("record_id", "agent", "model", "temperature", "max_tokens", "timeout_seconds", F.col("extra")["seed"].alias("seed"))
+
+
+def run_ids(spark, sf_dir):
+    """Two runs without an id get one of their own, of eight hexadecimal digits each."""
+    config = replace(RUN, agents=[], as_of=AS_OF)
+    done = [run(spark, silver(spark, sf_dir), scratch_gold(spark, BUCKETS), stub_responder(), config) for _ in range(2)]
+    return done[0].unionByName(done[1]).agg(
+        F.count_distinct("run_id").alias("ids"), F.bool_and(F.col("run_id").rlike("^[0-9a-f]{8}$")).alias("well_formed"),
+        F.max("records_processed").alias("records"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -684,7 +748,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         low_confidence, low_confidence_share, worst_confidence, error_rows, error_sample, gold_head,
         summary_report, stream_enrich, stream_usage, pending_dirty, prompt_dirty, json_records, upsert_agent_rows,
         upsert_single, gold_count, log_missing, report_sink, stream_limits, stream_running_cost, stream_budget, stream_retry,
-        pending_filtered, pending_filter_share, pending_bucketed,
+        pending_filtered, pending_filter_share, pending_bucketed, cost_rollup_kept, confidence_sketch, entity_distinct_sketch,
+        agents_switched_off, agent_settings, run_ids,
     )
 }
 QUERIES["fetch_by_ids"] = fetch_ids

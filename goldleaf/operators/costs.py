@@ -29,26 +29,31 @@ def by(calls: DataFrame, key: str) -> DataFrame:
     )
 
 
+SUMMED = ["calls", "input_tokens", "output_tokens", "total_tokens", "cost_usd"]
+
+
+def fine_sums(calls: DataFrame) -> DataFrame:
+    """One row per agent and model."""
+    return calls.groupBy("agent", "model").agg(F.count("*").alias("calls"), *[F.sum(c).alias(c) for c in SUMMED[1:]])
+
+
 def rollup(calls: DataFrame) -> DataFrame:
     """Totals, per agent and per model in one scan: rows of (scope, name).
 
     The log is first reduced to one row per (agent, model), before any shuffle; the grouping
     sets multiply only those few rows.
     """
-    fine = calls.groupBy("agent", "model").agg(
-        F.count("*").alias("calls"),
-        F.sum("input_tokens").alias("input_tokens"),
-        F.sum("output_tokens").alias("output_tokens"),
-        F.sum("total_tokens").alias("total_tokens"),
-        F.sum("cost_usd").alias("cost_usd"),
-    )
-    sums = ["calls", "input_tokens", "output_tokens", "total_tokens", "cost_usd"]
+    return rollup_sums(fine_sums(calls))
+
+
+def rollup_sums(fine: DataFrame) -> DataFrame:
+    """The roll-up of sums per agent and model, of any number of parts of a log."""
     sets = fine.groupingSets(
         [[F.col("agent")], [F.col("model")], []], F.col("agent"), F.col("model")
-    ).agg(F.grouping_id().alias("_g"), *[F.sum(c).alias(c) for c in sums])
+    ).agg(F.grouping_id().alias("_g"), *[F.sum(c).alias(c) for c in SUMMED])
     scope = F.when(F.col("_g") == 1, "agent").when(F.col("_g") == 2, "model").otherwise("total")
     name = F.when(F.col("_g") == 1, F.col("agent")).when(F.col("_g") == 2, F.col("model"))
-    return sets.select(scope.alias("scope"), name.alias("name"), *sums)
+    return sets.select(scope.alias("scope"), name.alias("name"), *SUMMED)
 
 
 def summary(calls: DataFrame, batch_id: str | None = None) -> DataFrame:

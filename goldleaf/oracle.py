@@ -187,10 +187,10 @@ def split(tokens: str, share: str) -> str:
     return f"trunc(({tokens})::DOUBLE * {share}::DOUBLE)::INTEGER"
 
 
-def gold(source: str) -> str:
+def gold(source: str, three: tuple[str, ...] = ("sentiment", "category", "entity")) -> str:
     """CTEs up to `gold` for the documents that `source` selects."""
     tokens = "CASE WHEN ok THEN tokens ELSE 0 END"
-    three = ["sentiment", "category", "entity"]
+    three = list(three)
     return f"""WITH source_docs AS ({source}),
     {parsed(three, 3)},
     settled AS (
@@ -452,3 +452,18 @@ ORACLE |= {
     "pending_filter_share": f"SELECT count(*) AS keys, TRUE AS none_lost, TRUE AS few_joined FROM documents WHERE {NON_BLANK}",
     "pending_bucketed": ORACLE["pending_fetch"],
 }
+
+ORACLE |= {
+    "cost_rollup_kept": f"{GOLD} {rollup('run_log')}",
+    "confidence_sketch": f"""{GOLD} SELECT sentiment, count(*) AS n, TRUE AS within FROM gold
+        WHERE sentiment IS NOT NULL AND sentiment_confidence IS NOT NULL GROUP BY sentiment""",
+    "entity_distinct_sketch": f"{GOLD}{MENTIONS} SELECT type, count(DISTINCT name) AS unique_names, TRUE AS within FROM mentions GROUP BY type",
+    "agents_switched_off": f"""{gold(ALL, ("sentiment", "entity"))} SELECT review_id, sentiment, category, subcategory,
+        CAST(to_json(brands) AS VARCHAR) AS entities_brands, tokens_used, model_used FROM gold""",
+    "agent_settings": " UNION ALL ".join(
+        f"""SELECT doc_id::VARCHAR AS record_id, '{a}' AS agent, '{m}' AS model, {n / 10}::DOUBLE AS temperature,
+        {100 * (n + 1)} AS max_tokens, {5 + n} AS timeout_seconds, '{n}' AS seed FROM documents"""
+        for n, (a, m) in enumerate(c.MODELS.items())
+    ),
+    "run_ids": f"SELECT 2 AS ids, TRUE AS well_formed, count(*) AS records FROM documents WHERE {NON_BLANK}",
+}

@@ -192,6 +192,11 @@ def box_stats(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def mentions(gold: DataFrame) -> DataFrame:
     """Mentions per entity type and name."""
+    return named_entities(gold).groupBy("type", "name").agg(F.count("*").alias("n"))
+
+
+def named_entities(gold: DataFrame) -> DataFrame:
+    """A row per mention: entity type and name."""
     kinds = F.explode(
         F.array(
             *[
@@ -200,8 +205,7 @@ def mentions(gold: DataFrame) -> DataFrame:
             ]
         )
     )
-    named = gold.select(kinds.alias("_k")).select("_k.type", F.explode("_k.names").alias("name"))
-    return named.groupBy("type", "name").agg(F.count("*").alias("n"))
+    return gold.select(kinds.alias("_k")).select("_k.type", F.explode("_k.names").alias("name"))
 
 
 def distinct_entities(gold: DataFrame) -> DataFrame:

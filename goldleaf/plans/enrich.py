@@ -26,6 +26,7 @@ from goldleaf.schemas import RESPONSE
 from goldleaf.session import local_rows, scratch, shared_dir, written
 from goldleaf.sources.calllog import append_calls
 from goldleaf.sources.gold import GoldTable
+from goldleaf.sources.rollups import save_sums
 from goldleaf.sources.templates import read_templates
 
 
@@ -43,6 +44,8 @@ class RunConfig:
     waves: int = 1
     calls_per_task: int = CALLS_PER_TASK
     log_path: str | None = None
+    # Where the log's sums are kept up to date, wave by wave.
+    sums_path: str | None = None
     template_dir: str | None = None
     # Compared with what has been spent after every round; a warning, not a stop.
     budget_usd: float | None = None
@@ -266,6 +269,8 @@ def run(
         stored += gold.upsert(rows, unique=True)
         if config.log_path:
             append_calls(calls, config.log_path, run_id, f"{number}-{turn}")
+        if config.sums_path:
+            save_sums(calls, config.sums_path, run_id, f"{number}-{turn}")
         rounds.mark(Rounds.STORED)
     local_rows(spark, [{"pass": turn}], "pass:int").write.mode("overwrite").json(f"{home}/complete/{turn}")
     return costs.run_summary(reduce(DataFrame.unionByName, logs), run_id, stored, batches)
