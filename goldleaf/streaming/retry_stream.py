@@ -180,9 +180,10 @@ class Batches:
         mine = self._answers(spark, sorted(int(r.n) for r in named)).join(done.select(F.col("key").alias("record_id")), "record_id", "left_semi")
         settled = assemble.settled(mine, self.limits)
         merged = assemble.merge(rows, assemble.wide(settled, agents), agents, spec, as_of)
-        self.gold.upsert(merged.withColumnsRenamed({spec.id_col: self.gold.id_col, spec.text_col: "review_text"}), unique=True)
+        # The log first: a record that is in the output has its calls there, whenever the query is stopped.
         if self.config.log_path:
             append_calls(assemble.call_log(settled, agents, self.name), self.config.log_path, self.name, str(number))
+        self.gold.upsert(merged.withColumnsRenamed({spec.id_col: self.gold.id_col, spec.text_col: "review_text"}), unique=True)
 
 
 def retry_stream(
