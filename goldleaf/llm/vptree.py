@@ -7,9 +7,12 @@ inequality puts all of it beyond the bound of the query: the distance of its k-t
 divided by `relax`. At `relax` 1 the search is exact; above it halves are skipped that
 could hold only neighbours nearer by less than that factor.
 
-Queries visit every shard in blocks of `BLOCK`, and the k nearest of each shard are merged. To
-start with a bound that is not infinite, queries are first measured against a bounded sample
-of `SEED_ROWS` vectors; any bound from real candidates is a valid one.
+Vectors are shuffled once: a task gets its shards one after the other, builds the tree of each once,
+and lets all queries pass by it in blocks of `BLOCK`. It holds one shard, one block and a bound per
+query; the bounds are carried from shard to shard, so later ones report only what is nearer, and
+Spark cuts a task's rows to k per query before they are merged. To start with a bound that is not
+infinite, queries are first measured against a bounded sample of `SEED_ROWS` vectors; any bound from
+real candidates is a valid one.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component take no
 part, nor do rows without an id. Rows that repeat an id count once, with the smallest of their vectors.
@@ -19,6 +22,8 @@ with fewer than k candidates gets all of them. An empty table gives an empty res
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +37,8 @@ LEAF = 48
 #: Rows whose distances bound the first search; the smallest hashes of all ids.
 SEED_ROWS = 512
 RELAX = 1.0
+#: Tasks of a search at most; beyond it they get more shards.
+MOST_TASKS = 20_000
 #: Room for rounding in the triangle inequality.
 SLACK = 1e-9
 
@@ -126,10 +133,8 @@ class Search:
                 self._visit(half, some[go])
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    flat = column.combine_chunks()
-    flat = flat.flatten() if not isinstance(flat, pa.ChunkedArray) else flat.combine_chunks().flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
 def usable(vector: str | Column) -> Column:
@@ -139,16 +144,65 @@ def usable(vector: str | Column) -> Column:
     return F.coalesce(~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _once(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors, one row per id, of repeated ones that with the smallest vector."""
-    ids = rows.column("vec_id").to_numpy()
-    vectors = _matrix(rows.column("vector"), width)
-    order = np.argsort(ids, kind="stable")
-    if len(np.unique(ids)) < len(ids):
-        order = np.lexsort((*vectors.T[::-1], ids))
-    ids, vectors = ids[order], vectors[order]
-    keep = np.concatenate([[True], ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, bool)
-    return ids[keep], vectors[keep]
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], bool, pa.RecordBatch]]:
+    """Stretches of a sorted batch that belong to one shard and one side."""
+    width, shard, asked = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+    change = (np.diff(width) != 0) | (np.diff(shard) != 0) | (np.diff(asked.astype(np.int8)) != 0)
+    cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(shard)]
+    for low, high in zip(cuts, cuts[1:]):
+        if high > low:
+            yield (int(width[low]), int(shard[low])), bool(asked[low]), batch.slice(low, high - low)
+
+
+def _search(seeds: dict[int, tuple[np.ndarray, np.ndarray]], k: int, relax: float, block: int):
+    """Rows sorted by shard, its vectors before the queries, both by id, to the nearest of each shard."""
+
+    def first_bounds(width: int, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        seed_ids, seed = seeds.get(width, (np.zeros(0, np.int64), np.zeros((0, width))))
+        if len(seed) <= k:
+            return np.full(len(ids), np.inf)
+        far = distances(vectors, seed)
+        far[seed_ids[None, :] == ids[:, None]] = np.inf
+        return np.sort(far, axis=1)[:, k - 1]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, own, tree, at = None, [], None, None, 0
+        # Queries come in the same order in every shard, so a bound is found by its number.
+        carried: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for key, asked, part in _runs(batch):
+                width = key[0]
+                if key != now:
+                    now, parts, own, tree, at = key, [], None, None, 0
+                ids, vectors = part.column(3).to_numpy(), _matrix(part.column(4), width)
+                if not asked:
+                    parts.append((ids, vectors))
+                    continue
+                if tree is None and parts:
+                    own = np.concatenate([i for i, _ in parts])
+                    tree, parts = Tree(np.concatenate([v for _, v in parts])), []
+                bounds = carried.get(width, np.zeros(0))
+                if at + len(ids) > len(bounds):
+                    new = slice(len(bounds) - at, None)
+                    bounds = np.concatenate([bounds, first_bounds(width, ids[new], vectors[new])])
+                    carried[width] = bounds
+                for low in range(0, len(ids) if tree else 0, block):
+                    some = slice(low, low + block)
+                    place = slice(at + low, at + low + len(ids[some]))
+                    found = Search(tree, own, vectors[some], ids[some], k, bounds[place].copy(), relax)
+                    bounds[place] = found.bound
+                    real = np.isfinite(found.near)
+                    if real.any():
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.repeat(ids[some], k)[real.ravel()]), pa.array(found.who[real]),
+                                pa.array(found.near[real]),
+                            ],
+                            names=["query_id", "vec_id", "score"],
+                        )
+                at += len(ids)
+
+    return work
 
 
 def nearest(
@@ -159,15 +213,11 @@ def nearest(
     plain = table.select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
     ).where(F.col("vec_id").isNotNull() & usable("vector"))
-    rows = written(plain.withColumn("width", F.size("vector")), "vectors")
+    once = plain.groupBy("vec_id", F.size("vector").alias("width")).agg(F.min("vector").alias("vector"))
+    rows = written(once, "vectors")
     shards = max(1, -(-rows.count() // shard))
     queries = rows.where(F.col("vec_id") % every == 0)
-    # The vector with which a repeated id counts, for queries as for candidates.
-    asked = written(
-        queries.groupBy("vec_id", "width").agg(F.min("vector").alias("vector")), "queries"
-    )
-    blocks = max(1, -(-asked.count() // block))
-    chosen = asked.groupBy("vec_id").agg(F.min(F.struct("vector", "width")).alias("v")).select(
+    chosen = queries.groupBy("vec_id").agg(F.min(F.struct("vector", "width")).alias("v")).select(
         "vec_id", "v.vector", "v.width"
     )
     # One pass over the ids with a bounded heap; the sample is as large for any table.
@@ -177,41 +227,16 @@ def nearest(
         own = {r.vec_id: r.vector for r in sample if len(r.vector) == width}
         seeds[width] = (np.array(list(own)), np.array(list(own.values()), dtype=np.float64))
 
-    hashed = F.xxhash64("vec_id")
     held = rows.select(
-        "width", F.pmod(hashed, F.lit(shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "vector",
+        "width", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(False).alias("asked"), "vec_id", "vector"
     )
     sent = chosen.select(
-        "width", F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("shard"),
-        F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "vector",
+        "width", F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("shard"), F.lit(True).alias("asked"), "vec_id", "vector"
     )
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
-        if not len(left) or not len(right):
-            return pa.table(empty)
-        width = left.column("width")[0].as_py()
-        ids, vectors = _once(left, width)
-        query_ids, asked = _once(right, width)
-        bound = np.full(len(asked), np.inf)
-        seed_ids, seed = seeds.get(width, (np.zeros(0, np.int64), np.zeros((0, width))))
-        if len(seed) > k:
-            far = distances(asked, seed)
-            far[seed_ids[None, :] == query_ids[:, None]] = np.inf
-            bound = np.sort(far, axis=1)[:, k - 1]
-        found = Search(Tree(vectors), ids, asked, query_ids, k, bound, relax)
-        real = np.isfinite(found.near)
-        return pa.table(
-            {
-                "query_id": pa.array(np.repeat(query_ids, k)[real.ravel()]),
-                "vec_id": pa.array(found.who[real]),
-                "score": pa.array(found.near[real]),
-            }
-        )
-
-    keys = ["width", "shard", "block"]
-    partial = held.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
+    tasks = min(shards, MOST_TASKS)
+    dealt = held.union(sent).repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
+    ordered = dealt.sortWithinPartitions("width", "shard", "asked", "vec_id")
+    partial = ordered.mapInArrow(_search(seeds, k, relax, block), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
