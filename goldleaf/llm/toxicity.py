@@ -6,7 +6,8 @@
 2. Every text becomes a dozen numbers: densities and weights of lexicon hits, hits near a second
    person, capitals, punctuation, obfuscated spelling.
 3. Boosted trees are fitted to one part of the training rows and an isotonic regression to the other
-   part, so that a score can be read as a probability.
+   part, so that a score can be read as a probability. The rows the trees see are measured with
+   lexicons learned from other rows (`FOLDS`), as texts without a label will be.
 
 At most `TRAIN_ROWS` labelled rows are used, those with the smallest hash of their id; held-out rows
 (crc32 of the id as text, modulo 3, is 1) never. Labels, language, source and id are no inputs.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,8 @@ PREFIXES = (4, 5, 6, 7)
 NEAR = 5
 CUT = 0.7
 TREES, DEPTH, STEP = 20, 3, 0.2
+#: Parts of the rows the trees are fitted to; each is measured with a lexicon of the others.
+FOLDS = 3
 
 #: Second-person words of the corpus' languages.
 SECOND_PERSON = frozenset(
@@ -225,9 +229,26 @@ def scored(
         flat = base.select(*ids, F.col("_held").alias("held_out"), F.lit(toxic / every if every else 0.0).alias("score"))
         return flat.withColumn("predicted", (F.col("score") >= CUT).cast("int")).withColumnsRenamed(named)
 
-    fitting = F.pmod(F.xxhash64(F.lit(3), "_e"), F.lit(4)) != 0
-    lexicon = learn_lexicon(train.where(fitting), toxic, every - toxic)
-    points = written(measured(train, ["_e", "_y"], lexicon), "points").withColumn("x", array_to_vector("features"))
+    part = F.when(F.pmod(F.xxhash64(F.lit(3), "_e"), F.lit(4)) == 0, -1).otherwise(F.pmod(F.xxhash64(F.lit(5), "_e"), F.lit(FOLDS)))
+    train = train.withColumn("_part", part.cast("int"))
+    # A row per part and label.
+    tally = {(r._part, r._y): r.n for r in train.groupBy("_part", "_y").agg(F.count("*").alias("n")).collect()}
+    if not all(any(p >= 0 and y == kind for p, y in tally) for kind in (0, 1)):  # too few rows to set any aside
+        train = train.withColumn("_part", F.lit(0))
+        tally = {(0, 1): toxic, (0, 0): every - toxic}
+
+    def lexicon_without(fold: int) -> dict[str, float]:
+        others = {key: n for key, n in tally.items() if key[0] not in (-1, fold)}
+        mine = train.where((F.col("_part") >= 0) & (F.col("_part") != fold))
+        return learn_lexicon(mine, *(sum(n for (_, y), n in others.items() if y == kind) for kind in (1, 0)))
+
+    lexicon = lexicon_without(FOLDS)
+    folds = [
+        measured(train.where(F.col("_part") == f), ["_e", "_y", "_part"], lexicon_without(f)) for f in range(FOLDS)
+    ]
+    aside = measured(train.where(F.col("_part") < 0), ["_e", "_y", "_part"], lexicon)
+    points = written(reduce(DataFrame.union, folds, aside), "points").withColumn("x", array_to_vector("features"))
+    fitting = F.col("_part") >= 0
     trees = GBTClassifier(
         featuresCol="x", labelCol="_y", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1, subsamplingRate=1.0,
     ).fit(points.where(fitting))
