@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -221,6 +222,42 @@ def test_relaxed_search_keeps_most(spark):
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(exact.who, relaxed.who)]) >= 0.9
 
 
+def test_one_tree_per_shard_and_bounds_carried(monkeypatch):
+    """Shards pass through a task one by one, queries in small blocks and batches; nothing is built twice."""
+    rng, built, offered = np.random.default_rng(8), [], []
+    ids = np.arange(900)
+    vectors = rng.normal(size=(900, 5)).round(1)
+    asked = np.flatnonzero(ids % 100 == 0)
+    rows = []
+    for shard in range(3):
+        rows += [(5, shard, False, int(i), vectors[i].tolist()) for i in ids[ids % 3 == shard]]
+        rows += [(5, shard, True, int(i), vectors[i].tolist()) for i in asked]
+    table = pa.Table.from_arrays(
+        [pa.array(c) for c in zip(*rows)], names=["width", "shard", "asked", "vec_id", "vector"]
+    )
+    tree = vptree.Tree
+    monkeypatch.setattr(vptree, "Tree", lambda v: built.append(len(v)) or tree(v))
+    for batch in vptree._search({}, 10, 1.0, 4)(iter(table.to_batches(max_chunksize=37))):
+        offered += zip(*[c.to_pylist() for c in batch.columns])
+    assert built == [300, 300, 300]
+    # Later shards report what is no farther than the bound that the first one left.
+    assert len(offered) < 3 * 10 * len(asked)
+    for q in asked.tolist():
+        far = sorted((float(vptree.distances(vectors[[q]], vectors[[i]])[0, 0]), int(i)) for i in ids if i != q)[:10]
+        assert sorted((s, i) for a, i, s in offered if a == q)[:10] == far
+
+
+def test_vectors_are_shuffled_once_and_not_copied(spark, plan_of):
+    rows = [(i, [float(i % 7), float(i % 11), 1.0], 3, "s", 1, True) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, width int, shard string, block int, asked boolean")
+    found = vptree.nearest(table.withColumn("vector", F.lit(1)), shard=50, block=2)
+    assert found.count() == 30
+    physical = plan_of(found).split("== Physical Plan ==")[1]
+    below = physical[physical.index("MapInArrow"):]
+    held, sent = below[below.index("Union"):].split("Generate", 1)
+    assert "Exchange" not in held and below.split("Union")[0].count("Exchange") == 1
+
+
 def test_no_vectors(spark):
     assert vptree.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
@@ -281,6 +318,15 @@ def test_toxicity_held_out(spark, odd):
     assert np.mean(hit) > 0.95 and np.mean(clean) < 0.02
 
 
+def test_toxicity_of_few_labels_and_odd_rows(spark, odd):
+    """One row of either kind, very long texts, columns named like the operator's own."""
+    marks = spark.createDataFrame([(0, 1), (2, 0), (3, 0), (5, 1)], "doc_id long, toxic int").withColumn("_y", F.lit("x"))
+    docs = odd.withColumns({"held_out": F.lit(1), "features": F.lit("f"), "_part": F.lit(7), "_e": F.lit(1)})
+    got = toxicity.scored(docs, marks, ["doc_id"])
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == odd.count()
+    assert got.where(~F.col("score").between(0, 1)).count() == 0
+
+
 def test_toxicity_without_labels(spark, odd, none):
     marks = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.scored(odd, marks, ["doc_id"])
