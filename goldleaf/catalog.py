@@ -25,7 +25,7 @@ from goldleaf.operators.prompts import explode_agents, render
 from goldleaf.operators.respond import pandas_responder, respond, spread
 from goldleaf.plans import analysis
 from goldleaf.plans.agents import EnrichSpec, category_agent, default_agents, enabled, entity_agent, sentiment_agent
-from goldleaf.plans.enrich import RunConfig, enrich_frame, run, saved_answers
+from goldleaf.plans.enrich import RunConfig, enrich_frame, run, saved_answers, saved_metrics
 from goldleaf.schemas import ENTITY_COLUMNS, PRICES, SILVER
 from goldleaf.session import STATE_ON_DISK, scratch, settings, written
 from goldleaf.sources.calllog import read_calls
@@ -303,6 +303,12 @@ def call_metrics(spark, sf_dir):
     return assemble.metrics(answers).withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))
 
 
+def call_metrics_observed(spark, sf_dir):
+    """`call_metrics` as gathered while the answers were written; they are not read again."""
+    noted = saved_metrics(spark, made_gold(spark, sf_dir).name, RunConfig(agents=agents()))
+    return noted.withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))
+
+
 def run_summary(spark, sf_dir):
     """Totals of a run over the pending documents, with a row per agent."""
     source = silver(spark, sf_dir).join(stored_ids(spark, sf_dir), "doc_id", "left_anti")
@@ -705,6 +711,13 @@ def entity_distinct_sketch(spark, sf_dir):
     return exact.join(said, "type").select("type", "unique_names", off.alias("within"))
 
 
+def top_entities_sketch(spark, sf_dir):
+    """`top_entities` with candidates from merged sketches."""
+    parts = [sketches.frequent_sketches(analysis.named_entities(half), ["type"], "name") for half in _halves(gold(spark, sf_dir))]
+    merged = written(sketches.merged_frequent(["type"], *parts), "frequent")
+    return sketches.top_values(analysis.named_entities(gold(spark, sf_dir)), merged, ["type"], "name", 10).drop("proven")
+
+
 def agents_switched_off(spark, sf_dir):
     """A run without the category agent: its fields stay null, its calls are not made."""
     target = scratch_gold(spark, BUCKETS)
@@ -740,7 +753,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         pending_fetch, pending_without_gold, pending_topk, pending_count, pending_turns, prompt_render, model_call,
         sentiment_parse, category_parse, entity_parse, first_valid_attempt, enrich_wide, gold_table,
-        null_enrichment, run_calls, call_metrics, run_summary, gold_upsert, batch_assign, call_log, cost_rollup, cost_totals,
+        null_enrichment, run_calls, call_metrics, call_metrics_observed, run_summary, gold_upsert, batch_assign, call_log, cost_rollup, cost_totals,
         cost_by_agent, cost_by_model, run_cost_summary, unpriced_models, agent_breakdown, cumulative_cost,
         budget_crossing, usage_window, current_usage, token_boxplot, gold_overview, null_rates, sentiment_counts,
         sentiment_share, top_categories, category_sentiment_pct, top_subcategories, median_confidence,
@@ -749,7 +762,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         summary_report, stream_enrich, stream_usage, pending_dirty, prompt_dirty, json_records, upsert_agent_rows,
         upsert_single, gold_count, log_missing, report_sink, stream_limits, stream_running_cost, stream_budget, stream_retry,
         pending_filtered, pending_filter_share, pending_bucketed, cost_rollup_kept, confidence_sketch, entity_distinct_sketch,
-        agents_switched_off, agent_settings, run_ids,
+        top_entities_sketch, agents_switched_off, agent_settings, run_ids,
     )
 }
 QUERIES["fetch_by_ids"] = fetch_ids

@@ -72,6 +72,29 @@ def metrics(parsed: DataFrame) -> DataFrame:
     )
 
 
+def observed(agents: list[AgentSpec]) -> list[Column]:
+    """The same as aggregates over all rows, one struct per agent, to be gathered while answers are written."""
+    of = lambda a, value: F.when(F.col("agent") == a.name, value)
+    return [
+        F.struct(
+            F.count(of(a, F.lit(1))).alias("calls"),
+            F.count(of(a, F.when(F.col("ok"), 1))).alias("accepted"),
+            F.count(of(a, F.col("error"))).alias("errors"),
+            F.coalesce(F.sum(of(a, F.col("tokens"))), F.lit(0)).cast("long").alias("tokens"),
+            F.coalesce(F.sum(of(a, F.col("latency_ms"))), F.lit(0.0)).alias("latency_ms"),
+        ).alias(a.name)
+        for a in agents
+    ]
+
+
+def observed_metrics(noted: DataFrame) -> DataFrame:
+    """`metrics` from what was noted round by round."""
+    return noted.groupBy("agent", "model", "attempt").agg(
+        *[F.sum(c).alias(c) for c in ("calls", "accepted", "errors", "tokens")],
+        (F.sum("latency_ms") / F.sum("calls")).alias("avg_latency_ms"),
+    )
+
+
 def first_valid(parsed: DataFrame) -> DataFrame:
     """One row per (record, agent): the earliest good attempt, else the last bad one.
 

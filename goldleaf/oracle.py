@@ -467,3 +467,6 @@ ORACLE |= {
     ),
     "run_ids": f"SELECT 2 AS ids, TRUE AS well_formed, count(*) AS records FROM documents WHERE {NON_BLANK}",
 }
+
+# Other ways to the same rows.
+ORACLE |= {"call_metrics_observed": ORACLE["call_metrics"], "top_entities_sketch": ORACLE["top_entities"]}

@@ -11,7 +11,7 @@ from decimal import Decimal
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.functions.text import non_blank
@@ -78,12 +78,16 @@ class Saved:
         local_rows(self.spark, [{"step": step}], "step:int").write.mode("overwrite").json(f"{self.folder}/done/{step}")
         self.done.add(step)
 
-    def save(self, df: DataFrame, step: int, path: str, by: list[str] = ()) -> None:
+    def save(self, df: DataFrame, step: int, path: str, by: list[str] = (), note: Callable[[], None] | None = None) -> None:
         df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        if note:
+            note()
         self.mark(step)
 
 
 WAVE = "_wave"
+#: Calls of one agent in one round, as observed while the answers were written.
+NOTED = "agent string, model string, attempt int, calls long, accepted long, errors long, tokens long, latency_ms double"
 
 
 class Staged(Saved):
@@ -157,7 +161,9 @@ class Rounds(Saved):
             if attempt not in self.done:
                 dealt = spread(todo, n, [spec.id_col, "agent"], config.calls_per_task)
                 prompts = render(dealt, self.agents, templates, spec)
-                self.save(self.parse(respond(prompts, responder)), attempt, path)
+                seen = Observation()
+                answers = self.parse(respond(prompts, responder)).observe(seen, *assemble.observed(self.agents))
+                self.save(answers, attempt, path, note=lambda: self._note(attempt, seen))
             saved = self.spark.read.schema(self.schema).parquet(path)
             if spent:
                 spent(assemble.settled(saved, self.limits))
@@ -172,6 +178,12 @@ class Rounds(Saved):
                 same = F.col(spec.id_col).cast("string") == F.col("record_id")
                 todo = texts.join(failed, same).select(spec.id_col, spec.text_col, "agent", "attempt")
 
+    def _note(self, attempt: int, seen: Observation) -> None:
+        found = [(a, seen.get[a.name].asDict()) for a in self.agents]
+        rows = [{"agent": a.name, "model": a.config.model, "attempt": attempt, **said} for a, said in found if said["calls"]]
+        noted = local_rows(self.spark, rows, NOTED.replace(" ", ":").replace(",:", ","))
+        noted.write.mode("overwrite").json(f"{self.folder}/noted/{attempt}")
+
     def answers(self) -> DataFrame:
         """All answers, with every attempt."""
         paths = [f"{self.folder}/round-{k}" for k in sorted(self.done) if k > 0]
@@ -204,6 +216,15 @@ def saved_answers(spark: SparkSession, run_id: str, config: RunConfig = RunConfi
     return spark.read.schema(schema).parquet(f"{_root(spark, config)}/{run_id}/pass-*/wave-*/round-*")
 
 
+def saved_metrics(spark: SparkSession, run_id: str, config: RunConfig = RunConfig()) -> DataFrame:
+    """Calls, accepted answers, errors, tokens and latency of a run, as observed; the answers are not read.
+
+    `run_id` may be a pattern, so `name-*` gives the sums of all batches of a stream.
+    """
+    noted = spark.read.schema(NOTED).json(f"{_root(spark, config)}/{run_id}/pass-*/wave-*/noted/*")
+    return assemble.observed_metrics(noted)
+
+
 def enriched(rows: DataFrame, rounds: Rounds, config: RunConfig, as_of: Column | None = None) -> DataFrame:
     """The asked records with what was answered about them."""
     if not config.agents:

@@ -17,7 +17,7 @@ from goldleaf.operators.respond import RecordError, pandas_responder
 from goldleaf.plans.agents import (
     AgentConfig, AgentSpec, EnrichSpec, category_agent, default_agents, enabled, entity_agent, sentiment_agent,
 )
-from goldleaf.plans.enrich import RunConfig, enrich_with, run, saved_answers
+from goldleaf.plans.enrich import RunConfig, enrich_with, run, saved_answers, saved_metrics
 from goldleaf.schemas import GOLD, RESPONSE, SILVER
 from goldleaf.session import scratch, shared_dir
 from goldleaf.sources.calllog import read_calls
@@ -198,6 +198,22 @@ def test_back_off_between_rounds(spark, silver, script):
     assert seen == {k: (4, 0, 400) for k in (1, 2, 3)}
 
 
+def test_metrics_are_observed_while_answers_are_written(spark, silver, script):
+    """Of a run, of one taken up again, and of all batches of a stream; equal to those of the saved answers."""
+    config = RunConfig(waves=2, pause=None)
+    answers = script(GOOD | {"sentiment": ["x", GOOD["sentiment"]], "entity": RuntimeError("down")})
+    table = gold_table(spark)
+    for _ in range(2):
+        run(spark, silver, table, pandas_responder(answers), config, "noted-1")
+    run(spark, silver, gold_table(spark), pandas_responder(script(GOOD)), config, "noted-2")
+    for name in ("noted-1", "noted-2", "noted-*"):
+        exact = metrics(saved_answers(spark, name, config)).withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))
+        noted = saved_metrics(spark, name, config).withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))
+        assert noted.columns == exact.columns
+        assert sorted(map(tuple, noted.collect())) == sorted(map(tuple, exact.collect()))
+    assert {r.errors for r in saved_metrics(spark, "noted-1", config).where("agent = 'entity'").collect()} == {4}
+
+
 def test_settings_reach_the_client(spark, silver):
     def client():
         def call(row):

@@ -50,3 +50,20 @@ def test_distinct_counts_of_merged_sketches(spark):
     once, twice = (sketches.distinct(sketches.merged_distinct(["k"], *parts, *more)).collect() for more in ([], parts))
     assert sorted(once) == sorted(twice)
     assert all(abs(r.n - 4000) <= 4 * sketches.DISTINCT_ERROR * 4000 for r in once)
+
+
+def test_top_values_by_way_of_sketches(spark):
+    """Clear winners are proven by the sketch; ties among many rare values are counted in full."""
+    n = F.col("id")
+    clear = spark.range(60_000).select(F.lit("clear").alias("k"), F.when(n % 3 > 0, F.concat(F.lit("w"), n % 5)).otherwise(F.concat(F.lit("r"), n)).alias("v"))
+    flat = spark.range(20_000).select(F.lit("flat").alias("k"), F.concat(F.lit("f"), n % 9_000).alias("v"))
+    rows = clear.union(flat).unionByName(spark.createDataFrame([("clear", None)] * 9 + [("few", "one")], "k string, v string"))
+    parts = [sketches.frequent_sketches(rows.where(F.pmod(F.xxhash64("v"), F.lit(3)) == i), ["k"], "v") for i in range(3)]
+    path = scratch(spark, "frequent")
+    parts[0].write.parquet(path)
+    merged = sketches.merged_frequent(["k"], spark.read.parquet(path), *parts[1:])
+    got = sorted(map(tuple, sketches.top_values(rows, merged, ["k"], "v", 5).select("k", "v", "n", "place", "proven").collect()))
+    wanted = [("clear", f"w{i}", 8_000, i + 1, True) for i in range(5)]
+    ties = sorted(f"f{i}" for i in range(2_000))[:5]
+    wanted += [("flat", v, 3, i + 1, False) for i, v in enumerate(ties)] + [("few", "one", 1, 1, False)]
+    assert got == sorted(wanted)
