@@ -70,13 +70,14 @@ def pandas_responder(open_client: Callable[[], Callable[..., tuple[str, int]]],
     return lambda prompts: prompts.mapInPandas(respond, RESPONSE)
 
 
-def spread(pairs: DataFrame, n: int, keys: list[str], calls_per_task: int = CALLS_PER_TASK) -> DataFrame:
-    """Pairs dealt to tasks by number of calls.
+def spread(rows: DataFrame, n: int, keys: list[str], calls_per_task: int = CALLS_PER_TASK) -> DataFrame:
+    """Rows dealt to tasks by the number `n` of calls they lead to.
 
     Prompts are small and calls are slow, so the sizes in bytes that adaptive execution goes by
-    would leave a round to a few tasks. A number that is asked for is kept.
+    would leave a round to a few tasks. A number that is asked for is kept. Records are dealt before
+    they are exploded into pairs, since every pair would take a copy of the text through the shuffle.
     """
-    return pairs.repartition(max(1, min(MOST_TASKS, -(-n // calls_per_task))), *keys)
+    return rows.repartition(max(1, min(MOST_TASKS, -(-n // calls_per_task))), *keys)
 
 
 def respond(prompts: DataFrame, responder: Responder) -> DataFrame:

@@ -154,13 +154,15 @@ class Rounds(Saved):
         spec = config.spec
         templates = read_templates(self.spark, self.agents, config.template_dir)
         texts = texts.select(spec.id_col, spec.text_col)
-        todo, n = explode_agents(texts, self.agents), count * len(self.agents)
+        todo, n = texts, count * len(self.agents)
         last = max(self.limits.values(), default=0)
         for attempt in range(1, last + 1):
             path = f"{self.folder}/round-{attempt}"
             if attempt not in self.done:
-                dealt = spread(todo, n, [spec.id_col, "agent"], config.calls_per_task)
-                prompts = render(dealt, self.agents, templates, spec)
+                # A record is shuffled once, whatever number of calls it takes: its pairs are made in the task that asks.
+                dealt = spread(todo, n, [spec.id_col], config.calls_per_task)
+                pairs = explode_agents(dealt, self.agents) if attempt == 1 else dealt.select("*", F.inline("_pairs"))
+                prompts = render(pairs, self.agents, templates, spec)
                 seen = Observation()
                 answers = self.parse(respond(prompts, responder)).observe(seen, *assemble.observed(self.agents))
                 self.save(answers, attempt, path, note=lambda: self._note(attempt, seen))
@@ -175,8 +177,9 @@ class Rounds(Saved):
                 if config.pause and attempt + 1 not in self.done:
                     config.pause(max(a.config.retry_backoff_base for a in self.agents) ** (attempt - 1))
                 # No hint: adaptive execution broadcasts the pairs where they are few.
+                open_ = failed.groupBy("record_id").agg(F.collect_list(F.struct("agent", "attempt")).alias("_pairs"))
                 same = F.col(spec.id_col).cast("string") == F.col("record_id")
-                todo = texts.join(failed, same).select(spec.id_col, spec.text_col, "agent", "attempt")
+                todo = texts.join(open_, same).select(spec.id_col, spec.text_col, "_pairs")
 
     def _note(self, attempt: int, seen: Observation) -> None:
         found = [(a, seen.get[a.name].asDict()) for a in self.agents]

@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 
 from goldleaf.operators.unique import one_per
 from goldleaf.schemas import ENTITY_COLUMNS, GOLD, UNKNOWN_MODEL
-from goldleaf.session import scratch
+from goldleaf.session import scratch, settings
 
 #: When the upsert of a row began, in nanoseconds.
 STAMP = "_upserted"
+#: A task holds the rows of one bucket, so it needs one open file, and no sort by bucket before it.
+UNSORTED = {"spark.sql.maxConcurrentOutputFileWriters": "1"}
 
 
 def align(df: DataFrame, schema: T.StructType = GOLD) -> DataFrame:
@@ -131,7 +133,8 @@ class GoldTable:
         self.create()
         written = Observation()
         stamped = rows.withColumn(STAMP, F.lit(time.time_ns())).repartition(self.buckets, self.id_col)
-        stamped.observe(written, F.count("*").alias("n")).write.insertInto(self.name)
+        with settings(batch.sparkSession, UNSORTED):
+            stamped.observe(written, F.count("*").alias("n")).write.insertInto(self.name)
         return written.get["n"]
 
 

@@ -9,11 +9,13 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from goldleaf.operators import respond
 from goldleaf.operators.assemble import choose_model, first_valid, metrics, parse
 from goldleaf.operators.batches import wave
 from goldleaf.operators.pending import count_pending, fetch_pending
 from goldleaf.operators.prompts import explode_agents, render
 from goldleaf.operators.respond import RecordError, pandas_responder
+from goldleaf.plans import enrich
 from goldleaf.plans.agents import (
     AgentConfig, AgentSpec, EnrichSpec, category_agent, default_agents, enabled, entity_agent, sentiment_agent,
 )
@@ -383,6 +385,21 @@ def test_calls_are_dealt_by_number(spark):
     assert {r.attempt: r.n for r in tasks.collect()} == {1: 12, 2: 12}
 
 
+def test_a_record_is_dealt_once_for_all_its_calls(spark, silver, script, monkeypatch):
+    """Pairs are made after the shuffle, which takes each text once, in every round."""
+    dealt = []
+
+    def noted(rows, n, *more):
+        dealt.append((rows.count(), n))
+        return respond.spread(rows, n, *more)
+
+    monkeypatch.setattr(enrich, "spread", noted)
+    bad = {"sentiment": ["no"] * 2 + [GOOD["sentiment"]], "category": ["no", GOOD["category"], ""], "entity": GOOD["entity"]}
+    run(spark, silver, gold_table(spark), pandas_responder(script(bad)), RunConfig(pause=None))
+    n = dealt[0][0]
+    assert dealt == [(n, 3 * n), (n, 2 * n), (n, n)]
+
+
 @pytest.mark.parametrize("threads", [1, 4])
 def test_every_call_has_its_own_time(spark, silver, threads):
     import time
