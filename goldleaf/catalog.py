@@ -144,8 +144,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stub_answers(spark: SparkSession, sf_dir: str, asked: list, attempts: int = 1) -> DataFrame:
     """Parsed answers about all documents."""
     records = silver(spark, sf_dir)
-    pairs = explode_agents(records, asked).withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(attempts))))
-    pairs = spread(pairs, records.count() * len(asked) * attempts, ["doc_id"], CALLS_PER_TASK)
+    dealt = spread(records, records.count() * len(asked) * attempts, ["doc_id"], CALLS_PER_TASK)
+    pairs = explode_agents(dealt, asked).withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(attempts))))
     prompts = render(pairs, asked, read_templates(spark, asked), SPEC)
     return assemble.parse(respond(prompts, stub_responder()), asked)
 
@@ -224,7 +224,7 @@ def model_call(spark, sf_dir):
     """Every prompt through the Python stage; the answer tells the length it has seen."""
     asked = agents()
     records = silver(spark, sf_dir)
-    pairs = spread(explode_agents(records, asked), records.count() * len(asked), ["doc_id"], CALLS_PER_TASK)
+    pairs = explode_agents(spread(records, records.count() * len(asked), ["doc_id"], CALLS_PER_TASK), asked)
     prompts = render(pairs, asked, read_templates(spark, asked), SPEC)
     return respond(prompts, pandas_responder(stub_client)).select("record_id", "agent", "attempt", "model", "raw", "tokens")
 

@@ -9,6 +9,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from goldleaf import catalog
 from goldleaf.operators import respond
 from goldleaf.operators.assemble import choose_model, first_valid, metrics, parse
 from goldleaf.operators.batches import wave
@@ -400,6 +401,18 @@ def test_a_record_is_dealt_once_for_all_its_calls(spark, silver, script, monkeyp
     assert dealt == [(n, 3 * n), (n, 2 * n), (n, n)]
 
 
+def test_attempts_are_made_after_texts_are_dealt(spark, tmp_path, plan_of):
+    """Of `first_valid_attempt`, all of whose attempts are asked at once."""
+    rows = [(i, f"text {i}", "en", "shop", 6) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    best = catalog.first_valid_attempt(spark, str(tmp_path))
+    assert best.count() == 15
+    plan = plan_of(best).split("== Physical Plan ==")[1]
+    dealing = next(i for i, x in enumerate(plan.splitlines()) if "REPARTITION_BY_NUM" in x)
+    assert "Generate" not in "\n".join(plan.splitlines()[dealing:])
+
+
 @pytest.mark.parametrize("threads", [1, 4])
 def test_every_call_has_its_own_time(spark, silver, threads):
     import time
