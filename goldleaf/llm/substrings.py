@@ -10,9 +10,8 @@ windows that were repeated at one length are extended to the next:
    a document with a smaller id has it too.
 3. At 2, 4, 8, ... times the width, windows whose parts were all repeated are chained and asked
    whether they are repeated in one piece, until no candidates survive. This yields the longest
-   repeated length of each document, and changes nothing in what is removed. From here on starts
-   are thinned by winnowing, so that the levels get smaller whatever the passages' lengths; a
-   repeated run of three times a length is sure to be seen at that length.
+   repeated length of each document, and changes nothing in what is removed. Every start that is
+   alive is followed, so a repeated run is seen at each of these lengths that it has.
 
 Equal hashes are brought together by a range sort over hash *and* document, in which neighbours tell
 what is repeated. A passage that a third of all documents share is spread over as many tasks
@@ -204,29 +203,32 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _document(width: int):
-    """Per document: places to remove, and for thinned starts the hashes of 2, 4, 8, ... windows
+    """Per document: places to remove, and for every start the hashes of 2, 4, 8, ... windows
     in a row, as far as each of them is repeated."""
 
-    def chained(at: np.ndarray, key: np.ndarray) -> list[list[int]]:
-        # Thinning: the smallest hash of `width` starts in a row.
-        picks = np.arange(len(at))
-        if len(at) >= width:
-            runs = np.cumsum(np.diff(at, prepend=at[0]) != 1)
-            picks = np.unique(local_minima(mixed(key), runs, width))
-            picks = picks[picks >= 0]
-        found: dict[int, list[int]] = {}
+    def chained(at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Chains one after the other, and their sizes. Every start is followed, none is thinned out."""
         length, value, alive = width, key, np.ones(len(at), dtype=bool)
-        while len(picks):
+        starts, values = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+        while alive.any():
             after = np.minimum(np.searchsorted(at, at + length), len(at) - 1)
             alive = alive & (at[after] == at + length) & alive[after]
             value = mixed(value + np.uint64(0x9E3779B97F4A7C15) * mixed(value[after]))
-            picks = picks[alive[picks]]
-            for i, x in zip(picks.tolist(), signed(value[picks]).tolist()):
-                found.setdefault(i, []).append(x)
+            starts.append(np.flatnonzero(alive))
+            values.append(value[alive])
             length *= 2
-        # A chain that is the beginning of another, as in a text that repeats itself, tells nothing more.
-        chains = sorted(set(map(tuple, found.values())))
-        return [list(c) for c, d in zip(chains, chains[1:] + [()]) if d[: len(c)] != c]
+        start, flat = np.concatenate(starts), np.concatenate(values)
+        order = np.argsort(start, kind="stable")
+        flat, sizes = flat[order], np.bincount(start, minlength=len(at))
+        sizes = sizes[sizes > 0]
+        # A text that repeats itself has equal chains; the longest window and its level tell a chain.
+        _, first = np.unique(mixed(flat[np.cumsum(sizes) - 1]) + sizes.astype(np.uint64), return_index=True)
+        kept = np.zeros(len(sizes), dtype=bool)
+        kept[first] = True
+        return flat[np.repeat(kept, sizes)], sizes[kept]
+
+    def lists(sizes: list[int] | np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,7 +247,13 @@ def _document(width: int):
                         part.column(0),
                         part.column(1),
                         pa.array(places, pa.list_(pa.int32())),
-                        pa.array(chains, pa.list_(pa.list_(pa.int64()))),
+                        lists(
+                            [len(sizes) for _, sizes in chains],
+                            lists(
+                                np.concatenate([sizes for _, sizes in chains]),
+                                pa.array(signed(np.concatenate([flat for flat, _ in chains]))),
+                            ),
+                        ),
                     ],
                     names=["_d", "_x", "places", "chains"],
                 )

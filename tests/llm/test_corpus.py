@@ -72,6 +72,20 @@ def test_repeats_on_random_rows(spark, seed):
     assert longest[599 - 70] == 90 and max(longest.values()) >= 52
 
 
+def test_every_start_is_followed(spark):
+    """A repeat of just a level's length is seen at that level, wherever it begins."""
+    seen = [(25, 13), (26, 26), (51, 26), (52, 52), (104, 104)] * 8
+    rows = []
+    for n, (length, _) in enumerate(seen):
+        passage = " ".join(f"p{n}-{i}" for i in range(length))
+        for side in (0, 1):
+            before, after = (" ".join(f"{x}{n}-{side}-{i}" for i in range(3 + n)) for x in "ab")
+            rows.append((2 * n + side, f"{before} {passage} {after}"))
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), ["doc_id"])
+    longest = {r.doc_id: r.longest for r in got.select("doc_id", "longest").collect()}
+    assert longest == {2 * n + side: level for n, (_, level) in enumerate(seen) for side in (0, 1)}
+
+
 def test_no_repeats(none):
     assert substrings.without_repeats(none, ["doc_id"]).count() == 0
 
