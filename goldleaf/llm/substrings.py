@@ -9,7 +9,7 @@ windows that were repeated at one length are extended to the next:
 2. At the full width only windows around a repeated half are looked at. One is removed where
    a document with a smaller id has it too.
 3. At 2, 4, 8, ... times the width, windows whose parts were all repeated are chained and asked
-   whether they are repeated in one piece, until no candidates survive. This yields the longest
+   whether they are repeated in one piece, all lengths in one range sort. This yields the longest
    repeated length of each document, and changes nothing in what is removed. Every start that is
    alive is followed, so a repeated run is seen at each of these lengths that it has.
 
@@ -337,12 +337,17 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     maybe, _ = split(docs, asked)
     texts = maybe.join(asked.withColumnRenamed("_d", "_e"), F.col("_d") == F.col("_e")).select("_d", "_x", "_t", "_a")
     windows = written(texts.mapInArrow(_send_windows(width), "_d long, _x int, place int, h long"), "starts")
+    return _shared(windows, "windows")
+
+
+def _shared(windows: DataFrame, name: str) -> DataFrame:
+    """Of rows with `h`, `_d`, `_x` and `place`, those whose hash stands in several documents, and `later`."""
     found = written(
         windows.select("h", "_d", "_x", "place")
         .repartitionByRange("h", "_d", "place")
         .sortWithinPartitions("h", "_d", "place")
         .mapInArrow(_repeated, "h long, _d long, _x int, place int, later boolean, edge_low long"),
-        "windows",
+        name,
     )
     # Two hashes per partition at most: what the ends of the partitions have in common.
     ends = found.where(F.col("edge_low").isNotNull()).groupBy("h").agg(F.min("edge_low").alias("lo"), F.max("_d").alias("hi"))
@@ -361,17 +366,12 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     hits = written(
         rows.mapInArrow(_document(width), "_d long, _x int, places array<int>, chains array<array<bigint>>"), "passages"
     )
-    # Doubling: candidates of one level are the survivors of the one before.
-    now = hits.select("_d", "_x", F.explode("chains").alias("chain"))
-    level, lengths = 1, hits.select("_d", "_x", F.lit(width).alias("longest"))
-    while not now.isEmpty():
-        keyed = now.withColumn("k", F.element_at("chain", level))
-        both = keyed.groupBy("k").agg(F.min("_d").alias("lo"), F.max("_d").alias("hi"))
-        again = both.where(F.col("lo") < F.col("hi")).select("k")
-        survive = written(keyed.join(again, "k", "left_semi").select("_d", "_x", "chain"), "chains")
-        lengths = lengths.union(survive.select("_d", "_x", F.lit(width << level).alias("longest")).distinct())
-        level += 1
-        now = survive.where(F.size("chain") >= level)
+    # Doubling, all levels in one range sort: what is repeated at a length is so at the shorter ones, so a
+    # document's greatest level is that of its longest shared window.
+    each = hits.select("_d", "_x", F.explode("chains").alias("chain")).select("_d", "_x", F.posexplode("chain").alias("place", "h"))
+    reached = _shared(each, "levels").groupBy("_d", "_x").agg(F.max("place").alias("level"))
+    double = F.expr(f"cast({2 * width} * pow(2, level) as int)")
+    lengths = hits.select("_d", "_x", F.lit(width).alias("longest")).union(reached.select("_d", "_x", double.alias("longest")))
     longest = lengths.groupBy("_d", "_x").agg(F.max("longest").alias("longest"))
     return hits.select("_d", "_x", "places").join(longest, ["_d", "_x"])
 
