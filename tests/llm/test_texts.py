@@ -517,6 +517,67 @@ def test_special_tokens_are_those_of_the_library(name, word_ends):
     assert len(want[0]) in (3, 4)
 
 
+def as_texts(rows):
+    raw = [t.encode() for t in rows]
+    return Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+
+
+def counted(coder, monkeypatch):
+    """The strings that the encoder gives to the whole tokenizer from now on, and those for its model alone."""
+    given = {"tokenizer": [], "model": []}
+
+    class Counted:
+        def __init__(self, inner, seen):
+            self.inner, self.seen = inner, seen
+
+        def encode_batch_fast(self, strings, **kw):
+            self.seen += strings
+            return self.inner.encode_batch_fast(strings, **kw)
+
+    for name, seen in given.items():
+        monkeypatch.setattr(coder, name, Counted(getattr(coder, name), seen))
+    return given
+
+
+#: Words, signs and white space whose neighbours matter.
+JOINTS = [*"abXZ '.,;!?*&#$|<_^`~-(){0129\n", "  ", *"èÉßÿ×÷ªµ日ΣςİЙﬁÅ≠\u0301\u0338\u0345\u00ad\u200d\u00a0\t", "'s", "'RE", " don't"]
+
+
+@pytest.mark.parametrize("name, word_ends", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_words_go_to_the_model_alone(name, word_ends, monkeypatch):
+    """Only what is no plain word takes the costly way; ids are those of the library."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(3)
+    prose = [" ".join("".join(rng.choices("aeinorstéüÀß", k=8)) + rng.choice(["", ",", ".", "***"]) for _ in range(300)) for _ in range(5)]
+    odd = ["".join(rng.choices(JOINTS, k=rng.randrange(12))) for _ in range(6000)]
+    plain = Tokenizer.from_file(vocabulary(name))
+    coder = Encoder(vocabulary(name), word_ends)
+    for rows in (prose, odd):
+        want = [x.ids for x in plain.encode_batch_fast(rows, add_special_tokens=False)]
+        with monkeypatch.context() as patch:
+            given = counted(coder, patch) if rows is prose else {}
+            ids, counts = coder.encode(as_texts(rows))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+        if rows is prose:
+            assert sum(map(len, given["tokenizer"])) < 20 and sum(map(len, given["model"])) > 10_000
+
+
+def test_pieces_met_again_are_not_learnt_again(monkeypatch):
+    from goldleaf.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    coder = Encoder(vocabulary("word_bpe_49k.json"), True)
+    first = coder.encode(as_texts(["often " * 3]))[0].tolist()
+    learnt = []
+    monkeypatch.setattr(coder, "_learn", lambda pieces, learn=coder._learn: (learnt.extend(pieces), learn(pieces)))
+    for i in range(20):
+        new = " ".join(f"x{'abcdefghij'[i % 10]}{'klmnopqrst'[k]}{'uv'[i // 10]}" for k in range(10))
+        ids, counts = coder.encode(as_texts([f"often {new}", "often often often"]))
+        assert ids[counts[0] :].tolist() == first and len(coder.known) < 70
+    assert len(learnt) == 200 and b"often" not in learnt
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
