@@ -650,6 +650,16 @@ def test_arrow_files_round_trip(odd, plain_ids):
     assert [r.start for r in in_order] == np.cumsum([0] + [r.n_tokens for r in in_order])[:-1].tolist()
 
 
+def test_arrow_files_of_words_and_signs(spark, plain_ids):
+    """Words by the model alone and pieces by all steps give the ids of a plain call."""
+    rng = random.Random(8)
+    words = ["été", "Straße", "l'eau", "don't", "***", "a×b", "naïve,", "ÀÉ.", "x_1", "日本。", "plain", "Word"]
+    rows = [(i, rng.choice(" \n").join(rng.choices(words, k=i % 40))) for i in range(300)]
+    got = arrowfiles.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary("byte_bpe_50k.json")).collect()
+    want = {(i, len(x), crc(x)) for i, t in rows for x in [plain_ids("byte_bpe_50k.json", t, 0)]}
+    assert {(r.doc_id, r.n_tokens, r.ids_crc32) for r in got} == want
+
+
 def test_arrow_files_random_access(spark, odd):
     folder = arrowfiles._made(odd, scratch(spark, "files"))
     index = arrowfiles.write_sequences(odd, folder, vocabulary("byte_bpe_50k.json"), length=16).collect()
