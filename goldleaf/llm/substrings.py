@@ -10,8 +10,10 @@ windows that were repeated at one length are extended to the next:
    a document with a smaller id has it too.
 3. At 2, 4, 8, ... times the width, windows whose parts were all repeated are chained and asked
    whether they are repeated in one piece, all lengths in one range sort. This yields the longest
-   repeated length of each document, and changes nothing in what is removed. Every start that is
-   alive is followed, so a repeated run is seen at each of these lengths that it has.
+   repeated length of each document, and changes nothing in what is removed. Every repeated window
+   also names one other place of it: where windows in a row name places in a row of one document, that
+   run is repeated in one piece. Only what a document's repeated windows leave open beyond that is
+   asked, with every start that is alive, so a repeated run is seen at each of these lengths that it has.
 
 Equal hashes are brought together by a range sort over hash *and* document, in which neighbours tell
 what is repeated. A passage that a third of all documents share is spread over as many tasks
@@ -44,8 +46,8 @@ from goldleaf.session import written
 WIDTH = 13
 #: Bits of the bitmap of ids that is broadcast: 4 MB.
 MAP_BITS = 1 << 25
-#: Documents whose chains are built before they are handed back.
-DOCUMENTS = 500
+#: Columns of the windows that `_repeated` finds.
+FOUND = ["h", "_d", "_x", "place", "later", "edge_low"]
 
 
 def half(width: int) -> int:
@@ -156,111 +158,177 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated(linked: bool):
     """Of windows sorted by hash and document, those in more than one document.
 
     `later`: a document with a smaller id has it too. Rows of the hashes at either end of the
-    partition come with `edge` instead, since they may go on in the next one.
+    partition come with `edge` instead, since they may go on in the next one. `linked` adds `beside`:
+    another document that has the window and how far off it stands there, as one hash (0: none was seen).
     """
-    held: pa.RecordBatch | None = None
-    least, first_hash = None, None
-
-    def judged(rows: pa.RecordBatch, goes_on: bool, last: bool) -> pa.RecordBatch:
-        nonlocal least, first_hash
-        h, d = (rows.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if first_hash is None:
-            first_hash = h[0]
-        start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        sizes = np.diff(np.append(start, len(h)))
-        low = d[start].copy()
-        if least is not None and least[0] == h[0]:
-            low[0] = least[1]
-        least = (h[-1], low[-1])
-        many = low < np.maximum.reduceat(d, start)
-        # Where a hash goes on, the documents to come are others than those judged now.
-        many[-1] |= goes_on
-        edge = h[start] == first_hash
-        edge[-1] |= last
-        low, edge = np.repeat(low, sizes), np.repeat(edge, sizes)
-        return pa.RecordBatch.from_arrays(
-            [*rows.columns, pa.array(low < d), pa.array(low, mask=~edge)],
-            names=["h", "_d", "_x", "place", "later", "edge_low"],
-        ).filter(pa.array(np.repeat(many, sizes) | edge))
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = batch if held is None else pa.concat_batches([held, batch])
-        h, d = (now.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        # Hold back the last document of the last hash, until it is known whether others follow.
-        other = np.flatnonzero((h != h[-1]) | (d != d[-1]))
-        cut = int(other[-1]) + 1 if len(other) else 0
-        held = now.slice(cut)
-        if cut:
-            yield judged(now.slice(0, cut), h[cut] == h[cut - 1], False)
-    if held is not None:
-        yield judged(held, False, True)
-
-
-def _document(width: int):
-    """Per document: places to remove, and for every start the hashes of 2, 4, 8, ... windows
-    in a row, as far as each of them is repeated."""
-
-    def chained(at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Chains one after the other, and their sizes. Every start is followed, none is thinned out."""
-        length, value, alive = width, key, np.ones(len(at), dtype=bool)
-        starts, values = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
-        while alive.any():
-            after = np.minimum(np.searchsorted(at, at + length), len(at) - 1)
-            alive = alive & (at[after] == at + length) & alive[after]
-            value = mixed(value + np.uint64(0x9E3779B97F4A7C15) * mixed(value[after]))
-            starts.append(np.flatnonzero(alive))
-            values.append(value[alive])
-            length *= 2
-        start, flat = np.concatenate(starts), np.concatenate(values)
-        order = np.argsort(start, kind="stable")
-        flat, sizes = flat[order], np.bincount(start, minlength=len(at))
-        sizes = sizes[sizes > 0]
-        # A text that repeats itself has equal chains; the longest window and its level tell a chain.
-        _, first = np.unique(mixed(flat[np.cumsum(sizes) - 1]) + sizes.astype(np.uint64), return_index=True)
-        kept = np.zeros(len(sizes), dtype=bool)
-        kept[first] = True
-        return flat[np.repeat(kept, sizes)], sizes[kept]
-
-    def lists(sizes: list[int] | np.ndarray, values: pa.Array) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        least, first_hash = None, None
+
+        def judged(rows: pa.RecordBatch, goes_on: bool, last: bool) -> pa.RecordBatch:
+            nonlocal least, first_hash
+            h, d, x, place = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            if first_hash is None:
+                first_hash = h[0]
+            start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            sizes = np.diff(np.append(start, len(h)))
+            # The first row of each hash: its id, text and place.
+            low = [column[start].astype(np.int64) for column in (d, x, place)]
+            if least is not None and least[0] == h[0]:
+                for column, value in zip(low, least[1:]):
+                    column[0] = value
+            least = (h[-1], *(column[-1] for column in low))
+            many = low[0] < np.maximum.reduceat(d, start)
+            # Where a hash goes on, the documents to come are others than those judged now.
+            many[-1] |= goes_on
+            edge = h[start] == first_hash
+            edge[-1] |= last
+            lowest, edge = np.repeat(low[0], sizes), np.repeat(edge, sizes)
+            columns = [*rows.columns, pa.array(lowest < d), pa.array(lowest, mask=~edge)]
+            if linked:
+                # The smallest document is beside the others; beside it is the next one.
+                after = lowest < d
+                next_row = np.minimum.reduceat(np.where(after, np.arange(len(h)), len(h)), start)
+                none = np.repeat(next_row == len(h), sizes) & ~after
+                other = np.repeat(np.minimum(next_row, len(h) - 1), sizes)
+                beside = [np.where(after, np.repeat(one, sizes), all_[other]) for one, all_ in zip(low, (d, x, place))]
+                columns.append(pa.array(signed(np.where(none, np.uint64(0), _beside(*beside[:2], beside[2] - place)))))
+            return pa.RecordBatch.from_arrays(columns, names=[*FOUND, *["beside"] * linked]).filter(
+                pa.array(np.repeat(many, sizes) | edge)
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = batch if held is None else pa.concat_batches([held, batch])
+            h, d = (now.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            # Hold back the last document of the last hash, until it is known whether others follow.
+            other = np.flatnonzero((h != h[-1]) | (d != d[-1]))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            held = now.slice(cut)
+            if cut:
+                yield judged(now.slice(0, cut), h[cut] == h[cut - 1], False)
+        if held is not None:
+            yield judged(held, False, True)
+
+    return work
+
+
+def _beside(d: np.ndarray, x: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """A document and the distance of a window's place there from its own, as one hash other than 0."""
+    value = np.zeros(len(d), dtype=np.uint64)
+    for column in (d, x, off):
+        value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.int64).view(np.uint64) + np.uint64(1))
+    return value | np.uint64(1)
+
+
+def _ahead(joint: np.ndarray) -> np.ndarray:
+    """How many rows a run has from each row on, where `joint` says of all but the last if the next one belongs to it."""
+    ends = np.flatnonzero(np.append(~joint, True))
+    at = np.arange(len(joint) + 1)
+    return ends[np.searchsorted(ends, at)] - at + 1
+
+
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
+
+
+def _documents(width: int):
+    """Of windows sorted by document, a row per document: places to remove, the level up to which one other
+    document is known to go along (`sure`), and the hashes of 2, 4, 8, ... windows in a row at every start, as far
+    as all windows inside are repeated.
+
+    The hashes lie in cells of neighbouring starts: the smallest window in the first 2 * width words and the level
+    tell a cell, so equal passages lie in equal cells. `open`: the cells of the levels that are not sure.
+    """
+
+    def judged(rows: pa.RecordBatch) -> pa.RecordBatch:
+        d, x, place, h, later, beside = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        order = np.lexsort((place, x, d))
+        d, x, place = d[order], x[order], place[order]
+        new = np.concatenate([[True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])])
+        # Rows that repeat an id and a text have the same windows.
+        once = new | np.concatenate([[True], place[1:] != place[:-1]])
+        order, d, x, place, new = order[once], d[once], x[once], place[once], new[once]
+        value, later, beside = h[order].view(np.uint64), later[order], beside[order]
+        doc, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        joint = ~new[1:] & (place[1:] == place[:-1] + 1)
+        ahead = _ahead(joint)
+        along = np.maximum.reduceat(_ahead(joint & (beside[1:] == beside[:-1]) & (beside[1:] != 0)), first)
+        sure = np.frexp((along + width - 1) // width)[1] - 1
+        smallest = value
+        for step in _steps(width + 1):
+            smallest = np.append(np.minimum(smallest[:-step], smallest[step:]), smallest[-step:])[: len(value)]
+        starts, cells, values, levels = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+        level = 0
+        while len(start := np.flatnonzero(ahead > width * (2 ** (level + 1) - 1))):
+            longer = np.zeros(len(value), dtype=np.uint64)
+            longer[start] = mixed(value[start] + np.uint64(0x9E3779B97F4A7C15) * mixed(value[start + width * 2**level]))
+            value, level = longer, level + 1
+            # A text that repeats itself has equal windows.
+            _, kept = np.unique(mixed(value[start]) ^ mixed(doc[start].astype(np.uint64)), return_index=True)
+            start = start[np.sort(kept)]
+            starts.append(start)
+            cells.append(mixed(smallest[start] + np.uint64(level)))
+            values.append(value[start])
+            levels.append(np.full(len(start), level, dtype=np.int32))
+        owner = doc[np.concatenate(starts)]
+        order = np.argsort(owner, kind="stable")
+        owner, cell, flat, level_of = owner[order], *(np.concatenate(c)[order] for c in (cells, values, levels))
+        begin = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (owner[1:] != owner[:-1])])[: len(cell)])
+        held = _lists(np.diff(np.append(begin, len(cell))), pa.array(signed(flat)))
+        owner, cell, level_of = owner[begin], pa.array(signed(cell[begin])), level_of[begin]
+        asks = level_of > sure[owner]
+        n = len(first)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(d[first]),
+                pa.array(x[first]),
+                _lists(np.bincount(doc[later], minlength=n), pa.array(place[later])),
+                pa.array(sure.astype(np.int32)),
+                _lists(np.bincount(owner[asks], minlength=n), cell.filter(pa.array(asks))),
+                _lists(
+                    np.bincount(owner, minlength=n),
+                    pa.StructArray.from_arrays([cell, pa.array(level_of), held], names=["cell", "level", "h"]),
+                ),
+            ],
+            names=["_d", "_x", "places", "sure", "open", "cells"],
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for row in range(0, batch.num_rows, DOCUMENTS):
-                part = batch.slice(row, DOCUMENTS)
-                places, chains = [], []
-                for rows in part.column(2):
-                    cells = rows.values
-                    at, first = np.unique(cells.field("place").to_numpy(), return_index=True)
-                    key = cells.field("h").to_numpy()[first].view(np.uint64)
-                    later = cells.field("later").to_numpy(zero_copy_only=False)[first]
-                    places.append(at[later])
-                    chains.append(chained(at.astype(np.int64), key))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(places, pa.list_(pa.int32())),
-                        lists(
-                            [len(sizes) for _, sizes in chains],
-                            lists(
-                                np.concatenate([sizes for _, sizes in chains]),
-                                pa.array(signed(np.concatenate([flat for flat, _ in chains]))),
-                            ),
-                        ),
-                    ],
-                    names=["_d", "_x", "places", "chains"],
-                )
+            if not batch.num_rows:
+                continue
+            # The last document waits for the rows to come.
+            d = batch.column(0).to_numpy(zero_copy_only=False)
+            cut = int(np.searchsorted(d, d[-1]))
+            if held and (cut or held[0].column(0)[0].as_py() != d[0]):
+                yield judged(pa.concat_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif cut:
+                yield judged(batch.slice(0, cut))
+            held.append(batch.slice(cut))
+        if held:
+            yield judged(pa.concat_batches(held))
 
     return work
 
 
+def _steps(span: int) -> list[int]:
+    """Distances at which values are compared one after the other to have the smallest of `span` neighbours."""
+    steps, have = [], 1
+    while have < span:
+        steps.append(min(have, span - have))
+        have += steps[-1]
+    return steps
+
+
 def _cut(width: int, carry: int, text_only: bool):
     """Words removed from every text, and what is left of it. `text_only`: nothing is removed."""
 
@@ -306,13 +374,13 @@ def _bitmap(ids: DataFrame) -> DataFrame:
     )
 
 
-def split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose `_d` may be among the ids, and rows whose `_d` is not.
+def split(docs: DataFrame, ids: DataFrame, key: str = "_d") -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be among the ids (column `_d`), and rows whose key is not.
 
     The bitmap has a fixed size whatever the number of ids, so it may be broadcast; with very many
     ids it is full, and every row takes the long way.
     """
-    bit = F.pmod(F.xxhash64("_d"), F.lit(MAP_BITS))
+    bit = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
     at = F.bitmap_bit_position(bit)
     marked = docs.withColumn("_bucket", F.bitmap_bucket_number(bit)).join(
         F.broadcast(written(_bitmap(ids), "bitmap")), "_bucket", "left"
@@ -329,7 +397,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     an earlier document has it (`later`)."""
     # Range sorts sample their input first, so what comes from texts is written before.
     sent = written(docs.select("_d", "_t").mapInArrow(_send_anchors(width), "anchor long, _d long"), "sent")
-    beside = sent.repartitionByRange("anchor", "_d").sortWithinPartitions("anchor", "_d")
+    beside = sent.repartitionByRange("anchor", "_d").sortWithinPartitions("anchor")
     asked = written(
         beside.mapInArrow(_neighbours, "anchor long, _d long").groupBy("_d").agg(F.collect_set("anchor").alias("_a")),
         "anchors",
@@ -337,16 +405,20 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     maybe, _ = split(docs, asked)
     texts = maybe.join(asked.withColumnRenamed("_d", "_e"), F.col("_d") == F.col("_e")).select("_d", "_x", "_t", "_a")
     windows = written(texts.mapInArrow(_send_windows(width), "_d long, _x int, place int, h long"), "starts")
-    return _shared(windows, "windows")
+    return _shared(windows, "windows", linked=True)
 
 
-def _shared(windows: DataFrame, name: str) -> DataFrame:
+def _shared(windows: DataFrame, name: str, linked: bool = False) -> DataFrame:
     """Of rows with `h`, `_d`, `_x` and `place`, those whose hash stands in several documents, and `later`."""
+    more = ["beside"] * linked
     found = written(
         windows.select("h", "_d", "_x", "place")
         .repartitionByRange("h", "_d", "place")
         .sortWithinPartitions("h", "_d", "place")
-        .mapInArrow(_repeated, "h long, _d long, _x int, place int, later boolean, edge_low long"),
+        .mapInArrow(
+            _repeated(linked),
+            ", ".join(["h long, _d long, _x int, place int, later boolean, edge_low long", *(f"{c} long" for c in more)]),
+        ),
         name,
     )
     # Two hashes per partition at most: what the ends of the partitions have in common.
@@ -355,25 +427,31 @@ def _shared(windows: DataFrame, name: str) -> DataFrame:
     return (
         found.join(F.broadcast(ends), "h", "left")
         .where(~edge | (F.col("lo") < F.col("hi")))
-        .select("_d", "_x", "place", "h", F.when(edge, F.col("lo") < F.col("_d")).otherwise(F.col("later")).alias("later"))
+        .select("_d", "_x", "place", "h", F.when(edge, F.col("lo") < F.col("_d")).otherwise(F.col("later")).alias("later"), *more)
     )
 
 
 def repeated_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Documents (`_d`, `_x`, `_t` rows) with a repeated window: `places` (word numbers) of the windows to
     remove, and `longest`, the greatest length of the levels at which a window of it was repeated."""
-    rows = repeated_windows(docs, width).groupBy("_d", "_x").agg(F.collect_list(F.struct("place", "h", "later")).alias("w"))
+    rows = repeated_windows(docs, width).repartition("_d").sortWithinPartitions("_d")
     hits = written(
-        rows.mapInArrow(_document(width), "_d long, _x int, places array<int>, chains array<array<bigint>>"), "passages"
+        rows.mapInArrow(
+            _documents(width),
+            "_d long, _x int, places array<int>, sure int, open array<bigint>, "
+            "cells array<struct<cell: bigint, level: int, h: array<bigint>>>",
+        ),
+        "passages",
     )
     # Doubling, all levels in one range sort: what is repeated at a length is so at the shorter ones, so a
-    # document's greatest level is that of its longest shared window.
-    each = hits.select("_d", "_x", F.explode("chains").alias("chain")).select("_d", "_x", F.posexplode("chain").alias("place", "h"))
+    # document's greatest level is that of its longest shared window. Only cells that a document has open
+    # can tell more than what is sure.
+    asked = hits.select(F.explode("open").alias("_d"))
+    cells, _ = split(hits.select("_d", "_x", F.inline("cells")), asked, "cell")
+    each = cells.select("_d", "_x", F.col("level").alias("place"), F.explode("h").alias("h"))
     reached = _shared(each, "levels").groupBy("_d", "_x").agg(F.max("place").alias("level"))
-    double = F.expr(f"cast({2 * width} * pow(2, level) as int)")
-    lengths = hits.select("_d", "_x", F.lit(width).alias("longest")).union(reached.select("_d", "_x", double.alias("longest")))
-    longest = lengths.groupBy("_d", "_x").agg(F.max("longest").alias("longest"))
-    return hits.select("_d", "_x", "places").join(longest, ["_d", "_x"])
+    longest = (width * F.pow(F.lit(2), F.greatest("sure", "level"))).cast("int")
+    return hits.join(reached, ["_d", "_x"], "left").select("_d", "_x", "places", longest.alias("longest"))
 
 
 def without_repeats(

@@ -86,6 +86,58 @@ def test_every_start_is_followed(spark):
     assert longest == {2 * n + side: level for n, (_, level) in enumerate(seen) for side in (0, 1)}
 
 
+def levels_asked(docs, monkeypatch):
+    """`longest` of each document, and how many rows were sorted for lengths beyond a window."""
+    asked, shared = [], substrings._shared
+
+    def counted(windows, name, **more):
+        asked.extend([windows.count()] * (name == "levels"))
+        return shared(windows, name, **more)
+
+    monkeypatch.setattr(substrings, "_shared", counted)
+    got = substrings.without_repeats(docs, ["doc_id"])
+    return {r.doc_id: r.longest for r in got.select("doc_id", "longest").collect()}, sum(asked)
+
+
+def test_runs_beside_one_document_ask_nothing_more(spark, monkeypatch):
+    """Neighbours in one other document already tell how long the run is; only the rest is sorted again."""
+    rows = []
+    for n, length in enumerate([13, 26, 51, 104, 200] * 4):
+        passage = " ".join(f"p{n}-{i}" for i in range(length))
+        rows += [(3 * n + side, " ".join(f"x{n}-{side}-{i}" for i in range(5 + n)) + f" {passage} end{n}-{side}") for side in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    longest, asked = levels_asked(docs, monkeypatch)
+    assert [longest[3 * n + 1] for n in range(5)] == [13, 26, 26, 104, 104] and longest[0] == 13
+    # A hash at either end of a partition may lose its neighbour, which leaves a passage open.
+    each = sum(max(length - 26 * 2**k + 1, 0) for length in [13, 26, 51, 104, 200] * 4 for k in range(4)) * 3
+    assert asked < each / 2
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_longest_of_near_copies(spark, monkeypatch, seed):
+    """Copies with words changed here and there: what lies beside one document does not tell all."""
+    rng = random.Random(seed)
+    sources = [[f"s{k}-{i}" for i in range(230)] for k in range(4)] + [["be"] * 120]
+    texts = []
+    for n in range(50):
+        w = list(rng.choice(sources))
+        for at in rng.sample(range(len(w)), rng.randint(1, 5)):
+            w[at] = f"new{n}-{at}"
+        texts.append(w[rng.randint(0, 30) :] + [f"end{n}"])
+    rows = [(n, " ".join(w)) for n, w in enumerate(texts)] + [(7, " ".join(texts[9][20:] + ["again"]))]
+    longest, asked = levels_asked(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), monkeypatch)
+    assert asked
+    expected = dict.fromkeys(range(50), 0)
+    for length in (13, 26, 52, 104, 208):
+        seen = {}
+        for n, text in rows:
+            w = text.split()
+            for i in range(len(w) - length + 1):
+                seen.setdefault(tuple(w[i : i + length]), set()).add(n)
+        expected |= {n: length for ids in seen.values() if len(ids) > 1 for n in ids if n != 7}
+    assert {n: x for n, x in longest.items() if n != 7} == {n: x for n, x in expected.items() if n != 7}
+
+
 def test_no_repeats(none):
     assert substrings.without_repeats(none, ["doc_id"]).count() == 0
 
