@@ -81,6 +81,11 @@ def _anchors(texts: Texts, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return begin, keys[chosen[begin]], hashes
 
 
+def _heads(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Where another key or document begins: neighbouring windows mostly choose the same half."""
+    return np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])]))
+
+
 def _send_anchors(width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +94,9 @@ def _send_anchors(width: int):
                 if not len(begin):
                     continue
                 doc = texts.doc[begin]
-                # Neighbouring windows mostly choose the same half; once per document is enough.
+                heads = _heads(keys, doc)
+                keys, doc = keys[heads], doc[heads]
+                # Once per document is enough.
                 _, first = np.unique(mixed(keys) ^ mixed(doc.astype(np.uint64)), return_index=True)
                 ids = part.column(0).take(pa.array(doc[first]))
                 yield pa.RecordBatch.from_arrays([pa.array(signed(keys[first])), ids], names=["anchor", "_d"])
@@ -115,8 +122,11 @@ def _send_windows(width: int):
                 asked, owner = _alone(wanted.slice(row, part.num_rows))
                 row += part.num_rows
                 salt = mixed(np.arange(1, part.num_rows + 1, dtype=np.uint64))
-                hit = np.isin(keys ^ salt[texts.doc[begin]], asked.view(np.uint64) ^ salt[owner])
-                begin = begin[hit]
+                if not len(begin):
+                    continue
+                heads = _heads(keys, texts.doc[begin])
+                hit = np.isin(keys[heads] ^ salt[texts.doc[begin[heads]]], asked.view(np.uint64) ^ salt[owner])
+                begin = begin[np.repeat(hit, np.diff(np.append(heads, len(keys))))]
                 if not len(begin):
                     continue
                 doc = pa.array(texts.doc[begin])
